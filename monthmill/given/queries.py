@@ -35,10 +35,6 @@ def _rounded(df: DataFrame, **places: int) -> DataFrame:
     return df.withColumns({name: F.round(name, n) for name, n in places.items()})
 
 
-def _rollup(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
-    return build_rollup(given.trips(spark, sf_dir, years, located=True))
-
-
 # --- questions from the fact or the rollup ---------------------------------------------------
 
 
@@ -48,12 +44,12 @@ def q01(spark, sf_dir):
 
 
 def q02(spark, sf_dir):
-    rollup = _rollup(spark, sf_dir, (YEAR, YEAR))
+    rollup = given.daily_rollup(spark, sf_dir)
     return lakehouse.top_zones_from_rollup(rollup, given.dim_location(spark, sf_dir), YEAR)
 
 
 def q03(spark, sf_dir):
-    rollup = _rollup(spark, sf_dir, (YEAR, YEAR))
+    rollup = given.daily_rollup(spark, sf_dir)
     zones = given.dim_location(spark, sf_dir)
     return lakehouse.borough_months(rollup, given.dim_date(spark), zones, YEAR)
 
@@ -149,23 +145,23 @@ def week_parts(spark, sf_dir):
 
 
 def _series(spark, sf_dir):
-    return dashboard.monthly_series(_rollup(spark, sf_dir), given.dim_date(spark), given.CARD)
+    return dashboard.monthly_series(given.daily_rollup(spark, sf_dir), given.dim_date(spark), given.CARD)
 
 
 def _zone_years(spark, sf_dir):
     zones = given.dim_location(spark, sf_dir)
-    return dashboard.zone_years(_rollup(spark, sf_dir), zones, given.dim_date(spark))
+    return dashboard.zone_years(given.daily_rollup(spark, sf_dir), zones, given.dim_date(spark))
 
 
 def _payment_years(spark, sf_dir):
     payments = given.dim_payment(spark)
-    return dashboard.payment_years(_rollup(spark, sf_dir), payments, given.dim_date(spark))
+    return dashboard.payment_years(given.daily_rollup(spark, sf_dir), payments, given.dim_date(spark))
 
 
 def _borough_years(spark, sf_dir):
     zones = given.dim_location(spark, sf_dir)
     return dashboard.borough_years(
-        _rollup(spark, sf_dir), zones, given.dim_date(spark), given.CARD, ["MIDDLE EAST"]
+        given.daily_rollup(spark, sf_dir), zones, given.dim_date(spark), given.CARD, ["MIDDLE EAST"]
     )
 
 
@@ -281,12 +277,12 @@ def dim_values(spark, sf_dir):
 
 
 def rollup_build(spark, sf_dir):
-    return _rollup(spark, sf_dir)
+    return build_rollup(given.trips(spark, sf_dir, located=True))
 
 
 def rollup_reconcile(spark, sf_dir):
     fact = given.trips(spark, sf_dir)
-    return quality.reconcile(fact, _rollup(spark, sf_dir))
+    return quality.reconcile(fact, given.daily_rollup(spark, sf_dir))
 
 
 def rollup_rebuild(spark, sf_dir):
@@ -328,7 +324,7 @@ def any_null(spark, sf_dir):
 
 
 def refund_filter(spark, sf_dir):
-    kept = cleaning.drop_refunds(given.raw_month(spark, sf_dir))
+    kept = cleaning.drop_refunds(given.raw_ends(spark, sf_dir))
     return kept.select("VendorID", "trip_distance", "fare_amount", "total_amount")
 
 
@@ -341,7 +337,10 @@ def order_check(spark, sf_dir):
 
 
 def negative_distance(spark, sf_dir):
-    return cleaning.count_negative_distance(given.raw_month(spark, sf_dir))
+    items = given.table(spark, sf_dir, "lineitem")
+    return cleaning.count_negative_distance(
+        items.select((F.col("l_quantity") - 3.0).alias("trip_distance"))
+    )
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -396,7 +395,7 @@ def dedupe_first(spark, sf_dir):
 
 def both_locations_unknown(spark, sf_dir):
     zones = given.dim_location(spark, sf_dir).filter(F.col("borough").isin("ASIA", "EUROPE"))
-    month = given.raw_month(spark, sf_dir)
+    month = given.raw_ends(spark, sf_dir)
     flagged = with_both_unknown(
         month, zones, "location_id", "PULocationID", "DOLocationID", "both_unknown"
     )

@@ -10,14 +10,18 @@ hour of the day matters.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthmill.functions.dates import date_key
 from monthmill.operators.joins import join_lookup
+from monthmill.plans.rollup import rebuild_rollup
 from monthmill.schemas import Era
+from monthmill.session import scratch_path
 from monthmill.sources.calendar import lakehouse_calendar, wide_calendar
+from monthmill.sources.files import list_files
 from monthmill.sources.lookups import inline_relation
 
 CARD = "R"
@@ -73,6 +77,32 @@ def trips(
     )
 
 
+_ROLLUPS: dict[tuple[str, str], str] = {}
+_BUILDING = threading.Lock()
+
+ROLLUP_DDL = """
+    pickup_date_key int, pickup_location_id bigint, payment_type string, trips bigint,
+    tipped_trips bigint, total_fare double, total_tip double, total_revenue double,
+    total_distance double, year int
+"""
+
+
+def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup as a table by year in the shared folder.
+
+    The first question of an application that wants it builds it; the others read it, and a filter
+    on year reads that year's files only.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _BUILDING:
+        path = _ROLLUPS.get(key)
+        if path is None or not list_files(spark, path).take(1):
+            path = scratch_path(spark, "daily")
+            rebuild_rollup(trips(spark, sf_dir, located=True), path)
+            _ROLLUPS[key] = path
+    return spark.read.schema(ROLLUP_DDL).parquet(path)
+
+
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as trips with a time of day."""
     when = F.col("ts")
@@ -128,25 +158,45 @@ def zone_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items at the full width of an incoming month.
+def _with_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order, customer and supplier.
 
-    Labels, found for some orders only, supply the columns that are missing together; a customer in
-    debt makes a refund; a trip starts at the order and ends at the shipment. Orders meet customers
-    first, so that line items are shuffled once, on the order key that labels share.
+    Orders meet customers first, so that line items are shuffled once on the order key.
     """
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
     )
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders = join_lookup(orders, customers, "o_custkey", "c_custkey")
     items = table(spark, sf_dir, "lineitem").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
+    return join_lookup(items, suppliers, "l_suppkey", "s_suppkey")
+
+
+def raw_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations, distance and fare of an incoming month; a customer in debt makes a refund."""
+    sign = F.when(F.col("c_acctbal") < 0, -1.0).otherwise(1.0)
+    return _with_ends(spark, sf_dir).select(
+        F.col("l_linenumber").alias("VendorID"),
+        (F.col("l_quantity") - 3.0).alias("trip_distance"),
+        F.col("s_nationkey").alias("PULocationID"),
+        F.col("c_nationkey").alias("DOLocationID"),
+        (F.col("l_extendedprice") * sign).alias("fare_amount"),
+        F.col("l_extendedprice").alias("total_amount"),
+    )
+
+
+def raw_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items at the full width of an incoming month.
+
+    Labels, found for some orders only, supply the columns that are missing together; a trip starts
+    at the order and ends at the shipment.
+    """
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    items = _with_ends(spark, sf_dir)
     items = items.join(labels, F.col("l_orderkey") == F.col("doc_id"), "left")
-    items = join_lookup(items, suppliers, "l_suppkey", "s_suppkey")
     labelled = F.col("quality").isNotNull()
     sign = F.when(F.col("c_acctbal") < 0, -1.0).otherwise(1.0)
     return items.select(
@@ -173,10 +223,12 @@ def raw_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the columns of the monthly files, drift columns as bigint."""
+def monthly_trips(spark: SparkSession, sf_dir: str, era: Era) -> DataFrame:
+    """Line items with the columns of the monthly files of one era."""
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    items = join_lookup(table(spark, sf_dir, "lineitem"), suppliers, "l_suppkey", "s_suppkey")
+    items = _shipped_in(table(spark, sf_dir, "lineitem"), era.years)
+    items = items.filter(F.month("l_shipdate").between(*era.months))
+    items = join_lookup(items, suppliers, "l_suppkey", "s_suppkey")
     when = F.col("l_shipdate")
     hours = F.make_dt_interval(F.lit(0), F.col("l_quantity").cast("int"))
     return items.select(
@@ -186,8 +238,8 @@ def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("long").alias("pulocationid"),
         F.col("l_suppkey").alias("dolocationid"),
         F.ascii("l_returnflag").cast("long").alias("payment_type"),
-        F.ascii("l_linestatus").cast("long").alias("ratecodeid"),
-        F.col("l_linenumber").cast("long").alias("passenger_count"),
+        F.ascii("l_linestatus").cast(era.drift_type).alias("ratecodeid"),
+        F.col("l_linenumber").cast(era.drift_type).alias("passenger_count"),
         F.col("l_extendedprice").alias("fare_amount"),
         F.col("l_discount").alias("tip_amount"),
         (F.col("l_extendedprice") + F.col("l_discount") + F.col("l_tax")).alias("total_amount"),
@@ -196,31 +248,22 @@ def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _era_part(months: DataFrame, era: Era) -> DataFrame:
-    part = months.filter(
-        F.col("year").between(*era.years) & F.col("month").between(*era.months)
-    )
-    for name in ("ratecodeid", "passenger_count"):
-        part = part.withColumn(name, F.col(name).cast(era.drift_type))
-    return part
-
-
 def write_month_layout(spark: SparkSession, sf_dir: str, base: str) -> None:
     """The monthly files as a partitioned table whose drift columns change type by era."""
-    months = monthly_trips(spark, sf_dir)
     for era in ERAS:
-        part = _era_part(months, era).withColumn("month", F.format_string("%02d", "month"))
-        part.hint("rebalance", F.col("year"), F.col("month")).write.mode("append").partitionBy(
-            "year", "month"
-        ).parquet(base)
+        padded = F.format_string("%02d", "month")
+        months = monthly_trips(spark, sf_dir, era).withColumn("month", padded)
+        _write_by(months, base, ["year", "month"])
 
 
 def write_published(spark: SparkSession, sf_dir: str, source: str) -> None:
     """The monthly files as published: one name per month, types changing by era."""
-    months = monthly_trips(spark, sf_dir)
     for era in ERAS:
         name = F.format_string("%d-%02d.parquet", "year", "month")
-        part = _era_part(months, era).withColumn("published", name).drop("year", "month")
-        part.hint("rebalance", F.col("published")).write.mode("append").partitionBy(
-            "published"
-        ).parquet(source)
+        months = monthly_trips(spark, sf_dir, era).withColumn("published", name)
+        _write_by(months.drop("year", "month"), source, ["published"])
+
+
+def _write_by(months: DataFrame, path: str, partitions: list[str]) -> None:
+    rows = months.hint("rebalance", *[F.col(name) for name in partitions])
+    rows.write.mode("append").partitionBy(*partitions).parquet(path)

@@ -19,17 +19,34 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return test
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    """The value as text that is equal exactly when values are; long texts as their SHA-256."""
-    kind = df.schema[name].dataType
-    value = F.col(name)
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        value = value + F.lit(0.0).cast(kind)  # -0.0 is 0.0
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        value = F.when(F.length(name) > LONG_TEXT, F.sha2(name, 256)).otherwise(value)
+def _long_text_as_digest(name: str) -> Column:
+    """Texts too long to shuffle as their SHA-256; shorter ones as they are, so the two cannot meet."""
+    return F.when(F.length(name) > LONG_TEXT, F.sha2(name, 256)).otherwise(F.col(name))
+
+
+def _slot(kind: T.DataType) -> str:
+    """Type under which a column's values can be grouped with those of other columns."""
+    if isinstance(kind, (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType)):
+        return "bigint"
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return "double"
+    if isinstance(kind, T.TimestampNTZType):
+        return "timestamp_ntz"
+    return "string"
+
+
+def _slot_value(kind: T.DataType, name: str) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.StringType):
+        return _long_text_as_digest(name)
+    if isinstance(kind, T.BinaryType):
+        return F.sha2(name, 256)
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        value = F.to_json(name)
-    return F.when(~is_missing(df, name), value.cast("string"))
+        return F.to_json(name)
+    return F.col(name).cast(_slot(kind))
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -38,14 +55,22 @@ def profile(df: DataFrame) -> DataFrame:
     One scan: cells become (position, value) rows that are counted before the shuffle, so columns
     with few values shrink to as many rows and a frequent value to one. Distinct counts are exact.
     """
-    cells = [
-        F.struct(F.lit(i).alias("pos"), _as_text(df, name).alias("value"))
-        for i, name in enumerate(df.columns)
-    ]
-    values = df.select(F.inline(F.array(*cells))).groupBy("pos", "value").agg(F.count("*").alias("n"))
+    slots = sorted({_slot(field.dataType) for field in df.schema})
+    cells = []
+    for i, field in enumerate(df.schema):
+        value = F.when(~is_missing(df, field.name), _slot_value(field.dataType, field.name))
+        own = _slot(field.dataType)
+        values = [(value if s == own else F.lit(None).cast(s)).alias(f"as_{s}") for s in slots]
+        missing = is_missing(df, field.name).alias("missing")
+        cells.append(F.struct(F.lit(i).alias("pos"), missing, *values))
+    values = (
+        df.select(F.inline(F.array(*cells)))
+        .groupBy("pos", "missing", *[f"as_{s}" for s in slots])
+        .agg(F.count("*").alias("n"))
+    )
     counted = values.groupBy("pos").agg(
         F.sum("n").alias("total"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing_count"),
+        F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("missing_count"),
         F.count("*").alias("unique_count"),
     )
     return _with_names(df, counted)
@@ -129,8 +154,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     """
     keys = []
     for field in df.schema:
-        long_text = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        keys.append((_as_text(df, field.name) if long_text else F.col(field.name)).alias(field.name))
+        kind, name = field.dataType, field.name
+        plain = not isinstance(kind, (T.StringType, T.BinaryType, T.MapType))
+        keys.append((F.col(name) if plain else _slot_value(kind, name)).alias(name))
     copies = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     return copies.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("total_rows"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthmill.sources.lookups import inline_relation
+
 
 def month_grid(
     spark: SparkSession, years: tuple[int, int], months: tuple[int, int] = (1, 12)
@@ -12,8 +14,8 @@ def month_grid(
     """year, month for every month of the range."""
     span = lambda ends: F.sequence(F.lit(ends[0]), F.lit(ends[1]))
     if years[0] > years[1]:
-        return spark.createDataFrame([], "year int, month int")
-    year = spark.range(1).select(F.explode(span(years)).alias("year"))
+        return inline_relation(spark, [], "year int, month int")
+    year = spark.range(0, 1, 1, 1).select(F.explode(span(years)).alias("year"))
     return year.select("year", F.explode(span(months)).alias("month"))
 
 

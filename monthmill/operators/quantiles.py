@@ -40,43 +40,42 @@ def _cell(value: Column, bits: int) -> Column:
     return F.when(value > 0, place).when(value < 0, -place).otherwise(F.lit(0).cast("long"))
 
 
-def _running(counts: DataFrame, group: list[str], order: str, start: Column) -> DataFrame:
-    """Adds ``below``: how many values of the column come before this row."""
-    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("below", start + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+def _counted(cells: DataFrame, group: list, cell: Column) -> DataFrame:
+    """Values per cell, with the smallest and largest: cells are disjoint, so these bound it."""
+    return cells.groupBy(*group, cell.alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
 
 
-def _holding(counts: DataFrame) -> DataFrame:
-    """Rows that hold a wanted rank, with just those ranks."""
+def _holding(counts: DataFrame, group: list, start: Column) -> DataFrame:
+    """The cells that hold a wanted rank, each with those ranks and the count of values below it."""
+    upto = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    below = start + F.coalesce(F.sum("n").over(upto), F.lit(0))
     inside = F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n")))
-    return counts.withColumn("ranks", inside).filter(F.size("ranks") > 0).drop("n")
+    kept = counts.withColumn("below", below).withColumn("ranks", inside)
+    return kept.filter(F.size("ranks") > 0).select("pos", "total", "ranks", "below", "lo", "hi")
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """pos, total and ``values``: one value per probability, interpolated between neighbours."""
     cells = long_form(df, columns)
-    whole = Window.partitionBy("pos")
 
-    coarse = cells.groupBy("pos", _cell(F.col("v"), COARSE_BITS).alias("cell"))
-    coarse = coarse.agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.sum("n").over(whole))
+    coarse = _counted(cells, ["pos"], _cell(F.col("v"), COARSE_BITS))
+    coarse = coarse.withColumn("total", F.sum("n").over(Window.partitionBy("pos")))
     spot = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
     wanted = F.array(*[f(s).cast("long") for s in spot for f in (F.floor, F.ceil)])
     coarse = coarse.withColumn("ranks", F.array_distinct(wanted))
-    kept = _holding(_running(coarse, ["pos"], "cell", F.lit(0)))
+    kept = _holding(coarse, ["pos"], F.lit(0))
 
-    for bits, finer in ((COARSE_BITS, _cell(F.col("v"), FINE_BITS)), (FINE_BITS, F.col("v"))):
+    for finer in (_cell(F.col("v"), FINE_BITS), F.col("v")):
         # At most two cells per probability and column: the broadcast does not grow with the data.
         held = F.broadcast(kept.withColumnRenamed("pos", "kept_pos"))
-        here = (F.col("pos") == F.col("kept_pos")) & (_cell(F.col("v"), bits) == F.col("cell"))
-        split = (
-            cells.join(held, here)
-            .groupBy("pos", "total", "ranks", F.col("below").alias("start"), finer.alias("finer"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        split = _running(split, ["pos", "start"], "finer", F.col("start"))
-        kept = _holding(split).drop("start").withColumnRenamed("finer", "cell")
+        here = (F.col("pos") == F.col("kept_pos")) & F.col("v").between(F.col("lo"), F.col("hi"))
+        group = ["pos", "total", "ranks", F.col("below").alias("start")]
+        split = _counted(cells.join(held, here).drop("lo", "hi"), group, finer)
+        kept = _holding(split, ["pos", "start"], F.col("start"))
 
-    found = kept.select("pos", "total", F.explode("ranks").alias("rank"), F.col("cell").alias("v"))
+    found = kept.select("pos", "total", F.explode("ranks").alias("rank"), F.col("lo").alias("v"))
     ranked = found.groupBy("pos", "total").agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")
     )
@@ -103,7 +102,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     )
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     names = F.array(*[F.lit(name) for name in columns])
-    every = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("pos"))
+    every = df.sparkSession.range(0, len(columns), 1, 1).select(F.col("id").cast("int").alias("pos"))
     return (
         every.join(basic, "pos", "left")
         .join(quartiles, "pos", "left")

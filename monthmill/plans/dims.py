@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthmill.fixed_values import FILL_TEXT, PAYMENT_TYPES, RATE_CODE_99, RATE_CODES
 from monthmill.operators.sets import first_per_key
 from monthmill.schemas import PAYMENT_TEXT, RATE_CODE_TEXT
-from monthmill.sources.lookups import inline_relation, text_as_missing
+from monthmill.sources.lookups import code_list, text_as_missing
 
 LOCATION_TEXT = ["borough", "zone", "service_zone"]
 
@@ -33,9 +33,9 @@ def location_notebook(zones: DataFrame, order: list[str]) -> DataFrame:
 
 
 def payment(spark: SparkSession, variant: str = "lakehouse") -> DataFrame:
-    return inline_relation(spark, PAYMENT_TYPES, f"payment_type bigint, {PAYMENT_TEXT[variant]} string")
+    return code_list(spark, PAYMENT_TYPES, f"payment_type bigint, {PAYMENT_TEXT[variant]} string")
 
 
 def rate_code(spark: SparkSession, variant: str = "lakehouse") -> DataFrame:
     rows = [*RATE_CODES, (99, RATE_CODE_99[variant])]
-    return inline_relation(spark, rows, f"rate_code_id bigint, {RATE_CODE_TEXT[variant]} string")
+    return code_list(spark, rows, f"rate_code_id bigint, {RATE_CODE_TEXT[variant]} string")

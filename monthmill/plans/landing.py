@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from monthmill.functions.names import parse_years
 from monthmill.operators.quality import month_grid, month_status
+from monthmill.sources.lookups import inline_relation
 from monthmill.sources.files import (
     MONTH_IN_NAME,
+    PUBLISHED,
     file_signatures,
     months_of,
     partition_files,
@@ -29,13 +31,13 @@ def candidate_months(spark: SparkSession, today: dt.date, lookback: int = LOOKBA
     """The last ``lookback`` months before the current one, which is never published."""
     first = F.trunc(F.lit(today), "month")
     back = F.explode(F.sequence(F.lit(1), F.lit(lookback))).alias("back")
-    months = spark.range(1 if lookback > 0 else 0).select(first.alias("first"), back)
+    months = spark.range(0, 1 if lookback > 0 else 0, 1, 1).select(first.alias("first"), back)
     day = F.add_months("first", -F.col("back"))
     return months.select(F.year(day).alias("year"), F.month(day).alias("month"))
 
 
 def one_month(spark: SparkSession, year: int, month: int) -> DataFrame:
-    return spark.createDataFrame([(year, month)], "year int, month int")
+    return inline_relation(spark, [(year, month)], "year int, month int")
 
 
 def backfill_plan(
@@ -79,13 +81,17 @@ def land(spark: SparkSession, source: str, target: str, plan: DataFrame) -> None
     """
     wanted = plan.filter(F.col("status") == "uploaded").select("year", "month")
     files = source_files(spark, source).join(wanted, ["year", "month"], "left_semi")
-    signed = files.join(file_signatures(files), "path")
+    published = F.regexp_extract("path", PUBLISHED, 1).alias("published")
+    months = (
+        files.join(file_signatures(files), "path")
+        .groupBy("year", "month")
+        .agg(F.collect_set("signature").alias("signatures"), F.collect_set(published).alias("paths"))
+    )
     groups: dict[str, list[str]] = {}
-    home: dict[tuple[int, int], str] = {}
-    for row in signed.select("signature", "path", "year", "month").collect():  # a row per file
-        if home.setdefault((row.year, row.month), row.signature) != row.signature:
+    for row in months.collect():  # one row per month, however many files it has
+        if len(row.signatures) > 1:
             raise ValueError(f"files of {row.year}-{row.month:02d} differ in their column types")
-        groups.setdefault(row.signature, []).append(row.path)
+        groups.setdefault(row.signatures[0], []).extend(row.paths)
     path = F.col("_metadata.file_path")
     for paths in groups.values():
         (
@@ -129,7 +135,8 @@ def _run(
     spark: SparkSession, source: str, target: str, plan: DataFrame, dry_run: bool
 ) -> DataFrame:
     # The plan is fixed before anything lands, or it would see its own results: one row per month.
-    fixed = spark.createDataFrame(plan.collect(), "year int, month int, status string")
+    rows = [tuple(row) for row in plan.select("year", "month", "status").collect()]
+    fixed = inline_relation(spark, rows, "year int, month int, status string")
     if not dry_run:
         land(spark, source, target, fixed)
     return fixed

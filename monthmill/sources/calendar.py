@@ -28,7 +28,7 @@ def date_bounds(*columns: DataFrame) -> DataFrame:
 
 
 def fixed_days(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
-    return _days(spark.range(1).select(F.lit(first).alias("lo"), F.lit(last).alias("hi")))
+    return _days(spark.range(0, 1, 1, 1).select(F.lit(first).alias("lo"), F.lit(last).alias("hi")))
 
 
 def lakehouse_calendar(

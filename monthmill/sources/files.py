@@ -13,9 +13,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthmill.sources.lookups import inline_relation
+
 # A published month: <prefix>2025-03.parquet, one file or a folder of part files. A landed one:
 # year=2025/month=03/ and any file in it.
 MONTH_IN_NAME = r"(\d{4})-(\d{2})\.parquet(?:/[^/]*)?$"
+PUBLISHED = r"^(.*\d{4}-\d{2}\.parquet)(?:/[^/]*)?$"
 MONTH_IN_FOLDER = r"/year=(\d{4})/month=(\d{1,2})/"
 
 LISTING_DDL = "path string, length bigint"
@@ -33,7 +36,7 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LISTING_DDL)
+        return inline_relation(spark, [], LISTING_DDL)
     return files.select("path", "length")
 
 

@@ -29,11 +29,28 @@ def zones_with_nulls(spark: SparkSession, path: str) -> DataFrame:
 
 
 def inline_relation(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    """A code list as a table, sorted by code."""
-    return spark.createDataFrame(sorted(rows), ddl)
-
-
-def inline_values(spark: SparkSession, rows: list[tuple[int, str]], names: list[str]) -> DataFrame:
-    """The same through SQL ``VALUES``; codes are bigint."""
-    values = ", ".join("({}L, '{}')".format(code, text.replace("'", "\\'")) for code, text in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS codes({', '.join(names)})")
+    """A few rows as a table, through SQL ``VALUES``.
+
+    Spark knows the size of such a relation, and so broadcasts it; of one made from Python rows it
+    does not, and would shuffle the fact to join it.
+    """
+    if not rows:
+        return spark.createDataFrame([], ddl).limit(0)  # planned as an empty relation
+    values = ", ".join(f"({', '.join(_literal(value) for value in row)})" for row in rows)
+    columns = [column.split() for column in ddl.split(",")]
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in columns)
+    names = ", ".join(name for name, _ in columns)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS inline_rows({names})")
+
+
+def _literal(value: int | str | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def code_list(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A mapping of codes to texts as a table, sorted by code."""
+    return inline_relation(spark, sorted(rows), ddl)

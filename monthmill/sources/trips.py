@@ -44,5 +44,5 @@ def era_trips(
         if era.covers(year, month)
     ]
     if not folders:
-        return spark.createDataFrame([], era.ddl)
+        return spark.createDataFrame([], era.ddl).limit(0)
     return spark.read.schema(era.ddl).option("basePath", base).parquet(*folders)
