@@ -1,0 +1,251 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from monthmill.operators import joins, keys, profile, quality, quantiles, sets, topk, windows
+
+
+# --- joins ---
+
+
+def test_left_keeps_and_inner_drops(spark, rows):
+    fact = spark.createDataFrame([(1, "a"), (9, "b"), (None, "c")], "k int, x string")
+    dim = spark.createDataFrame([(1, "one")], "id int, name string")
+    assert rows(joins.join_lookup(fact, dim, "k", "id"), "x", "name") == [
+        ("a", "one"), ("b", None), ("c", None),
+    ]
+    assert rows(joins.join_lookup(fact, dim, "k", "id", "inner"), "x") == [("a",)]
+
+
+def test_join_on_a_key_of_the_same_name(spark):
+    fact = spark.createDataFrame([(1,)], "payment_type int")
+    dim = spark.createDataFrame([(1, "Card")], "payment_type int, payment_desc string")
+    joined = joins.join_lookup(fact, dim, "payment_type", "payment_type")
+    assert joined.columns == ["payment_type", "payment_desc"]
+
+
+def test_absent_from(spark, rows):
+    left = spark.createDataFrame([(2025, 1), (2025, 2)], "year int, month int")
+    right = spark.createDataFrame([(2025, 1)], "year int, month int")
+    assert rows(joins.absent_from(left, right, ["year", "month"])) == [(2025, 2)]
+
+
+# --- windows and top-k ---
+
+
+def test_z_score(spark, listed):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 3), ("b", 5), ("c", 4), ("c", 4)], "g string, x int"
+    )
+    got = {(r.g, r.x): r.z for r in df.withColumn("z", windows.z_score(df, "x", ["g"])).collect()}
+    assert got[("a", 1)] == pytest.approx(-1 / math.sqrt(2))
+    assert got[("b", 5)] is None  # a single row has no deviation
+    assert got[("c", 4)] is None  # a deviation of 0
+
+
+def test_rolling_mean(spark, listed):
+    df = spark.createDataFrame([(1, 3), (2, 6), (3, 9), (4, 30)], "d int, n int")
+    got = windows.rolling_mean(df, "n", "d", 3, "mean").orderBy("d").select("mean")
+    assert listed(got) == [(3.0,), (4.5,), (6.0,), (15.0,)]
+
+
+def test_rank_breaks_ties(spark, listed):
+    df = spark.createDataFrame([(7, 5), (3, 5), (1, 9), (None, 5)], "d int, n int")
+    got = windows.rank_rows(df, "n", "d", "rank").orderBy("rank")
+    assert listed(got.select("rank", "d")) == [(1, 1), (2, 3), (3, 7), (4, None)]
+
+
+def test_top_k_puts_nulls_last(spark, listed):
+    df = spark.createDataFrame([("a", None), ("b", 1), ("c", 2), ("d", 2)], "k string, n int")
+    assert listed(topk.top_k(df, "n", 3, "k")) == [("c", 2), ("d", 2), ("b", 1)]
+    assert "TakeOrderedAndProject" in topk.top_k(df, "n", 3, "k")._jdf.queryExecution().toString()
+
+
+# --- sets ---
+
+
+def test_first_per_key(spark, rows):
+    df = spark.createDataFrame(
+        [(1, 2, "later"), (1, 1, "first"), (None, 5, "null"), (None, 4, "null first")],
+        "k int, line int, x string",
+    )
+    got = sets.first_per_key(df, ["k"], ["line"])
+    assert got.columns == df.columns
+    assert rows(got) == [(1, 1, "first"), (None, 4, "null first")]
+
+
+def test_first_per_key_reduces_before_the_shuffle(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("k"), "id")
+    plan = sets.first_per_key(df, ["k"], ["id"])._jdf.queryExecution().toString()
+    assert "partial_min" in plan
+
+
+# --- keys ---
+
+
+def test_primary_keys(spark, rows):
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "id int")
+    assert rows(keys.primary_key_violations([("t", df, ["id"])])) == [("t", 2, 1, 2)]
+
+
+def test_foreign_keys(spark, rows):
+    child = spark.createDataFrame([(1,), (1,), (7,), (7,), (8,), (None,)], "k int")
+    parent = spark.createDataFrame([(1,), (1,), (2,)], "id int")
+    whole = spark.createDataFrame([(1,), (7,), (8,)], "id int")
+    got = keys.foreign_key_violations(
+        [("bad", child, "k", parent, "id"), ("good", child, "k", whole, "id")]
+    )
+    assert rows(got) == [("bad", 2, 3), ("good", 0, 0)]
+
+
+def test_foreign_keys_meet_the_parent_after_grouping(spark):
+    """In the plan the child's partial count stands below the join, not above it."""
+    child = spark.range(1000).select((F.col("id") % 3).alias("k"))
+    parent = spark.range(5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = keys.foreign_key_violations([("c", child, "k", parent, "id")])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("SortMergeJoin") < plan.index("partial_count(1)", plan.index("SortMergeJoin"))
+    assert "LeftAnti" not in plan
+
+
+# --- quantiles ---
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_quantiles_equal_numpy(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = 5000
+    data = pd.DataFrame(
+        {
+            "normal": rng.normal(size=n),
+            "few": rng.integers(-2, 3, n).astype(float),
+            "hot": np.where(rng.random(n) < 0.4, 7.25, rng.lognormal(3, 4, n)),
+            "cents": np.round(rng.uniform(0, 100, n), 2),
+        }
+    )
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = quantiles.exact_quantiles(spark.createDataFrame(data), list(data.columns), probs)
+    for row in got.collect():
+        want = np.quantile(data[data.columns[row.pos]], probs)
+        assert row["values"] == pytest.approx(list(want), rel=1e-12, abs=1e-300)
+        assert row.total == n
+
+
+def test_quantiles_at_the_edges_of_double(spark):
+    values = [0.0, -0.0, 5e-324, -1e-310, 1e308, -1e308, 2.0**70, float(np.nextafter(2.0**70, 0))]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "x double")
+    got = quantiles.exact_quantiles(df, ["x"], [i / 7 for i in range(8)]).first()
+    assert got.total == 8
+    assert got["values"] == pytest.approx(sorted(values), rel=1e-12)
+
+
+def test_describe(spark):
+    data = pd.DataFrame({"a": [1.0, 2.0, 4.0, None], "b": [3, 3, 3, 3]})
+    df = spark.createDataFrame(data).withColumn("none", F.lit(None).cast("double"))
+    got = {r.column: r for r in quantiles.describe(df, ["a", "b", "none"]).collect()}
+    want = data.describe()
+    for name in ("a", "b"):
+        row = got[name]
+        mine = [row["count"], row.mean, row["std"], row.min, row.q25, row.q50, row.q75, row.max]
+        assert mine == pytest.approx(list(want[name]))
+    assert got["none"]["count"] == 0 and got["none"].q50 is None
+
+
+def test_quantiles_shuffle_counts_only(spark):
+    """No plan node gathers a column's values: what is exchanged is grouped first."""
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    plan = quantiles.exact_quantiles(df, ["x"], [0.5])._jdf.queryExecution().toString()
+    assert "percentile" not in plan and "collect_list(v" not in plan
+
+
+# --- profile ---
+
+
+def test_profile(spark, rows):
+    df = spark.createDataFrame(
+        [(1, 1.5, "a", True), (1, float("nan"), "a", None), (2, -0.0, None, True), (2, 0.0, "b", False)],
+        "i int, d double, s string, b boolean",
+    )
+    assert rows(profile.profile(df)) == [
+        ("b", "boolean", 1, 25.0, 3),
+        ("d", "double", 1, 25.0, 3),
+        ("i", "int", 0, 0.0, 2),
+        ("s", "string", 1, 25.0, 3),
+    ]
+
+
+def test_profile_of_other_types(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES
+           (DATE'2025-01-01', TIMESTAMP_NTZ'2025-01-01 01:00:00', 1.10BD, array(1, 2), X'01'),
+           (DATE'2025-01-01', TIMESTAMP_NTZ'2025-01-01 02:00:00', 1.1BD, array(1), X'02'),
+           (NULL, NULL, NULL, NULL, NULL) AS t(d, t, m, a, x)"""
+    ).withColumn("z", F.lit(None).cast("timestamp"))
+    got = {r.column: (r.missing_count, r.unique_count) for r in profile.profile(df).collect()}
+    assert got == {"d": (1, 2), "t": (1, 3), "m": (1, 2), "a": (1, 3), "x": (1, 3), "z": (3, 1)}
+
+
+def test_long_texts_are_told_apart(spark):
+    texts = ["x" * 5000 + "1", "x" * 5000 + "2", "x" * 5000 + "2", "short"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert profile.profile(df).first().unique_count == 3
+    assert tuple(profile.duplicate_rows(df).first()) == (4, 1)
+
+
+def test_quick_profile_agrees_on_small_data(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "i int, s string")
+    assert rows(profile.quick_profile(df)) == rows(profile.profile(df))
+
+
+def test_missing_split(spark, listed):
+    df = spark.createDataFrame([(1, None, None), (2, None, "x")], "a int, b int, c string")
+    report = profile.profile(df)
+    assert [r.column for r in profile.columns_with_missing(report).collect()] == ["b", "c"]
+    assert listed(profile.columns_without_missing(report)) == [("a",)]
+    assert sorted(listed(profile.missing_counts(df))) == [("b", 2), ("c", 1)]
+
+
+def test_negative_columns(spark, rows):
+    df = spark.createDataFrame([(1, -1.0, "-5"), (2, None, "x")], "a int, b double, c string")
+    assert rows(profile.negative_columns(df)) == [("b", 1)]
+
+
+def test_duplicates(spark):
+    df = spark.createDataFrame(
+        [(1, None), (1, None), (1, None), (2, "a"), (2, "b")], "a int, b string"
+    )
+    assert tuple(profile.duplicate_rows(df).first()) == (5, 2)
+    assert tuple(profile.duplicate_rows(df.limit(0)).first()) == (0, 0)
+
+
+# --- quality ---
+
+
+def test_month_status(spark, rows):
+    grid = quality.month_grid(spark, (2024, 2024), (1, 3))
+    published = spark.createDataFrame([(2024, 1), (2024, 2), (2024, 2)], "year int, month int")
+    present = spark.createDataFrame([(2024, 1), (2030, 1)], "year int, month int")
+    assert rows(quality.month_status(grid, published, present)) == [
+        (2024, 1, "skipped"), (2024, 2, "uploaded"), (2024, 3, "unpublished"),
+    ]
+
+
+def test_empty_range_of_years(spark):
+    assert quality.month_grid(spark, (2025, 2024)).count() == 0
+
+
+def test_reconcile_shows_a_loss(spark, rows):
+    fact = spark.createDataFrame([(2024,), (2024,), (2025,)], "year int")
+    rollup = spark.createDataFrame([(2024, 2), (2026, 5)], "year int, trips bigint")
+    assert rows(quality.reconcile(fact, rollup)) == [
+        (2024, 2, 2, 0), (2025, 1, 0, 1), (2026, 0, 5, -5), (None, 3, 7, -4),
+    ]
