@@ -216,15 +216,13 @@ def fact_view(spark, sf_dir):
 
 
 def fact_era_union(spark, sf_dir):
-    base = scratch_path(spark, "months")
-    given.write_month_layout(spark, sf_dir, base)
+    base = given.month_layout(spark, sf_dir)
     return fact_trips(spark, base, given.ERAS)
 
 
 def fact_narrow(spark, sf_dir):
     """Months before 1996 lie outside the declared range, so they are not part of the table."""
-    base = scratch_path(spark, "months")
-    given.write_month_layout(spark, sf_dir, base)
+    base = given.month_layout(spark, sf_dir)
     fact = narrow_fact(spark, base, years=(1996, 2001))
     return fact.groupBy("year", "month").agg(F.count("*").alias("trips"))
 
@@ -294,8 +292,7 @@ def rollup_rebuild(spark, sf_dir):
 
 def rollup_refresh(spark, sf_dir):
     """A rollup by year and month, some partitions of which are brought up to date afterwards."""
-    base, path = scratch_path(spark, "months"), scratch_path(spark, "rollup")
-    given.write_month_layout(spark, sf_dir, base)
+    base, path = given.month_layout(spark, sf_dir), scratch_path(spark, "rollup")
     fact = narrow_fact(spark, base, years=given.YEARS)
     by = ("year", "month")
     rebuild_rollup(fact.filter(F.col("year") < YEAR), path, by)
@@ -463,16 +460,14 @@ def months_absent(spark, sf_dir):
 
 def landing_rerun(spark, sf_dir):
     """Lands the months twice; the second run finds every published month present."""
-    source, target = scratch_path(spark, "published"), scratch_path(spark, "landed")
-    given.write_published(spark, sf_dir, source)
+    source, target = given.published_months(spark, sf_dir), scratch_path(spark, "landed")
     landing.backfill(spark, source, target, "1995-2002")
     return landing.backfill(spark, source, target, "1995-2002")
 
 
 def landed_trips(spark, sf_dir):
     """Lands the months, then reads them through their eras."""
-    source, target = scratch_path(spark, "published"), scratch_path(spark, "landed")
-    given.write_published(spark, sf_dir, source)
+    source, target = given.published_months(spark, sf_dir), scratch_path(spark, "landed")
     landing.backfill(spark, source, target, "1995-2001")
     fact = fact_trips(spark, target, given.ERAS)
     return fact.groupBy("year", "month", "rate_code_id").agg(
@@ -482,8 +477,7 @@ def landed_trips(spark, sf_dir):
 
 def schema_eras(spark, sf_dir):
     """Signatures of the drift columns over monthly files, with the months they span."""
-    base = scratch_path(spark, "months")
-    given.write_month_layout(spark, sf_dir, base)
+    base = given.month_layout(spark, sf_dir)
     files = partition_files(spark, base)
     found = signature_summary(files, ["ratecodeid", "passenger_count"])
     return found.drop("files")
@@ -498,9 +492,8 @@ def schema_signatures(spark, sf_dir):
 
 def stream_rollup(spark, sf_dir):
     """The rollup kept by three runs: at first, after months landed, and with nothing new."""
-    source, base = scratch_path(spark, "published"), scratch_path(spark, "landed")
+    source, base = given.published_months(spark, sf_dir), scratch_path(spark, "landed")
     rollup, checkpoint = scratch_path(spark, "rollup"), scratch_path(spark, "progress")
-    given.write_published(spark, sf_dir, source)
     for years in ("1995-1998", "1999-2001", "1999-2001"):
         landing.backfill(spark, source, base, years)
         run_rollup_refresh(spark, base, rollup, checkpoint, years=given.YEARS)

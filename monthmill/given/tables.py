@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from monthmill.plans.rollup import rebuild_rollup
 from monthmill.schemas import Era
 from monthmill.session import scratch_path
 from monthmill.sources.calendar import lakehouse_calendar, wide_calendar
-from monthmill.sources.files import list_files
+from monthmill.sources.files import is_written
 from monthmill.sources.lookups import inline_relation
 
 CARD = "R"
@@ -37,8 +38,29 @@ ERAS = [
 ]
 
 
+# Declared, so that no query starts with a job that reads a footer to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _shipped_in(items: DataFrame, years: tuple[int, int] | None) -> DataFrame:
@@ -77,8 +99,23 @@ def trips(
     )
 
 
-_ROLLUPS: dict[tuple[str, str], str] = {}
-_BUILDING = threading.Lock()
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITING = threading.Lock()
+
+
+def _written_once(
+    spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]
+) -> str:
+    """Path of a table in the shared folder that an application writes when it is first wanted."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    with _WRITING:
+        path = _WRITTEN.get(key)
+        if path is None or not is_written(spark, path):
+            path = scratch_path(spark, label)
+            write(path)
+            _WRITTEN[key] = path
+    return path
+
 
 ROLLUP_DDL = """
     pickup_date_key int, pickup_location_id bigint, payment_type string, trips bigint,
@@ -88,18 +125,9 @@ ROLLUP_DDL = """
 
 
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rollup as a table by year in the shared folder.
-
-    The first question of an application that wants it builds it; the others read it, and a filter
-    on year reads that year's files only.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _BUILDING:
-        path = _ROLLUPS.get(key)
-        if path is None or not list_files(spark, path).take(1):
-            path = scratch_path(spark, "daily")
-            rebuild_rollup(trips(spark, sf_dir, located=True), path)
-            _ROLLUPS[key] = path
+    """The rollup as a table by year, written once; a filter on year reads that year's files."""
+    fact = trips(spark, sf_dir, located=True)
+    path = _written_once(spark, sf_dir, "daily", lambda path: rebuild_rollup(fact, path))
     return spark.read.schema(ROLLUP_DDL).parquet(path)
 
 
@@ -248,20 +276,28 @@ def monthly_trips(spark: SparkSession, sf_dir: str, era: Era) -> DataFrame:
     )
 
 
-def write_month_layout(spark: SparkSession, sf_dir: str, base: str) -> None:
-    """The monthly files as a partitioned table whose drift columns change type by era."""
-    for era in ERAS:
-        padded = F.format_string("%02d", "month")
-        months = monthly_trips(spark, sf_dir, era).withColumn("month", padded)
-        _write_by(months, base, ["year", "month"])
+def month_layout(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the monthly files as a partitioned table whose drift columns change type by era."""
+
+    def write(path: str) -> None:
+        for era in ERAS:
+            padded = F.format_string("%02d", "month")
+            months = monthly_trips(spark, sf_dir, era).withColumn("month", padded)
+            _write_by(months, path, ["year", "month"])
+
+    return _written_once(spark, sf_dir, "months", write)
+
+
+def published_months(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the monthly files as published: one name per month, types changing by era."""
 
+    def write(path: str) -> None:
+        for era in ERAS:
+            name = F.format_string("%d-%02d.parquet", "year", "month")
+            months = monthly_trips(spark, sf_dir, era).withColumn("published", name)
+            _write_by(months.drop("year", "month"), path, ["published"])
 
-def write_published(spark: SparkSession, sf_dir: str, source: str) -> None:
-    """The monthly files as published: one name per month, types changing by era."""
-    for era in ERAS:
-        name = F.format_string("%d-%02d.parquet", "year", "month")
-        months = monthly_trips(spark, sf_dir, era).withColumn("published", name)
-        _write_by(months.drop("year", "month"), source, ["published"])
+    return _written_once(spark, sf_dir, "published", write)
 
 
 def _write_by(months: DataFrame, path: str, partitions: list[str]) -> None:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthmill.sources.lookups import inline_relation
+
 COARSE_BITS = 10
 FINE_BITS = 30
 LOWEST_EXPONENT = -900  # smaller magnitudes share the lowest octave; order is kept all the same
@@ -18,15 +20,10 @@ PAST_FINITE = 1 << 62
 
 
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column position and value, one row per non-missing cell (NaN counts as missing)."""
-    cells = [
-        F.struct(
-            F.lit(i).alias("pos"),
-            (F.nullif(F.col(name).cast("double"), F.lit(float("nan"))) + F.lit(0.0)).alias("v"),
-        )
-        for i, name in enumerate(columns)
-    ]
-    return df.select(F.inline(F.array(*cells))).filter(F.col("v").isNotNull())
+    """column and v (double), one row per non-missing cell; NaN counts as missing, -0.0 as 0.0."""
+    nan = F.lit(float("nan"))
+    values = [(F.nullif(F.col(c).cast("double"), nan) + F.lit(0.0)).alias(c) for c in columns]
+    return df.select(*values).unpivot([], columns, "column", "v").filter(F.col("v").isNotNull())
 
 
 def _cell(value: Column, bits: int) -> Column:
@@ -53,30 +50,30 @@ def _holding(counts: DataFrame, group: list, start: Column) -> DataFrame:
     below = start + F.coalesce(F.sum("n").over(upto), F.lit(0))
     inside = F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n")))
     kept = counts.withColumn("below", below).withColumn("ranks", inside)
-    return kept.filter(F.size("ranks") > 0).select("pos", "total", "ranks", "below", "lo", "hi")
+    return kept.filter(F.size("ranks") > 0).select("column", "total", "ranks", "below", "lo", "hi")
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """pos, total and ``values``: one value per probability, interpolated between neighbours."""
+    """column, total and ``values``: one value per probability, interpolated between neighbours."""
     cells = long_form(df, columns)
 
-    coarse = _counted(cells, ["pos"], _cell(F.col("v"), COARSE_BITS))
-    coarse = coarse.withColumn("total", F.sum("n").over(Window.partitionBy("pos")))
+    coarse = _counted(cells, ["column"], _cell(F.col("v"), COARSE_BITS))
+    coarse = coarse.withColumn("total", F.sum("n").over(Window.partitionBy("column")))
     spot = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
     wanted = F.array(*[f(s).cast("long") for s in spot for f in (F.floor, F.ceil)])
     coarse = coarse.withColumn("ranks", F.array_distinct(wanted))
-    kept = _holding(coarse, ["pos"], F.lit(0))
+    kept = _holding(coarse, ["column"], F.lit(0))
 
     for finer in (_cell(F.col("v"), FINE_BITS), F.col("v")):
         # At most two cells per probability and column: the broadcast does not grow with the data.
-        held = F.broadcast(kept.withColumnRenamed("pos", "kept_pos"))
-        here = (F.col("pos") == F.col("kept_pos")) & F.col("v").between(F.col("lo"), F.col("hi"))
-        group = ["pos", "total", "ranks", F.col("below").alias("start")]
+        held = F.broadcast(kept.withColumnRenamed("column", "kept_column"))
+        here = (F.col("column") == F.col("kept_column")) & F.col("v").between(F.col("lo"), F.col("hi"))
+        group = ["column", "total", "ranks", F.col("below").alias("start")]
         split = _counted(cells.join(held, here).drop("lo", "hi"), group, finer)
-        kept = _holding(split, ["pos", "start"], F.col("start"))
+        kept = _holding(split, ["column", "start"], F.col("start"))
 
-    found = kept.select("pos", "total", F.explode("ranks").alias("rank"), F.col("lo").alias("v"))
-    ranked = found.groupBy("pos", "total").agg(
+    found = kept.select("column", "total", F.explode("ranks").alias("rank"), F.col("lo").alias("v"))
+    ranked = found.groupBy("column", "total").agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")
     )
     results = []
@@ -84,14 +81,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
         low = F.element_at("at", F.floor(s).cast("long"))
         high = F.element_at("at", F.ceil(s).cast("long"))
         results.append(low + (high - low) * (s - F.floor(s)))
-    return ranked.select("pos", "total", F.array(*results).alias("values"))
+    return ranked.select("column", "total", F.array(*results).alias("values"))
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: count, mean, std, min, three exact quartiles, max; null where all is missing."""
     basic = (
         long_form(df, columns)
-        .groupBy("pos")
+        .groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("count"),
             F.avg("v").alias("mean"),
@@ -101,13 +98,12 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         )
     )
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    names = F.array(*[F.lit(name) for name in columns])
-    every = df.sparkSession.range(0, len(columns), 1, 1).select(F.col("id").cast("int").alias("pos"))
+    every = inline_relation(df.sparkSession, [(name,) for name in columns], "column string")
     return (
-        every.join(basic, "pos", "left")
-        .join(quartiles, "pos", "left")
+        every.join(basic, "column", "left")
+        .join(quartiles, "column", "left")
         .select(
-            names[F.col("pos")].alias("column"),
+            "column",
             F.coalesce("count", F.lit(0)).alias("count"),
             "mean",
             "std",

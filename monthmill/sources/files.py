@@ -40,6 +40,17 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     return files.select("path", "length")
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Has a job finished writing a table there?"""
+    try:
+        spark.read.schema("value string").text(f"{path.rstrip('/')}/_SUCCESS")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def _with_month(files: DataFrame, pattern: str) -> DataFrame:
     return (
         files.filter(F.col("path").rlike(pattern))

@@ -135,7 +135,7 @@ def test_quantiles_equal_numpy(spark, seed):
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = quantiles.exact_quantiles(spark.createDataFrame(data), list(data.columns), probs)
     for row in got.collect():
-        want = np.quantile(data[data.columns[row.pos]], probs)
+        want = np.quantile(data[row.column], probs)
         assert row["values"] == pytest.approx(list(want), rel=1e-12, abs=1e-300)
         assert row.total == n
 
