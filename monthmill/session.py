@@ -11,8 +11,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str, cores: int = 8, memory: str = "12g") -> SparkSession:
-    spark = (
+def local_session(
+    app: str, cores: int = 8, memory: str = "12g", warehouse: str | None = None
+) -> SparkSession:
+    """``warehouse`` is where managed tables go, by default a folder below the working directory."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -22,8 +25,10 @@ def local_session(app: str, cores: int = 8, memory: str = "12g") -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if warehouse is not None:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -11,8 +11,8 @@ from monthmill.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("tests")
+def spark(tmp_path_factory):
+    return local_session("tests", warehouse=str(tmp_path_factory.mktemp("warehouse")))
 
 
 @pytest.fixture
