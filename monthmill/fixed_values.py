@@ -72,3 +72,30 @@ REFUND_AMOUNTS = [
 NO_BOROUGH = ["Unknown", "N/A"]
 MISSING_TEXT = ["N/A", "NA", ""]
 FILL_TEXT = "Unknown"
+
+# The columns of the wide fact, the type each is pinned to (None keeps the source's; a
+# date becomes its key) and the names it may come from.
+WIDE_COLUMNS = [
+    ("vendor_id", "int", ["VendorID", "vendorid", "vendor_id"]),
+    ("pickup_date_key", "date", ["Pickup_date", "pickup_date"]),
+    ("dropoff_date_key", "date", ["Dropoff_date", "dropoff_date"]),
+    ("pickup_location_id", "int", ["PULocationID", "pulocationid", "pu_location_id"]),
+    ("dropoff_location_id", "int", ["DOLocationID", "dolocationid", "do_location_id"]),
+    ("rate_code_id", "int", ["RatecodeID", "ratecodeid", "rate_code_id"]),
+    ("payment_type", "int", ["payment_type", "paymenttype"]),
+    ("store_and_fwd_flag", "string", ["store_and_fwd_flag"]),
+    ("pickup_time", None, ["Pickup_time", "pickup_time"]),
+    ("dropoff_time", None, ["Dropoff_time", "dropoff_time"]),
+    ("passenger_count", "int", ["passenger_count"]),
+    ("trip_distance", None, ["trip_distance"]),
+    ("fare_amount", None, ["fare_amount"]),
+    ("extra", None, ["extra"]),
+    ("mta_tax", None, ["mta_tax"]),
+    ("tip_amount", None, ["tip_amount"]),
+    ("tolls_amount", None, ["tolls_amount"]),
+    ("improvement_surcharge", None, ["improvement_surcharge"]),
+    ("congestion_surcharge", None, ["congestion_surcharge"]),
+    ("airport_fee", None, ["Airport_fee", "airport_fee"]),
+    ("cbd_congestion_fee", None, ["cbd_congestion_fee"]),
+    ("total_amount", None, ["total_amount"]),
+]

@@ -16,12 +16,12 @@ def tidy_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[tidy_name(name) for name in df.columns])
 
 
-def resolve_column(df: DataFrame, *candidates: str) -> str:
-    """First candidate that is a column, by exact case."""
-    for name in candidates:
-        if name in df.columns:
-            return name
-    raise KeyError(f"no column among {candidates}")
+def first_column(df: DataFrame, names: list[str]) -> str:
+    """The first of the names that is a column, by exact case."""
+    found = existing_columns(df, names)
+    if not found:
+        raise KeyError(f"no column is named any of {names}")
+    return found[0]
 
 
 def existing_columns(df: DataFrame, names: list[str]) -> list[str]:
@@ -39,7 +39,7 @@ def month_file(prefix: str, year: Column, month: Column) -> Column:
     return F.format_string(f"{prefix}_%d-%02d.parquet", year, month)
 
 
-def parse_years(spec: str) -> tuple[int, int]:
+def year_range(spec: str) -> tuple[int, int]:
     """``"2021-2025"`` or ``"2025"`` as first and last year."""
     first, _, last = spec.partition("-")
     return int(first), int(last or first)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from monthmill.functions.dates import seconds_of_day
 from monthmill.given import tables as given
 from monthmill.operators import cleaning, keys, profile, quality, quantiles
-from monthmill.operators.joins import absent_from, join_lookup, with_both_unknown
+from monthmill.operators.joins import absent_from, count_both_unknown, join_lookup
 from monthmill.operators.sets import first_per_key
 from monthmill.plans import dashboard, demand, dims, lakehouse, landing
 from monthmill.plans.fact import fact_trips, narrow_fact, wide_fact
@@ -392,11 +392,8 @@ def dedupe_first(spark, sf_dir):
 
 def both_locations_unknown(spark, sf_dir):
     zones = given.dim_location(spark, sf_dir).filter(F.col("borough").isin("ASIA", "EUROPE"))
-    month = given.raw_ends(spark, sf_dir)
-    flagged = with_both_unknown(
-        month, zones, "location_id", "PULocationID", "DOLocationID", "both_unknown"
-    )
-    return flagged.groupBy("both_unknown").agg(F.count("*").alias("trips"))
+    ends = given.raw_ends(spark, sf_dir)
+    return count_both_unknown(ends, zones, "location_id", "PULocationID", "DOLocationID")
 
 
 def pk_check(spark, sf_dir):
@@ -449,8 +446,8 @@ def landing_totals(spark, sf_dir):
 
 
 def landing_plan(spark, sf_dir):
-    months = landing.candidate_months(spark, dt.date(2001, 12, 15))
-    return landing.catch_up_plan(months, *_ship_and_order_months(spark, sf_dir), max_uploads=2)
+    months = landing.months_before(spark, dt.date(2001, 12, 15))
+    return landing.catch_up_plan(months, *_ship_and_order_months(spark, sf_dir), cap=2)
 
 
 def months_absent(spark, sf_dir):

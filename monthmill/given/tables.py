@@ -186,16 +186,20 @@ def zone_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, customer and supplier.
+def _with_ends(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
+    """Line items with their order, customer and supplier, and the order's label if wanted.
 
-    Orders meet customers first, so that line items are shuffled once on the order key.
+    Orders are completed first, so that line items are shuffled once on the order key; customers
+    come last, so that both sides of that join are fresh shuffles, whose hot keys can be split.
     """
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
     )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    if labelled:
+        labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+        orders = join_lookup(orders, labels, "o_orderkey", "doc_id")
     orders = join_lookup(orders, customers, "o_custkey", "c_custkey")
     items = table(spark, sf_dir, "lineitem").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
@@ -222,9 +226,7 @@ def raw_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     Labels, found for some orders only, supply the columns that are missing together; a trip starts
     at the order and ends at the shipment.
     """
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    items = _with_ends(spark, sf_dir)
-    items = items.join(labels, F.col("l_orderkey") == F.col("doc_id"), "left")
+    items = _with_ends(spark, sf_dir, labelled=True)
     labelled = F.col("quality").isNotNull()
     sign = F.when(F.col("c_acctbal") < 0, -1.0).otherwise(1.0)
     return items.select(

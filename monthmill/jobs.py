@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from monthmill.plans.landing import LOOKBACK, MAX_UPLOADS, backfill, catch_up
+from monthmill.plans.landing import LOOKBACK_MONTHS, UPLOAD_CAP, backfill, catch_up
 from monthmill.streaming.refresh import run_rollup_refresh
 
 
@@ -24,8 +24,8 @@ def parser() -> argparse.ArgumentParser:
     recent = jobs.add_parser("catch-up", help="land recent missing months")
     recent.add_argument("--source", required=True)
     recent.add_argument("--target", required=True)
-    recent.add_argument("--lookback", type=int, default=LOOKBACK)
-    recent.add_argument("--max-uploads", type=int, default=MAX_UPLOADS)
+    recent.add_argument("--lookback", type=int, default=LOOKBACK_MONTHS)
+    recent.add_argument("--cap", type=int, default=UPLOAD_CAP)
     recent.add_argument("--month", help="only this month, as 2025-01")
 
     refresh = jobs.add_parser("refresh", help="bring the rollup up to date with landed files")
@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "catch-up":
         month = tuple(int(part) for part in args.month.split("-")) if args.month else None
         done = catch_up(
-            spark, args.source, args.target, dt.date.today(), args.lookback, args.max_uploads, month
+            spark, args.source, args.target, dt.date.today(), args.lookback, args.cap, month
         )
         done.show(1000, False)
     else:

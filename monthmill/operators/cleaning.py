@@ -100,7 +100,7 @@ def audit_month(
     pickup_location: str = "PULocationID",
     dropoff_location: str = "DOLocationID",
 ) -> DataFrame:
-    """step_no, step, rows_before, dropped, rows_after of the chain, from a single aggregate.
+    """step_no, step, rows_before, dropped, rows_after of the chain, from a single pass.
 
     The last step only reports (rows with both locations unknown stay), so it drops none and its
     finding is in ``flagged``; so is the count of rows with any missing column in the first step.
@@ -110,16 +110,18 @@ def audit_month(
         ("drop_reversed", reversed_trip()),
         ("drop_refunds", refund(df, amounts)),
     ]
-    flagged = with_both_unknown(
-        df, lookup, lookup_key, pickup_location, dropoff_location, "__unknown"
-    )
     alive: Column = F.lit(True)
     counts = [F.count("*").alias("rows_0"), F.count_if(any_missing(df, missing)).alias("flag_0")]
     for i, (_, test) in enumerate(steps, 1):
         alive = alive & ~test
         counts.append(F.count_if(alive).alias(f"rows_{i}"))
-    counts.append(F.count_if(alive & F.col("__unknown")).alias("flag_last"))
-    one = flagged.agg(*counts)
+    # Counted per pair of locations first: the lookup then meets pairs, not trips.
+    pairs = df.groupBy(pickup_location, dropoff_location).agg(*counts)
+    pairs = with_both_unknown(
+        pairs, lookup, lookup_key, pickup_location, dropoff_location, "__unknown"
+    ).withColumn("flag_last", F.when(F.col("__unknown"), F.col(f"rows_{len(steps)}")))
+    totals = [f"rows_{i}" for i in range(len(steps) + 1)] + ["flag_0", "flag_last"]
+    one = pairs.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in totals])
 
     names = [name for name, _ in steps] + ["report_unknown_locations"]
     rows = []

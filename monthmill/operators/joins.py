@@ -52,5 +52,14 @@ def with_both_unknown(
     return df.withColumn(out, both).drop("__first_known", "__second_known")
 
 
+def count_both_unknown(
+    df: DataFrame, lookup: DataFrame, lookup_key: str, first: str, second: str
+) -> DataFrame:
+    """both_unknown, trips. Trips are counted per pair of keys before they meet the lookup."""
+    pairs = df.groupBy(first, second).agg(F.count("*").alias("n"))
+    flagged = with_both_unknown(pairs, lookup, lookup_key, first, second, "both_unknown")
+    return flagged.groupBy("both_unknown").agg(F.sum("n").alias("trips"))
+
+
 def absent_from(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, keys, "left_anti")

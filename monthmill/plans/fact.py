@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthmill.fixed_values import WIDE_COLUMNS
 from monthmill.functions.dates import date_key, date_key_from_text
 from monthmill.functions.measures import whole_number
-from monthmill.functions.names import resolve_column
+from monthmill.functions.names import first_column
 from monthmill.operators.sets import union_all
 from monthmill.schemas import TRIP_ERAS, Era
 from monthmill.sources.files import month_list, months_of, partition_files
@@ -54,33 +55,6 @@ def narrow_fact(spark: SparkSession, base: str, **ranges: tuple[int, int]) -> Da
     return fact_shape(narrow_trips(spark, base, **ranges))
 
 
-# Column of the wide fact, type it is pinned to (None keeps the source's), names it may come from.
-WIDE_COLUMNS = [
-    ("vendor_id", "int", ["VendorID", "vendorid", "vendor_id"]),
-    ("pickup_date_key", "date", ["Pickup_date", "pickup_date"]),
-    ("dropoff_date_key", "date", ["Dropoff_date", "dropoff_date"]),
-    ("pickup_location_id", "int", ["PULocationID", "pulocationid", "pu_location_id"]),
-    ("dropoff_location_id", "int", ["DOLocationID", "dolocationid", "do_location_id"]),
-    ("rate_code_id", "int", ["RatecodeID", "ratecodeid", "rate_code_id"]),
-    ("payment_type", "int", ["payment_type", "paymenttype"]),
-    ("store_and_fwd_flag", "string", ["store_and_fwd_flag"]),
-    ("pickup_time", None, ["Pickup_time", "pickup_time"]),
-    ("dropoff_time", None, ["Dropoff_time", "dropoff_time"]),
-    ("passenger_count", "int", ["passenger_count"]),
-    ("trip_distance", None, ["trip_distance"]),
-    ("fare_amount", None, ["fare_amount"]),
-    ("extra", None, ["extra"]),
-    ("mta_tax", None, ["mta_tax"]),
-    ("tip_amount", None, ["tip_amount"]),
-    ("tolls_amount", None, ["tolls_amount"]),
-    ("improvement_surcharge", None, ["improvement_surcharge"]),
-    ("congestion_surcharge", None, ["congestion_surcharge"]),
-    ("airport_fee", None, ["Airport_fee", "airport_fee"]),
-    ("cbd_congestion_fee", None, ["cbd_congestion_fee"]),
-    ("total_amount", None, ["total_amount"]),
-]
-
-
 def wide_fact(cleaned: DataFrame) -> DataFrame:
     """A cleaned month as the 22-column fact, keys pinned to 32-bit integers."""
 
@@ -91,7 +65,7 @@ def wide_fact(cleaned: DataFrame) -> DataFrame:
 
     return cleaned.select(
         *[
-            column(kind, resolve_column(cleaned, *names)).alias(name)
+            column(kind, first_column(cleaned, names)).alias(name)
             for name, kind, names in WIDE_COLUMNS
         ]
     )

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monthmill.functions.names import parse_years
+from monthmill.functions.names import year_range
 from monthmill.operators.quality import month_grid, month_status
 from monthmill.sources.lookups import inline_relation
 from monthmill.sources.files import (
@@ -23,11 +23,11 @@ from monthmill.sources.files import (
     source_files,
 )
 
-LOOKBACK = 12
-MAX_UPLOADS = 3
+LOOKBACK_MONTHS = 12
+UPLOAD_CAP = 3
 
 
-def candidate_months(spark: SparkSession, today: dt.date, lookback: int = LOOKBACK) -> DataFrame:
+def months_before(spark: SparkSession, today: dt.date, lookback: int = LOOKBACK_MONTHS) -> DataFrame:
     """The last ``lookback`` months before the current one, which is never published."""
     first = F.trunc(F.lit(today), "month")
     back = F.explode(F.sequence(F.lit(1), F.lit(lookback))).alias("back")
@@ -44,11 +44,11 @@ def backfill_plan(
     spark: SparkSession, years: str, published: DataFrame, present: DataFrame
 ) -> DataFrame:
     """Status of every month of ``"2021-2025"`` or ``"2025"``."""
-    return month_status(month_grid(spark, parse_years(years)), published, present)
+    return month_status(month_grid(spark, year_range(years)), published, present)
 
 
 def catch_up_plan(
-    months: DataFrame, published: DataFrame, present: DataFrame, max_uploads: int = MAX_UPLOADS
+    months: DataFrame, published: DataFrame, present: DataFrame, cap: int = UPLOAD_CAP
 ) -> DataFrame:
     """Status of the given months, newest first, until the cap on uploads is reached.
 
@@ -59,7 +59,7 @@ def catch_up_plan(
     before = newest.rowsBetween(Window.unboundedPreceding, -1)
     upload = (F.col("status") == "uploaded").cast("int")
     done = F.coalesce(F.sum(upload).over(before), F.lit(0))
-    status = F.when(done >= max_uploads, "not_reached").otherwise(F.col("status"))
+    status = F.when(done >= cap, "not_reached").otherwise(F.col("status"))
     return month_status(months, published, present).withColumn("status", status)
 
 
@@ -119,15 +119,15 @@ def catch_up(
     source: str,
     target: str,
     today: dt.date,
-    lookback: int = LOOKBACK,
-    max_uploads: int = MAX_UPLOADS,
+    lookback: int = LOOKBACK_MONTHS,
+    cap: int = UPLOAD_CAP,
     month: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Lands recent missing months, or just the one named; returns the months looked at."""
     published = months_of(source_files(spark, source))
     present = months_of(partition_files(spark, target))
-    months = one_month(spark, *month) if month else candidate_months(spark, today, lookback)
-    plan = catch_up_plan(months, published, present, max_uploads)
+    months = one_month(spark, *month) if month else months_before(spark, today, lookback)
+    plan = catch_up_plan(months, published, present, cap)
     return _run(spark, source, target, plan.filter(F.col("status") != "not_reached"), False)
 
 

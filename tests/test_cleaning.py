@@ -3,9 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from monthmill.fixed_values import WIDE_COLUMNS
 from monthmill.operators import cleaning
-from monthmill.operators.joins import with_both_unknown
-from monthmill.plans.fact import WIDE_COLUMNS, wide_fact, with_trip_id
+from monthmill.operators.joins import count_both_unknown, with_both_unknown
+from monthmill.plans.fact import wide_fact, with_trip_id
 from tests.trip_frames import ABSENT, CASES, raw_month
 
 
@@ -102,6 +103,8 @@ def test_both_unknown(spark):
         0: False, 1: True, 2: False, 3: True,
     }
     assert got.count() == 4
+    counts = count_both_unknown(df, zones, "location_id", "PULocationID", "DOLocationID")
+    assert {row.both_unknown: row.trips for row in counts.collect()} == {True: 2, False: 2}
 
 
 def test_audit_adds_up(spark, listed):
@@ -116,6 +119,12 @@ def test_audit_adds_up(spark, listed):
     ]
 
 
+def test_audit_of_nothing(spark, listed):
+    zones = spark.createDataFrame([(1,)], "location_id bigint")
+    got = listed(cleaning.audit_month(raw_month(spark, {}).limit(0), zones))
+    assert [row[2:] for row in got] == [(0, 0, 0, 0)] * 4
+
+
 def test_negative_distance(spark):
     df = raw_month(spark, {"trip_distance": -1.0}, {"trip_distance": None}, {})
     assert cleaning.count_negative_distance(df).first()[0] == 1

@@ -101,11 +101,11 @@ def test_tidy_names(spark):
     assert names.tidy_columns(df).columns == ["vendorid", "trip_distance_mi", "ok_1"]
 
 
-def test_resolve_column_goes_by_case(spark):
+def test_first_column_goes_by_case(spark):
     df = spark.createDataFrame([(1, 2)], "Pickup_date int, x int")
-    assert names.resolve_column(df, "pickup_date", "Pickup_date") == "Pickup_date"
+    assert names.first_column(df, ["pickup_date", "Pickup_date"]) == "Pickup_date"
     with pytest.raises(KeyError):
-        names.resolve_column(df, "pickup_date")
+        names.first_column(df, ["pickup_date"])
     assert names.existing_columns(df, ["pickup_date", "x"]) == ["x"]
 
 
@@ -116,6 +116,6 @@ def test_month_names_are_padded(spark, listed):
     assert listed(df.select(folder, file)) == [("year=2025/month=03", "trips_2025-03.parquet")]
 
 
-def test_parse_years():
-    assert names.parse_years("2021-2025") == (2021, 2025)
-    assert names.parse_years("2025") == (2025, 2025)
+def test_year_range():
+    assert names.year_range("2021-2025") == (2021, 2025)
+    assert names.year_range("2025") == (2025, 2025)

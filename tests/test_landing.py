@@ -32,9 +32,9 @@ def by_status(df):
 
 
 def test_candidates_roll_over_the_year(spark, rows):
-    got = landing.candidate_months(spark, dt.date(2025, 1, 31), 3)
+    got = landing.months_before(spark, dt.date(2025, 1, 31), 3)
     assert rows(got) == [(2024, 10), (2024, 11), (2024, 12)]
-    assert landing.candidate_months(spark, dt.date(2025, 1, 31), 0).count() == 0
+    assert landing.months_before(spark, dt.date(2025, 1, 31), 0).count() == 0
 
 
 def test_cap_stops_the_run(spark):
@@ -42,7 +42,7 @@ def test_cap_stops_the_run(spark):
     asked = months(spark, *[(2024, m) for m in range(1, 7)])
     out = months(spark, (2024, 5), (2024, 3), (2024, 2))
     there = months(spark, (2024, 4), (2024, 1))
-    plan = landing.catch_up_plan(asked, out, there, max_uploads=2)
+    plan = landing.catch_up_plan(asked, out, there, cap=2)
     assert by_status(plan) == {
         "unpublished": [(2024, 6)],
         "uploaded": [(2024, 3), (2024, 5)],
