@@ -126,8 +126,11 @@ ROLLUP_DDL = """
 
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup as a table by year, written once; a filter on year reads that year's files."""
-    fact = trips(spark, sf_dir, located=True)
-    path = _written_once(spark, sf_dir, "daily", lambda path: rebuild_rollup(fact, path))
+
+    def write(path: str) -> None:
+        rebuild_rollup(trips(spark, sf_dir, located=True), path)
+
+    path = _written_once(spark, sf_dir, "daily", write)
     return spark.read.schema(ROLLUP_DDL).parquet(path)
 
 

@@ -32,17 +32,24 @@ def build_rollup(fact: DataFrame, partitions: tuple[str, ...] = ("year",)) -> Da
     return grouped.select(*ROLLUP_KEYS, *ROLLUP_MEASURES, *partitions)
 
 
-def write_rollup(
-    rollup: DataFrame, path: str, partitions: tuple[str, ...] = ("year",), mode: str = "overwrite"
-) -> None:
-    """Replaces exactly the partitions present in the input when ``mode`` is overwrite.
+def _spread(rollup: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Rows of a partition in few tasks, in key order.
 
-    The rebalance sends a partition's rows to few tasks, splits one that is too large for a task,
-    and so gives neither one task per year nor a file per task and year.
+    The rebalance gives neither one task per year nor a file per task and year: it splits a
+    partition that is too large for a task and joins small ones. The order makes keys compress to
+    runs, and lets a filter on days skip row groups.
     """
+    rows = rollup.hint("rebalance", *[F.col(name) for name in partitions])
+    return rows.sortWithinPartitions(*partitions, *ROLLUP_KEYS)
+
+
+def write_rollup(
+    rollup: DataFrame, path: str, partitions: tuple[str, ...] = ("year",)
+) -> None:
+    """Replaces exactly the partitions present in the input; the others stay."""
     (
-        rollup.hint("rebalance", *[F.col(name) for name in partitions])
-        .write.mode(mode)
+        _spread(rollup, partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -52,8 +59,7 @@ def write_rollup(
 def rebuild_rollup(fact: DataFrame, path: str, partitions: tuple[str, ...] = ("year",)) -> None:
     """Full rebuild: what was there before is gone, years without trips included."""
     (
-        build_rollup(fact, partitions)
-        .hint("rebalance", *[F.col(name) for name in partitions])
+        _spread(build_rollup(fact, partitions), partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*partitions)

@@ -114,7 +114,7 @@ def test_lakehouse_zones_keep_na(spark, zones, rows):
     dim = dims.location_lakehouse(lookups.zones_as_text(spark, zones))
     assert dim.dtypes[0] == ("location_id", "bigint")
     assert (264, "Unknown", "N/A", "N/A") in rows(dim)
-    assert (2, "Queens", " Jamaica Bay ", "Boro Zone") in rows(dim)
+    assert (2, "Eastside", " Mill Pond ", "Outer") in rows(dim)
 
 
 def test_notebook_zones_fill_and_trim(spark, zones, rows):
@@ -125,7 +125,7 @@ def test_notebook_zones_fill_and_trim(spark, zones, rows):
     dim = dims.location_notebook(again, ["line"])
     assert (264, "Unknown", "Unknown", "Unknown") in rows(dim)
     assert (265, "Unknown", "Outside", "Unknown") in rows(dim)
-    assert (2, "Queens", "Jamaica Bay", "Boro Zone") in rows(dim)
+    assert (2, "Eastside", "Mill Pond", "Outer") in rows(dim)
     assert dim.count() == 7
 
 
@@ -188,7 +188,7 @@ def test_same_answer_from_fact_and_rollup(spark, base, zones, listed):
     zone = dims.location_lakehouse(lookups.zones_as_text(spark, zones))
     one = lakehouse.top_zones_from_fact(fact, zone, 2024)
     assert listed(one) == listed(lakehouse.top_zones_from_rollup(build_rollup(fact), zone, 2024))
-    assert listed(one)[0] == ("Corona", 4)  # two ids, one name
+    assert listed(one)[0] == ("Twin Hill", 4)  # two ids, one name
 
 
 def test_stray_date_stays_in_its_files_year(spark, tmp_path, rows):
@@ -300,7 +300,7 @@ def test_card_measures_are_null_without_cards(spark, zones, listed):
     )
     zone = dims.location_lakehouse(lookups.zones_as_text(spark, zones))
     got = dashboard.borough_years(rollup, zone, calendar.lakehouse_calendar(spark))
-    assert listed(got) == [("EWR", 2024, 1, None, None, None)]
+    assert listed(got) == [("Harbour", 2024, 1, None, None, None)]
 
 
 def test_places_without_a_borough_are_left_out(spark, zones):
@@ -313,4 +313,4 @@ def test_places_without_a_borough_are_left_out(spark, zones):
     )
     zone = dims.location_lakehouse(lookups.zones_as_text(spark, zones))
     got = dashboard.borough_years(rollup, zone, calendar.lakehouse_calendar(spark))
-    assert [row.borough for row in got.collect()] == ["EWR"]
+    assert [row.borough for row in got.collect()] == ["Harbour"]

@@ -64,11 +64,11 @@ CASES = {
 }
 
 ZONES_CSV = '''"LocationID","Borough","Zone","service_zone"
-1,"EWR","Newark Airport","EWR"
-2,"Queens"," Jamaica Bay ","Boro Zone"
-4,"Manhattan","Alphabet City","Yellow Zone"
-56,"Queens","Corona","Boro Zone"
-57,"Queens","Corona","Boro Zone"
+1,"Harbour","North Pier","Port"
+2,"Eastside"," Mill Pond ","Outer"
+4,"Centre","Clock Square","Inner"
+56,"Eastside","Twin Hill","Outer"
+57,"Eastside","Twin Hill","Outer"
 264,"Unknown","N/A","N/A"
 265,"N/A","Outside","N/A"
 '''
