@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,19 +61,18 @@ def profile(df: DataFrame) -> DataFrame:
     slots = sorted({_slot(field.dataType) for field in df.schema})
     cells = []
     for i, field in enumerate(df.schema):
-        value = F.when(~is_missing(df, field.name), _slot_value(field.dataType, field.name))
-        own = _slot(field.dataType)
+        own, value = _slot(field.dataType), _slot_value(field.dataType, field.name)
+        if own == "double":
+            value = F.nullif(value, F.lit(float("nan")))
         values = [(value if s == own else F.lit(None).cast(s)).alias(f"as_{s}") for s in slots]
-        missing = is_missing(df, field.name).alias("missing")
-        cells.append(F.struct(F.lit(i).alias("pos"), missing, *values))
-    values = (
-        df.select(F.inline(F.array(*cells)))
-        .groupBy("pos", "missing", *[f"as_{s}" for s in slots])
-        .agg(F.count("*").alias("n"))
-    )
+        cells.append(F.struct(F.lit(i).alias("pos"), *values))
+    names = [f"as_{s}" for s in slots]
+    values = df.select(F.inline(F.array(*cells))).groupBy("pos", *names)
+    values = values.agg(F.count("*").alias("n"))
+    missing = reduce(and_, [F.col(name).isNull() for name in names])
     counted = values.groupBy("pos").agg(
         F.sum("n").alias("total"),
-        F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("missing_count"),
+        F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("missing_count"),
         F.count("*").alias("unique_count"),
     )
     return _with_names(df, counted)
