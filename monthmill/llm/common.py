@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 1 << 17
 
 _written: dict[str, list[str]] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once for an application, so that tasks in Python can import it there."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = f"{tempfile.mkdtemp(prefix='monthmill-')}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:
