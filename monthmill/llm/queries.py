@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import exact_dedup, mixing, packing, simhash, toxicity
+from monthmill.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op9_exact_dedup": op9_exact_dedup,
@@ -42,6 +47,24 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op4_sharding": r"""
+        WITH d AS (
+            SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
+                ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::BIGINT AS hash
+            FROM documents
+        ), prefixes AS (
+            SELECT d.*, depth::INTEGER AS depth, hash >> (24 - depth) AS prefix FROM d, range(0, 25) AS r(depth)
+        ), sums AS (
+            SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs FROM prefixes GROUP BY ALL
+        ), fitting AS (
+            SELECT p.doc_id, p.n_bytes, p.hash, p.depth, shard_bytes, shard_docs,
+                row_number() OVER (PARTITION BY p.doc_id ORDER BY p.depth) AS place
+            FROM prefixes p JOIN sums USING (depth, prefix) WHERE shard_bytes <= 16777216 OR shard_docs = 1
+        )
+        SELECT doc_id, n_bytes, substr(lpad(bin(hash), 24, '0'), 1, depth) AS shard, depth, shard_bytes, shard_docs,
+            shard_bytes > 16777216 AS oversized
+        FROM fitting WHERE place = 1
+    """,
     "op9_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,
