@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
+from monthmill.llm import exact_dedup, lattice_lm, mixing, packing, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_lattice_lm": op3_lattice_lm,
     "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
