@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import exact_dedup, lattice_lm, mixing, packing, sharding, simhash, toxicity
+from monthmill.llm import exact_dedup, lattice_lm, mixing, order_minhash, packing, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.neighbour_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_lattice_lm": op3_lattice_lm,
     "op4_sharding": op4_sharding,
+    "op5_order_minhash": op5_order_minhash,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op9_exact_dedup": op9_exact_dedup,
