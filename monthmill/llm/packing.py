@@ -20,7 +20,9 @@ documents of their own. An empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -65,24 +67,30 @@ class _Words(dict):
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        # Letters followed by signs are two tokens' groups to the tokenizer: each is encoded on its own.
-        self.two = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}'<]+)").fullmatch
+        self.merge = self.tokenizer.model.tokenize
+        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # Small letters, then signs: normalising leaves such a word as it is, and the two parts are cut from each other.
+        self.simple = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)").fullmatch
 
-    def encode(self, word: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def part(self, part: str) -> bytes:
+        """Ids of letters or of signs, which the tokenizer's model merges as one."""
+        return array("I", [token.id for token in self.merge(part if part.isascii() else self.as_bytes(part)[0][0])]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            text = word.decode("utf-8", "surrogatepass")
-            parts = self.two(text)
-            ids = self[parts[1].encode()] + self[parts[2].encode()] if parts else self.encode(text)
+            text = word.decode()
+            if parts := self.simple(text):
+                letters, signs = parts.groups()
+                ids = self[letters.encode()] + self[signs.encode()] if signs else self.part(letters)
+            else:
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(self) >= TABLE_WORDS:
             self.older = dict(self)
             self.clear()
@@ -90,8 +98,10 @@ class _Words(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        """A text's ids. bytes.split() cuts at ASCII white space only, which is white space to the tokenizer too."""
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+        """A text's ids. Of bytes, lower() changes A-Z only, as the tokenizer does later, unless a special token's name may
+        be there; split() cuts at ASCII white space only, which is white space to the tokenizer too."""
+        raw = text.encode("utf-8", "replace")
+        return b"".join(map(self.__getitem__, (raw if b"<|" in raw else raw.lower()).split()))
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether its token ends a sentence: a word's end after a mark."""
