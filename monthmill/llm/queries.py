@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import exact_dedup, lattice_lm, mixing, order_minhash, packing, sharding, simhash, toxicity
+from monthmill.llm import exact_dedup, html_text, lattice_lm, mixing, order_minhash, packing, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.lm_scores(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_text": op2_html_text,
     "op3_lattice_lm": op3_lattice_lm,
     "op4_sharding": op4_sharding,
     "op5_order_minhash": op5_order_minhash,
