@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import exact_dedup, html_text, lattice_lm, mixing, order_minhash, packing, sharding, simhash, toxicity
+from monthmill.llm import exact_dedup, html_text, lattice_lm, mixing, order_minhash, packing, pii, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_order_minhash": op5_order_minhash,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_pii": op8_pii,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
 }
