@@ -3,8 +3,8 @@
 A sentence is toxic with probability sigmoid(bias + sum of its features' weights); a document is toxic unless none of its sentences
 is (noisy-or): 1 - prod(1 - p). Bias and weights are fitted to document labels through that product,
 which also tells which sentences offend. Features are words and their letter runs of three to six, edges marked, that
-occur in more contexts of toxic documents than chance allows. Contexts are distinct neighbouring words, so a
-copied document counts once.
+occur in more contexts of toxic documents than chance allows, and in several of these. Contexts are distinct
+neighbouring words, so a copied document counts once.
 
 Fitted on a bounded sample: the SAMPLE distinct labelled texts with the smallest hashes. Features are counted by Spark; the driver gets the
 FEATURES best of them and, for sentences with one, their numbers. Scoring reads whole texts in one pass without a shuffle.
@@ -30,8 +30,8 @@ from monthmill.llm.common import free_name, id_remainder, ship, text_or_empty, w
 SAMPLE = 20_000
 FEATURES = 2048
 FOLDS, HELD_OUT = 5, 0
-#: Log-likelihood ratio, contexts in toxic texts, and share of toxic ones that a feature must have.
-LEAST_RATIO, LEAST_CONTEXTS, LEAST_SHARE = 30.0, 5, 0.5
+#: Log-likelihood ratio, contexts in toxic texts, share of toxic ones, and toxic texts that a feature must have.
+LEAST_RATIO, LEAST_CONTEXTS, LEAST_SHARE, LEAST_TEXTS = 30.0, 5, 0.5, 3
 THRESHOLD = 0.5
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -90,6 +90,23 @@ def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _runs_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, texts): texts that have a run of letters, summed within the task."""
+    texts: Counter = Counter()
+
+    def out() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(list(texts), pa.string()), pa.array(list(texts.values()), pa.int64())], ["run", "texts"])
+        texts.clear()
+        return batch
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            texts.update(set().union(*map(letter_runs, set(_WORDS.findall(text.lower())))))
+            if len(texts) > _TABLE:
+                yield out()
+    yield out()
+
+
 def select_features(sample: DataFrame) -> list[str]:
     """The letter runs most associated with toxic texts, best first."""
     contexts = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_contexts, "word string, before string, after string, toxic int")
@@ -110,7 +127,9 @@ def select_features(sample: DataFrame) -> list[str]:
 
     ratio = 2 * (part(t, both * share) + part(c, both * (1 - share)))
     good = (t >= LEAST_CONTEXTS) & (t / both >= F.lit(max(LEAST_SHARE, min(1.0, 2 * share)))) & (ratio >= LEAST_RATIO)
-    best = runs.filter(good).select("run", ratio.alias("ratio")).orderBy(F.desc("ratio"), "run").limit(FEATURES)
+    several = sample.filter("toxic > 0").select("text").mapInArrow(_runs_of_texts, "run string, texts long").groupBy("run").agg(F.sum("texts").alias("texts"))
+    good_runs = written(runs.filter(good).select("run", ratio.alias("ratio")), "runs")
+    best = good_runs.join(several.filter(F.col("texts") >= LEAST_TEXTS), "run").select("run", "ratio").orderBy(F.desc("ratio"), "run").limit(FEATURES)
     return [row.run for row in best.collect()]
 
 
