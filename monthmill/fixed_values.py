@@ -23,7 +23,8 @@ RATE_CODES = [
 ]
 RATE_CODE_99 = {"lakehouse": "Null/unknown", "notebook": "Unknown"}
 
-# Range of years and months the trip table declares; the calendar covers the same years.
+# Years and months that the trip table declares. Scans are not limited to them; the calendar
+# covers these years at least.
 TRIP_YEARS = (2021, 2026)
 TRIP_MONTHS = (1, 12)
 
@@ -37,12 +38,13 @@ STABLE_COLUMNS = """
 # Columns that are double in the older files and bigint in the newer ones.
 DRIFT_COLUMNS = ["ratecodeid", "passenger_count"]
 
-# Eras of one drift type each (name, years, months, type of the drift columns).
+# Eras of one drift type each (name, years, months, type of the drift columns). The last one
+# has no end.
 ERA_RANGES = [
     ("2021_2022", (2021, 2022), (1, 12), "double"),
     ("2023_jan", (2023, 2023), (1, 1), "double"),
     ("2023_rest", (2023, 2023), (2, 12), "bigint"),
-    ("2024_onward", (2024, 2026), (1, 12), "bigint"),
+    ("2024_onward", (2024, None), (1, 12), "bigint"),
 ]
 
 # Columns that are missing together in incomplete rows of a monthly file.

@@ -67,5 +67,5 @@ def tipped_nonzero() -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """Double to bigint, to the nearest; a bare cast would cut."""
-    return F.round(value).cast("long")
+    """Double to bigint, to the nearest; a bare cast would cut. NaN becomes null."""
+    return F.round(F.nullif(value, F.lit(float("nan")))).cast("long")

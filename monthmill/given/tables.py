@@ -192,8 +192,8 @@ def zone_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_ends(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
     """Line items with their order, customer and supplier, and the order's label if wanted.
 
-    Orders are completed first, so that line items are shuffled once on the order key; customers
-    come last, so that both sides of that join are fresh shuffles, whose hot keys can be split.
+    Orders are completed with their customers first, so that line items are shuffled once on the order
+    key and meet one side that has everything.
     """
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     orders = table(spark, sf_dir, "orders").select(

@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from monthmill.plans.landing import LOOKBACK_MONTHS, UPLOAD_CAP, backfill, catch_up
+from monthmill.plans.landing import LOOKBACK_MONTHS, backfill, catch_up
 from monthmill.streaming.refresh import run_rollup_refresh
 
 
@@ -18,20 +18,23 @@ def parser() -> argparse.ArgumentParser:
     fill = jobs.add_parser("backfill", help="land the missing months of a range of years")
     fill.add_argument("--source", required=True)
     fill.add_argument("--target", required=True)
-    fill.add_argument("--years", default="2021-2025", help="2025 or 2021-2025")
+    fill.add_argument("--years", required=True, help="one year, or first and last with a hyphen")
+    fill.add_argument("--prefix", help="only files of this name before the month")
     fill.add_argument("--dry-run", action="store_true")
 
     recent = jobs.add_parser("catch-up", help="land recent missing months")
     recent.add_argument("--source", required=True)
     recent.add_argument("--target", required=True)
     recent.add_argument("--lookback", type=int, default=LOOKBACK_MONTHS)
-    recent.add_argument("--cap", type=int, default=UPLOAD_CAP)
+    recent.add_argument("--cap", type=int, help="months landed in one run at most; none by default")
+    recent.add_argument("--prefix", help="only files of this name before the month")
     recent.add_argument("--month", help="only this month, as 2025-01")
 
     refresh = jobs.add_parser("refresh", help="bring the rollup up to date with landed files")
     refresh.add_argument("--base", required=True)
     refresh.add_argument("--rollup", required=True)
     refresh.add_argument("--checkpoint", required=True)
+    refresh.add_argument("--by-month", action="store_true", help="the rollup is partitioned by year and month")
     return top
 
 
@@ -39,15 +42,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"monthmill {args.job}").getOrCreate()
     if args.job == "backfill":
-        backfill(spark, args.source, args.target, args.years, args.dry_run).show(1000, False)
+        done = backfill(spark, args.source, args.target, args.years, args.dry_run, args.prefix)
+        done.show(1000, False)
     elif args.job == "catch-up":
         month = tuple(int(part) for part in args.month.split("-")) if args.month else None
         done = catch_up(
-            spark, args.source, args.target, dt.date.today(), args.lookback, args.cap, month
+            spark,
+            args.source,
+            args.target,
+            dt.date.today(),
+            args.lookback,
+            args.cap,
+            month,
+            args.prefix,
         )
         done.show(1000, False)
     else:
-        run_rollup_refresh(spark, args.base, args.rollup, args.checkpoint)
+        partitions = ("year", "month") if args.by_month else ("year",)
+        run_rollup_refresh(
+            spark, args.base, args.rollup, args.checkpoint, partitions=partitions
+        )
 
 
 if __name__ == "__main__":

@@ -33,7 +33,7 @@ def foreign_key_violations(
     """constraint_name, orphan_keys, orphan_rows per (name, child, key, parent, parent key).
 
     Null keys pass. Only the key column is read. The child is reduced to its distinct keys with
-    counts before it meets the parent, and the join reuses the grouping's partitioning. It is a left
+    counts before it meets the parent's, and the join reuses the grouping's partitioning. It is a left
     join kept where nothing matched: an anti join would be moved below the grouping, where a key
     that many rows share is not yet reduced to one.
     """
@@ -44,7 +44,7 @@ def foreign_key_violations(
             .groupBy(F.col(key).alias("__key"))
             .agg(F.count("*").alias("__n"))
         )
-        known = parent.select(F.col(parent_key).alias("__parent"), F.lit(True).alias("__found"))
+        known = parent.select(F.col(parent_key).alias("__parent"), F.lit(True).alias("__found")).distinct()
         matched = used.join(known, F.col("__key") == F.col("__parent"), "left")
         orphans = matched.filter(F.col("__found").isNull())
         results.append(

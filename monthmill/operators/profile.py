@@ -11,7 +11,12 @@ from pyspark.sql import types as T
 
 from monthmill.operators.topk import sort_up
 
-LONG_TEXT = 64
+_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_AS_JSON = {
+    "timestampFormat": _MICROSECONDS,
+    "timestampNTZFormat": _MICROSECONDS,
+    "ignoreNullFields": "false",
+}
 
 
 def is_missing(df: DataFrame, name: str) -> Column:
@@ -22,11 +27,6 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return test
 
 
-def _long_text_as_digest(name: str) -> Column:
-    """Texts too long to shuffle as their SHA-256; shorter ones as they are, so the two cannot meet."""
-    return F.when(F.length(name) > LONG_TEXT, F.sha2(name, 256)).otherwise(F.col(name))
-
-
 def _slot(kind: T.DataType) -> str:
     """Type under which a column's values can be grouped with those of other columns."""
     if isinstance(kind, (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType)):
@@ -38,17 +38,22 @@ def _slot(kind: T.DataType) -> str:
     return "string"
 
 
+def _entries(name: str) -> Column:
+    """A map as its entries in order, so that equal maps are equal."""
+    return F.array_sort(F.map_entries(name))
+
+
 def _slot_value(kind: T.DataType, name: str) -> Column:
     if isinstance(kind, T.DateType):
         return F.unix_date(name).cast("bigint")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(name)
-    if isinstance(kind, T.StringType):
-        return _long_text_as_digest(name)
-    if isinstance(kind, T.BinaryType):
-        return F.sha2(name, 256)
-    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(name)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.sha2(name, 256)  # every text alike, whatever its length
+    if isinstance(kind, T.MapType):
+        return F.sha2(F.to_json(_entries(name), _AS_JSON), 256)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.sha2(F.to_json(name, _AS_JSON), 256)
     return F.col(name).cast(_slot(kind))
 
 
@@ -85,7 +90,7 @@ def quick_profile(df: DataFrame, relative_error: float = 0.05) -> DataFrame:
         missing = is_missing(df, name)
         distinct = F.approx_count_distinct(F.when(~missing, F.col(name)), relative_error)
         parts.append(F.count_if(missing).alias(f"missing_{i}"))
-        parts.append((distinct + F.max(missing.cast("int"))).cast("long").alias(f"unique_{i}"))
+        parts.append((distinct + F.coalesce(F.max(missing.cast("int")), F.lit(0))).cast("long").alias(f"unique_{i}"))
     rows = F.array(
         *[
             F.struct(
@@ -103,13 +108,15 @@ def quick_profile(df: DataFrame, relative_error: float = 0.05) -> DataFrame:
 def _with_names(df: DataFrame, counted: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(name) for name in df.columns])
     kinds = F.array(*[F.lit(field.dataType.simpleString()) for field in df.schema])
-    share = F.lit(100.0) * F.col("missing_count") / F.col("total")
-    return counted.select(
+    share = F.try_divide(F.lit(100.0) * F.col("missing_count"), F.col("total"))
+    # Every column has its row, also where there are no cells to count.
+    places = df.sparkSession.range(0, len(df.columns), 1, 1).select(F.col("id").cast("int").alias("pos"))
+    return places.join(counted, "pos", "left").select(
         names[F.col("pos")].alias("column"),
         kinds[F.col("pos")].alias("dtype"),
-        "missing_count",
+        F.coalesce("missing_count", F.lit(0)).cast("long").alias("missing_count"),
         F.round(share, 2).alias("missing_pct"),
-        "unique_count",
+        F.coalesce("unique_count", F.lit(0)).cast("long").alias("unique_count"),
     )
 
 
@@ -152,13 +159,17 @@ def _unpivot(df: DataFrame, counts: dict[str, Column], out: str) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """total_rows and duplicate_rows: how many repeat an earlier row in every column.
 
-    Copies are counted before the shuffle; texts too long to shuffle are compared by SHA-256.
+    Copies are counted before the shuffle; texts are compared by SHA-256, maps by their entries.
     """
     keys = []
     for field in df.schema:
         kind, name = field.dataType, field.name
-        plain = not isinstance(kind, (T.StringType, T.BinaryType, T.MapType))
-        keys.append((F.col(name) if plain else _slot_value(kind, name)).alias(name))
+        value = F.col(name)
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            value = _slot_value(kind, name)
+        elif isinstance(kind, T.MapType):
+            value = _entries(name)
+        keys.append(value.alias(name))
     copies = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     return copies.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("total_rows"),

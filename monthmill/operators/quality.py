@@ -31,6 +31,13 @@ def month_status(grid: DataFrame, published: DataFrame, present: DataFrame) -> D
     return joined.select(*keys, status.alias("status"))
 
 
+def months_outside(grid: DataFrame, published: DataFrame, present: DataFrame) -> DataFrame:
+    """year, month, status ``out_of_range``: months published or present that the grid does not ask for."""
+    keys = ["year", "month"]
+    known = published.select(*keys).unionByName(present.select(*keys)).distinct()
+    return known.join(grid.select(*keys), keys, "left_anti").withColumn("status", F.lit("out_of_range"))
+
+
 def reconcile(fact: DataFrame, rollup: DataFrame) -> DataFrame:
     """year, fact_trips, rollup_trips, difference; the row with null year is the whole table.
 

@@ -44,9 +44,18 @@ def fact_shape(trips: DataFrame) -> DataFrame:
 
 
 def fact_trips(spark: SparkSession, base: str, eras: list[Era] = TRIP_ERAS) -> DataFrame:
-    """All eras as one lazy fact. An era whose months miss the filter reads nothing."""
+    """All eras as one lazy fact. An era whose months miss the filter reads nothing.
+
+    A month that is there and belongs to no era, or to two, raises: it would be missing, or count twice.
+    """
     present = month_list(months_of(partition_files(spark, base)))
-    used = [era for era in eras if any(era.covers(*month) for month in present)] or eras[:1]
+    for year, month in present:
+        covering = [era.name for era in eras if era.covers(year, month)]
+        if len(covering) != 1:
+            raise ValueError(f"month {year}-{month:02d} belongs to {covering or 'no era'}")
+    used = [era for era in eras if any(era.covers(*month) for month in present)]
+    if not present:
+        used = eras[:1]  # an empty table still has the fact's columns
     return union_all([fact_shape(era_trips(spark, base, era, present)) for era in used])
 
 

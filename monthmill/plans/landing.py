@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthmill.functions.names import year_range
-from monthmill.operators.quality import month_grid, month_status
+from monthmill.operators.quality import month_grid, month_status, months_outside
 from monthmill.sources.lookups import inline_relation
 from monthmill.sources.files import (
     MONTH_IN_NAME,
@@ -24,7 +24,6 @@ from monthmill.sources.files import (
 )
 
 LOOKBACK_MONTHS = 12
-UPLOAD_CAP = 3
 
 
 def months_before(spark: SparkSession, today: dt.date, lookback: int = LOOKBACK_MONTHS) -> DataFrame:
@@ -48,13 +47,15 @@ def backfill_plan(
 
 
 def catch_up_plan(
-    months: DataFrame, published: DataFrame, present: DataFrame, cap: int = UPLOAD_CAP
+    months: DataFrame, published: DataFrame, present: DataFrame, cap: int | None = None
 ) -> DataFrame:
-    """Status of the given months, newest first, until the cap on uploads is reached.
+    """Status of the given months; with a cap on uploads, newest first until it is reached.
 
     Months after the last allowed upload are not looked at in this run: ``not_reached``. The window
     is over the months asked for, twelve by default.
     """
+    if cap is None:
+        return month_status(months, published, present)
     newest = Window.orderBy(F.desc("year"), F.desc("month"))
     before = newest.rowsBetween(Window.unboundedPreceding, -1)
     upload = (F.col("status") == "uploaded").cast("int")
@@ -72,15 +73,19 @@ def status_totals(plan: DataFrame) -> DataFrame:
     )
 
 
-def land(spark: SparkSession, source: str, target: str, plan: DataFrame) -> None:
+def land(
+    spark: SparkSession, source: str, target: str, plan: DataFrame, prefix: str | None = None
+) -> None:
     """Writes the files of the months marked uploaded, every column with the type it came with.
 
+    ``prefix`` picks one product of several in the folder; a month with two candidates raises.
+
     Files are grouped by the column types in their footers, as one scan cannot mix them, and each
     group is one job that splits large files over many tasks without a shuffle. A partition
     appears when its job commits, so an interrupted run is repaired by the next one.
     """
     wanted = plan.filter(F.col("status") == "uploaded").select("year", "month")
-    files = source_files(spark, source).join(wanted, ["year", "month"], "left_semi")
+    files = source_files(spark, source, prefix).join(wanted, ["year", "month"], "left_semi")
     published = F.regexp_extract("path", PUBLISHED, 1).alias("published")
     months = (
         files.join(file_signatures(files), "path")
@@ -89,6 +94,8 @@ def land(spark: SparkSession, source: str, target: str, plan: DataFrame) -> None
     )
     groups: dict[str, list[str]] = {}
     for row in months.collect():  # one row per month, however many files it has
+        if len(row.paths) > 1:
+            raise ValueError(f"{row.year}-{row.month:02d} is published as {sorted(row.paths)}")
         if len(row.signatures) > 1:
             raise ValueError(f"files of {row.year}-{row.month:02d} differ in their column types")
         groups.setdefault(row.signatures[0], []).extend(row.paths)
@@ -106,12 +113,19 @@ def land(spark: SparkSession, source: str, target: str, plan: DataFrame) -> None
 
 
 def backfill(
-    spark: SparkSession, source: str, target: str, years: str, dry_run: bool = False
+    spark: SparkSession,
+    source: str,
+    target: str,
+    years: str,
+    dry_run: bool = False,
+    prefix: str | None = None,
 ) -> DataFrame:
-    """Lands the missing months of the given years; returns what was done, or would be."""
-    published = months_of(source_files(spark, source))
+    """Lands the missing months of the given years; returns what was done, or would be, and the months
+    that are published or present outside these years."""
+    published = months_of(source_files(spark, source, prefix))
     present = months_of(partition_files(spark, target))
-    return _run(spark, source, target, backfill_plan(spark, years, published, present), dry_run)
+    plan = backfill_plan(spark, years, published, present)
+    return _run(spark, source, target, plan, published, present, dry_run, prefix)
 
 
 def catch_up(
@@ -120,23 +134,33 @@ def catch_up(
     target: str,
     today: dt.date,
     lookback: int = LOOKBACK_MONTHS,
-    cap: int = UPLOAD_CAP,
+    cap: int | None = None,
     month: tuple[int, int] | None = None,
+    prefix: str | None = None,
 ) -> DataFrame:
-    """Lands recent missing months, or just the one named; returns the months looked at."""
-    published = months_of(source_files(spark, source))
+    """Lands recent missing months, or just the one named; returns all months asked for, those that a
+    cap left for the next run as ``not_reached``, and the months published or present beside them."""
+    published = months_of(source_files(spark, source, prefix))
     present = months_of(partition_files(spark, target))
     months = one_month(spark, *month) if month else months_before(spark, today, lookback)
     plan = catch_up_plan(months, published, present, cap)
-    return _run(spark, source, target, plan.filter(F.col("status") != "not_reached"), False)
+    return _run(spark, source, target, plan, published, present, False, prefix)
 
 
 def _run(
-    spark: SparkSession, source: str, target: str, plan: DataFrame, dry_run: bool
+    spark: SparkSession,
+    source: str,
+    target: str,
+    plan: DataFrame,
+    published: DataFrame,
+    present: DataFrame,
+    dry_run: bool,
+    prefix: str | None,
 ) -> DataFrame:
+    plan = plan.unionByName(months_outside(plan, published, present))
     # The plan is fixed before anything lands, or it would see its own results: one row per month.
     rows = [tuple(row) for row in plan.select("year", "month", "status").collect()]
     fixed = inline_relation(spark, rows, "year int, month int, status string")
     if not dry_run:
-        land(spark, source, target, fixed)
+        land(spark, source, target, fixed, prefix)
     return fixed

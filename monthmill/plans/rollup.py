@@ -79,16 +79,22 @@ def refresh_rollup(
 
     Idempotent: running it again for the same input gives the same rollup, which adding the new
     rows' sums would not. The touched partitions come to the driver as literals (one per year or
-    month), so that the fact scan is pruned when it is planned.
+    month), so that the fact scan is pruned when it is planned. A changed month outside the given
+    ranges raises before anything is written: its rows would be left out and not be seen again.
     """
-    touched = changed.select(*partitions).distinct().collect()
-    if not touched:
+    months = changed.select("year", "month").distinct().collect()
+    if not months:
         return
+    for name, ends in ranges.items():
+        outside = {row[name[:-1]] for row in months if not ends[0] <= row[name[:-1]] <= ends[1]}
+        if outside:
+            raise ValueError(f"files changed in {name} outside {ends}: {sorted(outside)}")
+    touched = {tuple(row[name] for name in partitions) for row in months}
     hit = F.lit(False)
     for row in touched:
         this = F.lit(True)
-        for name in partitions:
-            this = this & (F.col(name) == row[name])
+        for name, value in zip(partitions, row):
+            this = this & (F.col(name) == value)
         hit = hit | this
     fact = narrow_fact(spark, base, **ranges).filter(hit)
     write_rollup(build_rollup(fact, partitions), path, partitions)

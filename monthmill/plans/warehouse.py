@@ -68,5 +68,5 @@ def load_star(spark: SparkSession, fact: DataFrame, dimensions: dict[str, DataFr
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A report of a few rows as one CSV file with a header."""
-    report.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    """A report of a few rows as one CSV file with a header; only the rows of the result meet in one task."""
+    report.repartition(1).write.mode("overwrite").option("header", "true").csv(path)

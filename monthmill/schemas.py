@@ -19,7 +19,7 @@ class Era:
     """A year x month rectangle of files that store the drift columns as one type."""
 
     name: str
-    years: tuple[int, int]
+    years: tuple[int, int | None]
     months: tuple[int, int]
     drift_type: str
 
@@ -29,8 +29,11 @@ class Era:
         return f"{STABLE_COLUMNS}, {drift}, {PARTITION_DDL}"
 
     def covers(self, year: int, month: int) -> bool:
+        first, last = self.years
         return (
-            self.years[0] <= year <= self.years[1] and self.months[0] <= month <= self.months[1]
+            first <= year
+            and (last is None or year <= last)
+            and self.months[0] <= month <= self.months[1]
         )
 
 

@@ -5,7 +5,7 @@ On a cluster the session is the cluster's own; nothing in the library sets clust
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,14 +34,24 @@ def local_session(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder of ``spark.checkpoint.dir``.
+    """A fresh path below the shared folder of ``spark.checkpoint.dir``, or else below the warehouse.
 
-    A machine-local folder is used only when the setting is absent and the whole session lives on
-    this machine anyway.
+    What is written there goes when the driver ends, if the application still runs by then.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="monthmill-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_clear)
+    _scratch.append((spark, spark.sparkContext.applicationId, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str, str]] = []
+
+
+def _clear() -> None:
+    for spark, application, path in _scratch:
+        context = spark.sparkContext
+        if context._jsc is not None and context.applicationId == application:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

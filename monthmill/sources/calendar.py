@@ -32,13 +32,28 @@ def fixed_days(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
 
 
 def lakehouse_calendar(
-    spark: SparkSession, first: dt.date | None = None, last: dt.date | None = None
+    spark: SparkSession,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
+    covering: DataFrame | None = None,
 ) -> DataFrame:
-    """Seven columns, fixed range; by default all days of the declared trip years."""
+    """Seven columns, fixed range; by default all days of the declared trip years.
+
+    With ``covering``, a fact or rollup with a ``year`` of its files, also all days of its years, so
+    that no join with the calendar drops a month that has landed after the declared ones.
+    """
     first = first or dt.date(TRIP_YEARS[0], 1, 1)
     last = last or dt.date(TRIP_YEARS[1], 12, 31)
     day = F.col("full_date")
-    return fixed_days(spark, first, last).select(
+    days = fixed_days(spark, first, last)
+    if covering is not None:
+        year = covering.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+        bounds = year.select(
+            F.least(F.lit(first), F.make_date("lo", F.lit(1), F.lit(1))).alias("lo"),
+            F.greatest(F.lit(last), F.make_date("hi", F.lit(12), F.lit(31))).alias("hi"),
+        )
+        days = _days(bounds)
+    return days.select(
         date_key(day).alias("date_key"),
         day,
         F.year(day).alias("year"),

@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthmill.functions.names import month_file
 from monthmill.sources.lookups import inline_relation
 
 # A published month: <prefix>2025-03.parquet, one file or a folder of part files. A landed one:
@@ -59,9 +60,13 @@ def _with_month(files: DataFrame, pattern: str) -> DataFrame:
     )
 
 
-def source_files(spark: SparkSession, base: str) -> DataFrame:
-    """Published files with the month their name ends in."""
-    return _with_month(list_files(spark, base), MONTH_IN_NAME)
+def source_files(spark: SparkSession, base: str, prefix: str | None = None) -> DataFrame:
+    """Published files with the month their name ends in; with a prefix, only ``<prefix>_2025-03.parquet``."""
+    files = _with_month(list_files(spark, base), MONTH_IN_NAME)
+    if prefix is None:
+        return files
+    name = F.element_at(F.split(F.regexp_extract("path", PUBLISHED, 1), "/"), -1)
+    return files.filter(name == month_file(prefix, F.col("year"), F.col("month")))
 
 
 def partition_files(spark: SparkSession, base: str) -> DataFrame:
@@ -78,15 +83,6 @@ def month_list(months: DataFrame) -> list[tuple[int, int]]:
     return sorted((row.year, row.month) for row in months.select("year", "month").collect())
 
 
-def _arrow_uri(path: str) -> str:
-    scheme, _, rest = path.partition(":")
-    if scheme == "s3a":
-        return f"s3:{rest}"
-    if scheme == "file" and not rest.startswith("//"):
-        return f"file://{rest}"
-    return path
-
-
 def footer_columns(files: DataFrame) -> DataFrame:
     """path, position, column, type of each column, read from the footers on the executors.
 
@@ -97,9 +93,18 @@ def footer_columns(files: DataFrame) -> DataFrame:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
+        # Defined here, so that executors need no module of this package.
+        def arrow_uri(path: str) -> str:
+            scheme, _, rest = path.partition(":")
+            if scheme == "s3a":
+                return f"s3:{rest}"
+            if scheme == "file" and not rest.startswith("//"):
+                return f"file://{rest}"
+            return path
+
         for batch in batches:
             for path in batch["path"]:
-                store, key = fs.FileSystem.from_uri(_arrow_uri(path))
+                store, key = fs.FileSystem.from_uri(arrow_uri(path))
                 with store.open_input_file(key) as handle:
                     schema = pq.ParquetFile(handle).schema_arrow
                 yield pd.DataFrame(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.fixed_values import TRIP_MONTHS, TRIP_YEARS
 from monthmill.schemas import NARROW_DDL, Era
 from monthmill.sources.files import month_list, months_of, partition_files
 
@@ -13,15 +12,18 @@ from monthmill.sources.files import month_list, months_of, partition_files
 def narrow_trips(
     spark: SparkSession,
     base: str,
-    years: tuple[int, int] = TRIP_YEARS,
-    months: tuple[int, int] = TRIP_MONTHS,
+    years: tuple[int, int] | None = None,
+    months: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Columns of one type in every month: the cheapest scan, and one that drift cannot break.
 
-    Months outside the declared ranges are left out; both filters act on partitions.
+    All months that are there, or those within the given ranges; the filters act on partitions.
     """
     trips = spark.read.schema(NARROW_DDL).parquet(base)
-    return trips.filter(F.col("year").between(*years) & F.col("month").between(*months))
+    for name, ends in (("year", years), ("month", months)):
+        if ends is not None:
+            trips = trips.filter(F.col(name).between(*ends))
+    return trips
 
 
 def one_file(spark: SparkSession, path: str) -> DataFrame:

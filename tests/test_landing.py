@@ -9,7 +9,7 @@ from monthmill import jobs
 from monthmill.plans import landing, warehouse
 from monthmill.plans.fact import fact_trips
 from monthmill.sources.files import months_of, partition_files
-from monthmill.sources.trips import one_file
+from monthmill.sources.trips import narrow_trips, one_file
 from tests.trip_frames import MONTHS, month_frame, write_published
 
 
@@ -84,17 +84,55 @@ def test_dry_run_writes_nothing(spark, published, tmp_path):
 def test_catch_up_and_single_month(spark, published, tmp_path):
     target = str(tmp_path / "trips")
     one = landing.catch_up(spark, published, target, dt.date(2024, 5, 1), month=(2022, 12))
-    assert by_status(one) == {"uploaded": [(2022, 12)]}
+    beside = {"out_of_range": [(2023, 1), (2023, 2), (2024, 3)]}
+    assert by_status(one) == {"uploaded": [(2022, 12)]} | beside
     recent = landing.catch_up(spark, published, target, dt.date(2023, 3, 15), 4, 1)
-    assert by_status(recent) == {"uploaded": [(2023, 2)]}
+    assert by_status(recent) == {
+        "uploaded": [(2023, 2)],
+        "not_reached": [(2022, 11), (2022, 12), (2023, 1)],
+        "out_of_range": [(2024, 3)],
+    }
     rest = landing.catch_up(spark, published, target, dt.date(2023, 3, 15), 4, 3)
     assert by_status(rest) == {
         "skipped": [(2022, 12), (2023, 2)],
         "uploaded": [(2023, 1)],
         "unpublished": [(2022, 11)],
+        "out_of_range": [(2024, 3)],
     }
 
 
+def test_catch_up_without_a_cap_lands_every_month_asked_for(spark, published, tmp_path):
+    target = str(tmp_path / "trips")
+    done = landing.catch_up(spark, published, target, dt.date(2024, 5, 1), lookback=24)
+    assert by_status(done)["uploaded"] == [(2022, 12), (2023, 1), (2023, 2), (2024, 3)]
+    assert "not_reached" not in by_status(done)
+
+
+def test_one_product_of_several(spark, tmp_path):
+    source, target = str(tmp_path / "published"), str(tmp_path / "trips")
+    for name, count in (("first", 3), ("second", 4)):
+        month_frame(spark, 2024, 3, count, "bigint").coalesce(1).write.parquet(f"{source}/{name}_2024-03.parquet")
+    with pytest.raises(ValueError, match="2024-03"):
+        landing.backfill(spark, source, target, "2024")
+    landing.backfill(spark, source, target, "2024", prefix="second")
+    assert narrow_trips(spark, target).count() == 4
+
+
+def test_footers_are_read_without_the_package_on_the_workers(spark, published):
+    """What is sent to the workers names no module of this package."""
+    import pickletools
+
+    from pyspark import cloudpickle
+
+    from monthmill.sources.files import footer_columns
+
+    sent = []
+    frame = type("Frame", (), {"select": lambda self, *_: self, "mapInPandas": lambda self, f, _: sent.append(f)})()
+    footer_columns(frame)
+    texts = [str(arg) for _, arg, _ in pickletools.genops(cloudpickle.dumps(sent[0]))]
+    assert "_arrow_uri" not in texts
+
+
 def test_month_of_mixed_types_is_refused(spark, tmp_path):
     source = str(tmp_path / "published")
     folder = f"{source}/trips_2024-03.parquet"

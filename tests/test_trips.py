@@ -16,7 +16,7 @@ from monthmill.sources import calendar, files, lookups, trips
 from monthmill.streaming.refresh import run_rollup_refresh
 from tests.trip_frames import MONTHS, ZONES_CSV, month_frame, write_layout
 
-IN_RANGE = 5 + 6 + 7 + 8
+ALL_TRIPS = sum(count for _, count, _, _ in MONTHS)
 
 
 @pytest.fixture(scope="module")
@@ -40,9 +40,12 @@ def plan_of(df):
 # --- scans ---
 
 
-def test_narrow_scan_reads_all_declared_months(spark, base, rows):
+def test_narrow_scan_reads_all_months_or_a_range(spark, base, rows):
+    every = [(2022, 12, 5), (2023, 1, 6), (2023, 2, 7), (2024, 3, 8), (2027, 1, 9)]
     got = trips.narrow_trips(spark, base).groupBy("year", "month").count()
-    assert rows(got) == [(2022, 12, 5), (2023, 1, 6), (2023, 2, 7), (2024, 3, 8)]
+    assert rows(got) == every
+    got = trips.narrow_trips(spark, base, (2021, 2026)).groupBy("year", "month").count()
+    assert rows(got) == every[:-1]
     assert dict(trips.narrow_trips(spark, base).dtypes)["pulocationid"] == "bigint"
 
 
@@ -56,7 +59,7 @@ def test_year_filter_prunes_files(spark, base):
         fact.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     (filters,) = [line for line in plan.splitlines() if "PartitionFilters" in line]
-    assert "year" in filters and "= 2024)" in filters and "month" in filters
+    assert "year" in filters and "= 2024)" in filters
     assert "ReadSchema: struct<fare_amount:double>" in plan
 
 
@@ -67,10 +70,11 @@ def test_mixed_types_fail_without_eras(spark, base):
 
 def test_era_union(spark, base, rows):
     fact = fact_trips(spark, base)
-    assert fact.count() == IN_RANGE
+    assert fact.count() == ALL_TRIPS
     kinds = dict(fact.dtypes)
     assert kinds["rate_code_id"] == kinds["passenger_count"] == "bigint"
-    assert rows(fact.groupBy("year").agg(F.sum("passenger_count"))) == [
+    assert fact.filter("year = 2027").count() == 9
+    assert rows(fact.filter("year < 2027").groupBy("year").agg(F.sum("passenger_count"))) == [
         (2022, 11), (2023, 29), (2024, 20),
     ]
 
@@ -179,7 +183,7 @@ def test_rollup_adds_up(spark, base, tmp_path, rows):
     rebuild_rollup(fact, path)
     rollup = spark.read.parquet(path)
     assert all(row[3] == 0 for row in rows(reconcile(fact, rollup)))
-    assert rollup.agg(F.sum("trips")).first()[0] == IN_RANGE
+    assert rollup.agg(F.sum("trips")).first()[0] == ALL_TRIPS
     assert rollup.agg(F.sum("tipped_trips")).first()[0] == fact.filter("tip_amount > 0").count()
 
 
@@ -213,7 +217,7 @@ def test_write_replaces_only_the_years_given(spark, base, tmp_path, rows):
     write_rollup(rollup, path)
     write_rollup(rollup.filter("year = 2023").withColumn("trips", F.lit(100).cast("bigint")), path)
     per_year = spark.read.parquet(path).groupBy("year").agg(F.max("trips") >= 100)
-    assert rows(per_year) == [(2022, False), (2023, True), (2024, False)]
+    assert rows(per_year) == [(2022, False), (2023, True), (2024, False), (2027, False)]
 
 
 def test_write_spreads_a_large_partition(spark, base):
@@ -243,9 +247,38 @@ def test_stream_refresh(spark, tmp_path, rows):
     assert totals() == [(2022, 5), (2023, 6)]
     write_layout(spark, base, MONTHS[2:])
     run_rollup_refresh(spark, base, path, progress, files_per_batch=1)
-    assert totals() == [(2022, 5), (2023, 13), (2024, 8)]
+    assert totals() == [(2022, 5), (2023, 13), (2024, 8), (2027, 9)]
     run_rollup_refresh(spark, base, path, progress)
-    assert totals() == [(2022, 5), (2023, 13), (2024, 8)]
+    assert totals() == [(2022, 5), (2023, 13), (2024, 8), (2027, 9)]
+
+
+def test_refresh_does_not_pass_files_outside_its_range(spark, tmp_path):
+    base, path, progress = (str(tmp_path / name) for name in ("trips", "rollup", "progress"))
+    write_layout(spark, base)
+    with pytest.raises(Exception, match="outside"):
+        run_rollup_refresh(spark, base, path, progress, years=(2021, 2026))
+    run_rollup_refresh(spark, base, path, progress)
+    assert spark.read.parquet(path).agg(F.sum("trips")).first()[0] == narrow_fact(spark, base).count()
+
+
+def test_months_of_no_era_or_two_raise(spark, base):
+    with pytest.raises(ValueError, match="no era"):
+        fact_trips(spark, base, TRIP_ERAS[:-1])
+    with pytest.raises(ValueError, match="2022-12"):
+        fact_trips(spark, base, [*TRIP_ERAS, TRIP_ERAS[0]])
+
+
+def test_calendar_covers_the_years_of_a_fact(spark, base):
+    days = calendar.lakehouse_calendar(spark, covering=narrow_fact(spark, base))
+    series = dashboard.monthly_series(build_rollup(narrow_fact(spark, base)), days)
+    assert series.agg(F.sum("trips")).first()[0] == ALL_TRIPS
+
+
+def test_nan_code_is_null(spark):
+    from monthmill.functions.measures import whole_number
+
+    df = spark.createDataFrame([(float("nan"),), (1.5,), (2.4,), (None,)], "code double")
+    assert [r[0] for r in df.select(whole_number(F.col("code"))).collect()] == [None, 2, 2, None]
 
 
 def test_stream_replays_without_counting_twice(spark, tmp_path, rows):
