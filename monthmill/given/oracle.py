@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from monthmill.given.loads import LOADS_ORACLE
 from monthmill.given.queries import MIN_CARD_TRIPS, MIN_TRIPS, MONTH, PICKED, YEAR
 
 
@@ -381,7 +382,9 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'congestion_surcharge', COUNT(*) - COUNT(congestion) FROM raw
       UNION ALL SELECT 'Airport_fee', COUNT(*) - COUNT(airport) FROM raw) WHERE missing_count > 0""",
     "describe_numeric": _describe(
-        "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+        "lineitem",
+        """l_orderkey l_partkey l_suppkey l_linenumber
+        l_quantity l_extendedprice l_discount l_tax""".split(),
     ),
     "negative_columns": f"""{_with(_RAW)} SELECT * FROM (
       SELECT 'trip_distance' AS "column", COUNT(*) FILTER (distance < 0) AS negative_count FROM raw
@@ -389,10 +392,14 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'Airport_fee', COUNT(*) FILTER (airport < 0) FROM raw)
       WHERE negative_count > 0""",
     "duplicate_rows": f"""SELECT {_long('SUM(n)')} AS total_rows, {_long('SUM(n - 1)')} AS duplicate_rows
-      FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber, l_quantity)""",
+      FROM (SELECT COUNT(*) AS n FROM (SELECT * FROM lineitem UNION ALL
+        SELECT * FROM lineitem WHERE l_returnflag = 'R') GROUP BY l_orderkey, l_partkey,
+        l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+        l_linestatus, l_shipdate)""",
     "duplicate_documents": f"""SELECT {_long('SUM(n)')} AS total_rows,
       {_long('SUM(n - 1)')} AS duplicate_rows
-      FROM (SELECT COUNT(*) AS n FROM documents GROUP BY text, lang)""",
+      FROM (SELECT COUNT(*) AS n FROM (SELECT * FROM documents UNION ALL
+        SELECT * FROM documents WHERE lang <> 'en') GROUP BY doc_id, text, lang, source, n_chars)""",
     "dedupe_first": """SELECT * FROM lineitem QUALIFY ROW_NUMBER() OVER (
         PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity,
         l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
@@ -450,4 +457,5 @@ ORACLE: dict[str, str] = {
       'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark',
       'labels', 'conversations')""",
     "stream_rollup": f"{_RAW_DAILY} SELECT * FROM daily",
+    **LOADS_ORACLE,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from monthmill.functions.dates import seconds_of_day
 from monthmill.given import tables as given
+from monthmill.given.loads import LOADS
 from monthmill.operators import cleaning, keys, profile, quality, quantiles
 from monthmill.operators.joins import absent_from, count_both_unknown, join_lookup
 from monthmill.operators.sets import first_per_key
@@ -366,7 +367,8 @@ def missing_counts(spark, sf_dir):
 
 
 def describe_numeric(spark, sf_dir):
-    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    names = """l_orderkey l_partkey l_suppkey l_linenumber
+        l_quantity l_extendedprice l_discount l_tax""".split()
     report = quantiles.describe(given.table(spark, sf_dir, "lineitem"), names)
     return _rounded(report, mean=9, std=6, q25=6, q50=6, q75=6)
 
@@ -376,12 +378,14 @@ def negative_columns(spark, sf_dir):
 
 
 def duplicate_rows(spark, sf_dir):
-    items = given.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return profile.duplicate_rows(items)
+    """Copies in every column, of line items and the returned ones once more."""
+    items = given.table(spark, sf_dir, "lineitem")
+    return profile.duplicate_rows(items.unionByName(items.filter("l_returnflag = 'R'")))
 
 
 def duplicate_documents(spark, sf_dir):
-    return profile.duplicate_rows(given.table(spark, sf_dir, "documents").select("text", "lang"))
+    docs = given.table(spark, sf_dir, "documents")
+    return profile.duplicate_rows(docs.unionByName(docs.filter("lang <> 'en'")))
 
 
 def dedupe_first(spark, sf_dir):
@@ -570,4 +574,5 @@ QUERIES: dict[str, Query] = {
     "schema_eras": schema_eras,
     "schema_signatures": schema_signatures,
     "stream_rollup": stream_rollup,
+    **LOADS,
 }
