@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +51,12 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     """(text, toxic) of distinct labelled training texts."""
     known = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(id_remainder(FOLDS) != HELD_OUT)
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(known, "doc_id")
-    few = texts.select(F.md5("text").alias("tag"), "toxic", "doc_id").groupBy("tag").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
-    few = written(few.orderBy("tag").limit(size), "labelled")
-    of_text = F.md5("text")
-    return written(texts.drop("toxic").join(few, ["doc_id"]).filter(of_text == F.col("tag")).dropDuplicates(["tag"]).select("text", "toxic"), "sample")
+    tag = F.md5(text_or_empty())
+    tagged = docs.select("doc_id", tag.alias("tag")).join(known, "doc_id")  # texts themselves don't move
+    few = tagged.groupBy("tag").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")).orderBy("tag").limit(size)
+    few = F.broadcast(written(few, "labelled"))  # `size` rows at most
+    texts = docs.select("doc_id", text_or_empty().alias("text"), tag.alias("tag")).join(few, ["doc_id", "tag"])
+    return written(texts.dropDuplicates(["tag"]).select("text", "toxic"), "sample")
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +112,8 @@ def _runs_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def select_features(sample: DataFrame) -> list[str]:
     """The letter runs most associated with toxic texts, best first."""
     contexts = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_contexts, "word string, before string, after string, toxic int")
-    words = contexts.groupBy("word", "before", "after").agg(F.max("toxic").alias("toxic")).groupBy("word").agg(
+    contexts = contexts.select("word", F.xxhash64("before", "after").alias("context"), "toxic")
+    words = contexts.groupBy("word", "context").agg(F.max("toxic").alias("toxic")).groupBy("word").agg(
         F.sum((F.col("toxic") > 0).cast("long")).alias("toxic"), F.sum((F.col("toxic") <= 0).cast("long")).alias("clean")
     )
     words = written(words, "words")
@@ -133,39 +136,46 @@ def select_features(sample: DataFrame) -> list[str]:
     return [row.run for row in best.collect()]
 
 
+class _Words(dict):
+    """Word -> numbers of its known letter runs, found when first wanted; emptied when it is full."""
+
+    def __init__(self, features: list[str]):
+        super().__init__()
+        self.numbers = {run: i for i, run in enumerate(features)}
+        self.starts = {run[:3] for run in features}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        marked = f"^{word}$"
+        starts = [i for i in range(len(marked) - 2) if marked[i : i + 3] in self.starts]
+        runs = {marked[i : i + n] for i in starts for n in range(3, 7)}
+        runs.add(marked)
+        if len(self) >= _TABLE:
+            self.clear()
+        found = self[word] = tuple(sorted(self.numbers[run] for run in runs if run in self.numbers))
+        return found
+
+
 class Scorer:
     """Sentences of a text with known features, and their weights once fitted."""
 
     def __init__(self, features: list[str], weights: np.ndarray | None = None, bias: float = 0.0):
-        self.numbers = {run: i for i, run in enumerate(features)}
+        self.words = _Words(features)
         self.weights, self.bias = weights, bias
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def of_word(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= _TABLE:
-                self.known.clear()
-            found = self.known[word] = tuple(sorted(self.numbers[run] for run in letter_runs(word) & self.numbers.keys()))
-        return found
 
     def sentences(self, text: str) -> tuple[int, list[tuple[int, int, tuple[int, ...]]]]:
         """The number of sentences without a feature, and (start, end, features) of the others."""
         lower = text.lower()
-        words = set(_WORDS.findall(lower))
-        some = [word for word in words if self.of_word(word)]
-        if len(lower) != len(text):  # a letter with a longer lower case: sentences are those of the lower-cased text's parts
-            lower = "".join(x if len(x) == 1 else x[0] for x in map(str.lower, text))
-            words = set(_WORDS.findall(lower))
-            some = [word for word in words if self.of_word(word)]
+        if len(lower) != len(text):  # a letter whose lower case is longer would move positions
+            lower = "".join(map(lambda x: x.lower()[0], text))
+        words = list(set(_WORDS.findall(lower)))
+        some = set(compress(words, map(self.words.__getitem__, words)))
         plain, found = 0, []
-        some = set(some)
         for sentence in _SENTENCES.finditer(lower):
             part = sentence[0]
             features: set[int] = set()
             if some:
                 for word in some.intersection(_WORDS.findall(part)):
-                    features.update(self.of_word(word))
+                    features.update(self.words[word])
             if features:
                 found.append((sentence.start(), sentence.end(), tuple(sorted(features))))
             elif not part.isspace():
@@ -175,6 +185,8 @@ class Scorer:
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """The document's probability, and (start, end, probability) of its offending sentences."""
         plain, found = self.sentences(text)
+        if not found:
+            return float(-np.expm1(-plain * np.logaddexp(0.0, self.bias))), []
         logits = self.bias + np.array([self.weights[list(features)].sum() for *_, features in found])
         log_clean = -plain * np.logaddexp(0.0, self.bias) - np.logaddexp(0.0, logits).sum()
         p = 1 / (1 + np.exp(-logits))
@@ -241,7 +253,7 @@ def score_toxicity(docs: DataFrame, model: tuple[list[str], np.ndarray, float],
 
     @F.arrow_udf("struct<score double, offending array<struct<start int, end int, score double>>>")
     def scores(texts: pa.Array) -> pa.Array:
-        rows = [scorer.score(x) if scorer.numbers else (0.0, []) for x in texts.to_pylist()]
+        rows = [scorer.score(x) if scorer.words.numbers else (0.0, []) for x in texts.to_pylist()]
         return pa.array([{"score": p, "offending": [dict(zip(("start", "end", "score"), s)) for s in found]} for p, found in rows], kind)
 
     return docs.withColumn(into, scores(text_or_empty(text)))
