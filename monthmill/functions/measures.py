@@ -32,6 +32,11 @@ def sum_where(test: Column, value: str) -> Column:
     return F.sum(F.when(test, F.col(value)))
 
 
+def total_where(test: Column, count: str) -> Column:
+    """Sum of counts; 0 when no row passes the test."""
+    return F.coalesce(sum_where(test, count), F.lit(0).cast("long"))
+
+
 def rounded_sum(value: str, places: int = 2) -> Column:
     return F.round(F.sum(value), places)
 

@@ -238,6 +238,16 @@ ORACLE: dict[str, str] = {
       SELECT hour_bucket, hour_of_day, trips, {_fixed('(trips - usual) / NULLIF(spread, 0)', 6)} AS z
       FROM hours JOIN history USING (hour_of_day)
       ORDER BY ABS((trips - usual) / NULLIF(spread, 0)) DESC NULLS LAST, hour_bucket LIMIT 20""",
+    "q07_hourly_anomalies_years": f"""WITH moved AS (
+        SELECT l_shipdate + to_hours({_int('l_quantity % 24')}) AS ts FROM lineitem
+        WHERE year(l_shipdate) BETWEEN {PICKED[0]} AND {PICKED[-1]}),
+      hours AS (SELECT date_trunc('hour', ts) AS hour_bucket,
+        {_int('hour(ts)')} AS hour_of_day, COUNT(*) AS trips FROM moved GROUP BY ALL),
+      history AS (SELECT hour_of_day, AVG(trips) AS usual, STDDEV_SAMP(trips) AS spread
+        FROM hours GROUP BY hour_of_day)
+      SELECT hour_bucket, hour_of_day, trips, {_fixed('(trips - usual) / NULLIF(spread, 0)', 6)} AS z
+      FROM hours JOIN history USING (hour_of_day)
+      ORDER BY ABS((trips - usual) / NULLIF(spread, 0)) DESC NULLS LAST, hour_bucket LIMIT 20""",
     "q08_busiest_hours": f"""{_with(_EVENTS)} SELECT h AS pickup_hour, COUNT(*) AS trips
       FROM happenings GROUP BY h ORDER BY trips DESC, h LIMIT 10""",
     "q09_average_fare_by_borough": f"""{_FACT} SELECT borough,
@@ -319,8 +329,10 @@ ORACLE: dict[str, str] = {
       FROM raw WHERE NOT {_ALL_NULL} AND NOT {_REVERSED} AND NOT {_REFUND}""",
     "hourly_trips": f"""SELECT date_trunc('hour', ts) AS hour_bucket, {_int('hour(ts)')} AS hour_of_day,
       COUNT(*) AS trips FROM events GROUP BY ALL""",
-    "time_split": f"""SELECT event_id, CAST(ts AS DATE) AS pickup_date,
-      {_int('hour(ts) * 3600 + minute(ts) * 60 + second(ts)')} AS pickup_time FROM events""",
+    "time_split": f"""WITH ends AS (SELECT event_id, ts, ts + to_seconds(event_id % 90000) AS te FROM events)
+      SELECT event_id, CAST(ts AS DATE) AS "Pickup_date", CAST(te AS DATE) AS "Dropoff_date",
+      {_int('hour(ts) * 3600 + minute(ts) * 60 + second(ts)')} AS "Pickup_time",
+      {_int('hour(te) * 3600 + minute(te) * 60 + second(te)')} AS "Dropoff_time" FROM ends""",
     "dim_date_fixed": f"""WITH counts AS (SELECT CAST(l_shipdate AS DATE) AS d, COUNT(*) AS trips
         FROM lineitem GROUP BY 1), span AS ({_calendar("DATE '1995-01-01'", "DATE '2000-12-31'")})
       SELECT {_key('d')} AS date_key, d AS full_date, {_int('year(d)')} AS year,
@@ -340,6 +352,13 @@ ORACLE: dict[str, str] = {
     "dim_location_notebook": f"""SELECT {_long('p_size')} AS location_id, p_brand AS borough,
       p_name AS zone, CASE p_type WHEN 'SMALL' THEN 'Unknown' ELSE p_type END AS service_zone
       FROM part QUALIFY ROW_NUMBER() OVER (PARTITION BY p_size ORDER BY p_partkey) = 1""",
+    "dim_location_null_ids": f"""SELECT {_long('p_size')} AS location_id, p_brand AS borough,
+      ' ' || p_name || ' ' AS zone, CASE p_type WHEN 'SMALL' THEN 'N/A' ELSE p_type END AS service_zone
+      FROM part WHERE p_partkey % 5 <> 0""",
+    "tip_rules": """SELECT l_returnflag AS payment_type, COUNT(*) FILTER (ROUND(l_discount - 0.05, 2) > 0) AS above_zero,
+      COUNT(*) FILTER (ROUND(l_discount - 0.05, 2) <> 0) AS not_zero FROM lineitem GROUP BY 1""",
+    "whole_codes": f"""SELECT {_long('CASE WHEN l_quantity % 7 <> 0 THEN ROUND(l_quantity / 4) END')} AS code,
+      COUNT(*) AS trips FROM lineitem GROUP BY 1""",
     "dim_values": f"""{_FACT} SELECT payment_desc, rate_code_desc, COUNT(*) AS trips FROM trips
       LEFT JOIN payments USING (payment_type) LEFT JOIN rates USING (rate_code_id) GROUP BY ALL""",
     "rollup_build": f"{_ROLL} SELECT * FROM daily",
@@ -364,7 +383,9 @@ ORACLE: dict[str, str] = {
       LEFT JOIN labels USING (doc_id) WHERE quality IS NOT NULL OR toxic IS NOT NULL""",
     "any_null": f"""{_with(_RAW)} SELECT COUNT(*) FILTER {_ANY_NULL} AS rows_with_missing FROM raw""",
     "refund_filter": f"""{_with(_RAW)} SELECT vendor AS "VendorID", distance AS trip_distance,
-      fare AS fare_amount, l_extendedprice AS total_amount FROM raw WHERE NOT {_REFUND}""",
+      fare AS fare_amount, l_extendedprice AS total_amount, l_tax - 0.05::DOUBLE AS mta_tax,
+      l_discount - 0.05::DOUBLE AS cbd_congestion_fee FROM raw WHERE NOT COALESCE(distance > 0
+      AND (fare < 0 OR l_tax - 0.05::DOUBLE < 0 OR l_discount - 0.05::DOUBLE < 0), FALSE)""",
     "order_check": """SELECT l_orderkey, l_linenumber, o_orderdate, l_shipdate FROM lineitem
       LEFT JOIN orders ON o_orderkey = l_orderkey WHERE COALESCE(l_shipdate >= o_orderdate, TRUE)""",
     "negative_distance": f"""{_with(_RAW)} SELECT COUNT(*) FILTER (distance < 0) AS negative_distances

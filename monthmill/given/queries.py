@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.functions.dates import seconds_of_day
+from monthmill.functions.measures import count_where, tipped_nonzero, tipped_positive, whole_number
 from monthmill.given import tables as given
 from monthmill.given.loads import LOADS
 from monthmill.operators import cleaning, keys, profile, quality, quantiles
@@ -65,7 +65,7 @@ def q05(spark, sf_dir):
 
 def q06(spark, sf_dir):
     return lakehouse.star_report(
-        given.trips(spark, sf_dir, (YEAR, YEAR), located=True),
+        given.trips(spark, sf_dir, (YEAR, YEAR), located=True, month=MONTH),
         given.dim_payment(spark),
         given.dim_rate_code(spark),
         given.dim_location(spark, sf_dir),
@@ -79,6 +79,13 @@ def q07(spark, sf_dir):
     return _rounded(lakehouse.hourly_anomalies(given.event_trips(spark, sf_dir)), z=6)
 
 
+def q07_years(spark, sf_dir):
+    """Over the shipments of a range of years, an hour for each unit of quantity."""
+    hour = F.make_dt_interval(F.lit(0), (F.col("trip_distance") % 24).cast("int"))
+    fact = given.trips(spark, sf_dir).withColumn("pickup_time", F.col("pickup_time") + hour)
+    return _rounded(lakehouse.hourly_anomalies(fact, (PICKED[0], PICKED[-1])), z=6)
+
+
 # --- questions from one month ----------------------------------------------------------------
 
 
@@ -146,7 +153,7 @@ def week_parts(spark, sf_dir):
 
 
 def _series(spark, sf_dir):
-    return dashboard.monthly_series(given.daily_rollup(spark, sf_dir), given.dim_date(spark), given.CARD)
+    return dashboard.month_totals(given.daily_rollup(spark, sf_dir), given.dim_date(spark), given.CARD)
 
 
 def _zone_years(spark, sf_dir):
@@ -167,7 +174,8 @@ def _borough_years(spark, sf_dir):
 
 
 def q19(spark, sf_dir):
-    return _rounded(_series(spark, sf_dir), revenue=2, fare=2)
+    rollup, days = given.daily_rollup(spark, sf_dir), given.dim_date(spark)
+    return _rounded(dashboard.monthly_series(rollup, days, given.CARD), revenue=2, fare=2)
 
 
 def q20(spark, sf_dir):
@@ -237,11 +245,14 @@ def hourly_trips(spark, sf_dir):
 
 
 def time_split(spark, sf_dir):
-    return given.table(spark, sf_dir, "events").select(
+    """Both ends of a trip, the end some seconds after the start."""
+    after = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 90_000).cast("decimal(18,6)"))
+    events = given.table(spark, sf_dir, "events").select(
         "event_id",
-        F.to_date("ts").alias("pickup_date"),
-        seconds_of_day(F.col("ts")).alias("pickup_time"),
+        F.col("ts").alias(cleaning.PICKUP),
+        (F.col("ts") + after).alias(cleaning.DROPOFF),
     )
+    return cleaning.split_times(events).drop(cleaning.PICKUP, cleaning.DROPOFF)
 
 
 def dim_date_fixed(spark, sf_dir):
@@ -275,6 +286,31 @@ def dim_values(spark, sf_dir):
     return named.select("payment_desc", "rate_code_desc", "trips")
 
 
+def tip_rules(spark, sf_dir):
+    """The two rules for a tip side by side, some tips being negative."""
+    fact = given.trips(spark, sf_dir)
+    fact = fact.withColumn("tip_amount", F.round(F.col("tip_amount") - 0.05, 2))
+    return fact.groupBy("payment_type").agg(
+        count_where(tipped_positive()).alias("above_zero"),
+        count_where(tipped_nonzero()).alias("not_zero"),
+    )
+
+
+def whole_codes(spark, sf_dir):
+    """Codes that come as doubles, fractions and NaN among them, as whole numbers."""
+    quantity = F.col("l_quantity")
+    code = F.when(quantity % 7 == 0, F.lit(float("nan"))).otherwise(quantity / 4)
+    codes = given.table(spark, sf_dir, "lineitem").select(whole_number(code).alias("code"))
+    return codes.groupBy("code").agg(F.count("*").alias("trips"))
+
+
+def dim_location_null_ids(spark, sf_dir):
+    """Zones whose id is missing are left out."""
+    zones = given.zone_list(spark, sf_dir)
+    some = F.when(F.col("line") % 5 != 0, F.col("locationid"))
+    return dims.location_lakehouse(zones.withColumn("locationid", some))
+
+
 def rollup_build(spark, sf_dir):
     return build_rollup(given.trips(spark, sf_dir, located=True))
 
@@ -322,8 +358,11 @@ def any_null(spark, sf_dir):
 
 
 def refund_filter(spark, sf_dir):
-    kept = cleaning.drop_refunds(given.raw_ends(spark, sf_dir))
-    return kept.select("VendorID", "trip_distance", "fare_amount", "total_amount")
+    """At the full width of a month: any of the nine amounts marks a refund."""
+    raw = given.raw_month(spark, sf_dir)
+    less = {name: F.col(name) - 0.05 for name in ("mta_tax", "cbd_congestion_fee")}
+    kept = cleaning.drop_refunds(raw.withColumns(less))
+    return kept.select("VendorID", "trip_distance", "fare_amount", "total_amount", *less)
 
 
 def order_check(spark, sf_dir):
@@ -509,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "q05_week_parts_unmatched": q05,
     "q06_star_report": q06,
     "q07_hourly_anomalies": q07,
+    "q07_hourly_anomalies_years": q07_years,
     "q08_busiest_hours": q08,
     "q09_average_fare_by_borough": q09,
     "q10_tipped_by_borough": q10,
@@ -541,7 +581,10 @@ QUERIES: dict[str, Query] = {
     "dim_date_from_data": dim_date_from_data,
     "dim_location_lakehouse": dim_location_lakehouse,
     "dim_location_notebook": dim_location_notebook,
+    "dim_location_null_ids": dim_location_null_ids,
     "dim_values": dim_values,
+    "tip_rules": tip_rules,
+    "whole_codes": whole_codes,
     "rollup_build": rollup_build,
     "rollup_reconcile": rollup_reconcile,
     "rollup_rebuild": rollup_rebuild,

@@ -63,20 +63,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shipped_in(items: DataFrame, years: tuple[int, int] | None) -> DataFrame:
-    """A range on the timestamp itself reaches the parquet scan; one on its year would not."""
+def _shipped_in(
+    items: DataFrame, years: tuple[int, int] | None, month: int | None = None
+) -> DataFrame:
+    """A range on the timestamp itself reaches the parquet scan; one on its year would not.
+
+    ``month`` narrows a range of one year.
+    """
     if years is None:
         return items
     first, end = dt.datetime(years[0], 1, 1), dt.datetime(years[1] + 1, 1, 1)
+    if month is not None and years[0] == years[1]:
+        first = first.replace(month=month)
+        end = end if month == 12 else first.replace(month=month + 1)
     lower, upper = (F.lit(day).cast("timestamp_ntz") for day in (first, end))
     return items.filter((F.col("l_shipdate") >= lower) & (F.col("l_shipdate") < upper))
 
 
 def trips(
-    spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None, located: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    years: tuple[int, int] | None = None,
+    located: bool = False,
+    month: int | None = None,
 ) -> DataFrame:
     """Line items as the fact; ``located`` adds the zone, which costs a join."""
-    items = _shipped_in(table(spark, sf_dir, "lineitem"), years)
+    items = _shipped_in(table(spark, sf_dir, "lineitem"), years, month)
     place = []
     if located:
         suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -21,9 +21,10 @@ def _by_calendar(rollup: DataFrame, dim_date: DataFrame) -> DataFrame:
     return join_lookup(rollup, days, "pickup_date_key", "date_key", "inner")
 
 
-def monthly_series(rollup: DataFrame, dim_date: DataFrame, card=CARD) -> DataFrame:
+def month_totals(rollup: DataFrame, dim_date: DataFrame, card=CARD) -> DataFrame:
+    """Measures by calendar month, in no order: what further aggregates start from."""
     by_card = F.col("payment_type") == card
-    months = (
+    return (
         _by_calendar(rollup, dim_date)
         .groupBy("yr", "mo")
         .agg(
@@ -34,7 +35,11 @@ def monthly_series(rollup: DataFrame, dim_date: DataFrame, card=CARD) -> DataFra
             sum_where(by_card, "tipped_trips").alias("card_tipped"),
         )
     )
-    return sort_up(months, "yr", "mo")
+
+
+def monthly_series(rollup: DataFrame, dim_date: DataFrame, card=CARD) -> DataFrame:
+    """The same in order of time."""
+    return sort_up(month_totals(rollup, dim_date, card), "yr", "mo")
 
 
 def zone_years(rollup: DataFrame, dim_location: DataFrame, dim_date: DataFrame) -> DataFrame:

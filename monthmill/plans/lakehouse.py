@@ -1,6 +1,7 @@
 """Questions asked of the lakehouse fact or its rollup.
 
 Left joins keep trips of unknown zones or dates, inner joins drop them; each question keeps its own.
+Trips are counted per id before they meet a lookup, so that lookups join groups and not trips.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from monthmill.fixed_values import CARD
 from monthmill.functions.dates import hour_bucket
 from monthmill.functions.measures import (
     count_where,
-    mean,
     percent,
     ratio_of_sums,
     rounded_sum,
     tipped_nonzero,
+    total_where,
     trip_count,
 )
 from monthmill.operators.joins import join_lookup
@@ -32,8 +33,8 @@ def in_year(df: DataFrame, year: int | None) -> DataFrame:
 def top_zones_from_fact(
     fact: DataFrame, dim_location: DataFrame, year: int | None = None, k: int = 10
 ) -> DataFrame:
-    zones = join_lookup(in_year(fact, year), dim_location, "pickup_location_id", "location_id")
-    return top_k(zones.groupBy("zone").agg(trip_count(fact).alias("trips")), "trips", k, "zone")
+    places = in_year(fact, year).groupBy("pickup_location_id").agg(trip_count(fact).alias("trips"))
+    return top_zones_from_rollup(places, dim_location, None, k)
 
 
 def top_zones_from_rollup(
@@ -78,13 +79,14 @@ def week_parts_with_unmatched(
     fact: DataFrame, dim_date: DataFrame, year: int | None = None
 ) -> DataFrame:
     """Weekday and weekend trips, and those whose date the calendar does not have."""
+    counts = in_year(fact, year).groupBy("pickup_date_key").agg(F.count("*").alias("trips"))
     days = dim_date.select("date_key", "is_weekend")
-    joined = join_lookup(in_year(fact, year), days, "pickup_date_key", "date_key")
+    joined = join_lookup(counts, days, "pickup_date_key", "date_key")
     weekend = F.col("is_weekend")
     return joined.agg(
-        count_where(~weekend).alias("weekday_trips"),
-        count_where(weekend).alias("weekend_trips"),
-        count_where(weekend.isNull()).alias("unmatched_dates"),
+        total_where(~weekend, "trips").alias("weekday_trips"),
+        total_where(weekend, "trips").alias("weekend_trips"),
+        total_where(weekend.isNull(), "trips").alias("unmatched_dates"),
     )
 
 
@@ -103,14 +105,21 @@ def star_report(
     if month is not None:
         trips = trips.filter(F.col("month") == month)
     keys = ["payment_desc", "rate_code_desc", "borough", "is_weekend"]
-    joined = join_lookup(trips, dim_payment, "payment_type", "payment_type")
+    counts = trips.groupBy(
+        "payment_type", "rate_code_id", "pickup_location_id", "pickup_date_key"
+    ).agg(
+        F.count("*").alias("trips"),
+        F.sum("tip_amount").alias("tips"),
+        F.count("tip_amount").alias("tip_count"),
+    )
+    joined = join_lookup(counts, dim_payment, "payment_type", "payment_type")
     joined = join_lookup(joined, dim_rate_code, "rate_code_id", "rate_code_id")
     boroughs = dim_location.select("location_id", "borough")
     joined = join_lookup(joined, boroughs, "pickup_location_id", "location_id")
     weekends = dim_date.select("date_key", "is_weekend")
     joined = join_lookup(joined, weekends, "pickup_date_key", "date_key")
     groups = joined.groupBy(*keys).agg(
-        F.count("*").alias("trips"), mean("tip_amount", 2).alias("avg_tip")
+        F.sum("trips").alias("trips"), ratio_of_sums("tips", F.sum("tip_count"), 2).alias("avg_tip")
     )
     return top_k(groups, "trips", k, *keys)
 

@@ -1,7 +1,8 @@
 """Landing of monthly files under ``year=YYYY/month=MM/``.
 
 Which months to land is a join of three small sets: the months asked for, those published, those
-present. Landing the same months again changes nothing.
+present. Landing the same months again changes nothing, except that a month with fewer rows than its
+published file, which an interrupted run has left, is landed whole.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthmill.functions.names import year_range
+from monthmill.operators.joins import absent_from
 from monthmill.operators.quality import month_grid, month_status, months_outside
 from monthmill.sources.lookups import inline_relation
 from monthmill.sources.files import (
@@ -20,6 +22,7 @@ from monthmill.sources.files import (
     file_signatures,
     months_of,
     partition_files,
+    rows_per_month,
     source_files,
 )
 
@@ -81,8 +84,8 @@ def land(
     ``prefix`` picks one product of several in the folder; a month with two candidates raises.
 
     Files are grouped by the column types in their footers, as one scan cannot mix them, and each
-    group is one job that splits large files over many tasks without a shuffle. A partition
-    appears when its job commits, so an interrupted run is repaired by the next one.
+    group is one job that splits large files over many tasks without a shuffle. Where folders are not
+    renamed in one step, an interrupted run may leave part of a month, which counts as missing.
     """
     wanted = plan.filter(F.col("status") == "uploaded").select("year", "month")
     files = source_files(spark, source, prefix).join(wanted, ["year", "month"], "left_semi")
@@ -112,6 +115,15 @@ def land(
         )
 
 
+def present_months(asked: DataFrame, published: DataFrame, landed: DataFrame) -> DataFrame:
+    """Months of the landed files, less those asked for that hold fewer rows than their published files."""
+    keys = ["year", "month"]
+    wanted = rows_per_month(published.join(asked, keys, "left_semi"))
+    there = rows_per_month(landed.join(asked, keys, "left_semi")).withColumnRenamed("n_rows", "n_landed")
+    short = there.join(wanted, keys).filter(F.col("n_landed") < F.col("n_rows"))
+    return absent_from(months_of(landed), short.select(*keys), keys)
+
+
 def backfill(
     spark: SparkSession,
     source: str,
@@ -122,9 +134,10 @@ def backfill(
 ) -> DataFrame:
     """Lands the missing months of the given years; returns what was done, or would be, and the months
     that are published or present outside these years."""
-    published = months_of(source_files(spark, source, prefix))
-    present = months_of(partition_files(spark, target))
-    plan = backfill_plan(spark, years, published, present)
+    files = source_files(spark, source, prefix)
+    asked = month_grid(spark, year_range(years))
+    published, present = months_of(files), present_months(asked, files, partition_files(spark, target))
+    plan = month_status(asked, published, present)
     return _run(spark, source, target, plan, published, present, dry_run, prefix)
 
 
@@ -140,9 +153,9 @@ def catch_up(
 ) -> DataFrame:
     """Lands recent missing months, or just the one named; returns all months asked for, those that a
     cap left for the next run as ``not_reached``, and the months published or present beside them."""
-    published = months_of(source_files(spark, source, prefix))
-    present = months_of(partition_files(spark, target))
+    files = source_files(spark, source, prefix)
     months = one_month(spark, *month) if month else months_before(spark, today, lookback)
+    published, present = months_of(files), present_months(months, files, partition_files(spark, target))
     plan = catch_up_plan(months, published, present, cap)
     return _run(spark, source, target, plan, published, present, False, prefix)
 

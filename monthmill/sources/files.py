@@ -84,7 +84,7 @@ def month_list(months: DataFrame) -> list[tuple[int, int]]:
 
 
 def footer_columns(files: DataFrame) -> DataFrame:
-    """path, position, column, type of each column, read from the footers on the executors.
+    """path, position, column, type of each column and the file's n_rows, from the footers, on the executors.
 
     Needs only a ``path`` column; other columns of the listing are not carried.
     """
@@ -106,20 +106,28 @@ def footer_columns(files: DataFrame) -> DataFrame:
             for path in batch["path"]:
                 store, key = fs.FileSystem.from_uri(arrow_uri(path))
                 with store.open_input_file(key) as handle:
-                    schema = pq.ParquetFile(handle).schema_arrow
+                    file = pq.ParquetFile(handle)
+                    schema, n_rows = file.schema_arrow, file.metadata.num_rows
                 yield pd.DataFrame(
                     {
                         "path": path,
                         "position": range(len(schema)),
                         "column": schema.names,
                         "type": [str(kind) for kind in schema.types],
+                        "n_rows": n_rows,
                     }
                 )
 
-    ddl = "path string, position int, column string, type string"
+    ddl = "path string, position int, column string, type string, n_rows bigint"
     return files.select("path").mapInPandas(read, ddl)
 
 
+def rows_per_month(files: DataFrame) -> DataFrame:
+    """year, month, n_rows of the files together."""
+    counts = footer_columns(files).filter("position = 0").select("path", "n_rows")
+    return files.join(counts, "path").groupBy("year", "month").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def file_signatures(files: DataFrame) -> DataFrame:
     """path, signature: the file's columns and types in order, as one text."""
     entry = F.struct("position", F.concat_ws(" ", "column", "type").alias("text"))

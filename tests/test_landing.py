@@ -74,6 +74,18 @@ def test_landed_files_keep_their_types(spark, published, tmp_path, rows):
     assert fact_trips(spark, target).count() == 5 + 6 + 7 + 8
 
 
+def test_part_of_a_month_is_landed_again(spark, published, tmp_path):
+    target = str(tmp_path / "trips")
+    landing.backfill(spark, published, target, "2022-2024")
+    month = f"{target}/year=2023/month=02"
+    part = spark.createDataFrame(one_file(spark, month).limit(3).toPandas(), one_file(spark, month).schema)
+    part.write.mode("overwrite").parquet(month)
+    assert fact_trips(spark, target).count() < 5 + 6 + 7 + 8
+    again = by_status(landing.backfill(spark, published, target, "2022-2024"))
+    assert again["uploaded"] == [(2023, 2)] and len(again["skipped"]) == 3
+    assert fact_trips(spark, target).count() == 5 + 6 + 7 + 8
+
+
 def test_dry_run_writes_nothing(spark, published, tmp_path):
     target = str(tmp_path / "trips")
     plan = landing.backfill(spark, published, target, "2024", dry_run=True)
