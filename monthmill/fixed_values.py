@@ -72,7 +72,10 @@ REFUND_AMOUNTS = [
 
 # Boroughs that stand for "no borough", text read as missing, and its replacement.
 NO_BOROUGH = ["Unknown", "N/A"]
-MISSING_TEXT = ["N/A", "NA", ""]
+MISSING_TEXT = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 FILL_TEXT = "Unknown"
 
 # The columns of the wide fact, the type each is pinned to (None keeps the source's; a

@@ -24,8 +24,8 @@ def text_as_missing(df: DataFrame, columns: list[str]) -> DataFrame:
 def zones_with_nulls(spark: SparkSession, path: str) -> DataFrame:
     """The zone list with numeric id and nulls for the texts that mean missing."""
     zones = zones_as_text(spark, path)
-    text = [name for name in zones.columns if name != "locationid"]
-    return text_as_missing(zones, text).withColumn("locationid", F.col("locationid").cast("long"))
+    known = text_as_missing(zones, zones.columns)
+    return known.withColumn("locationid", F.col("locationid").cast("long"))
 
 
 def inline_relation(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:

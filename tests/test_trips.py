@@ -133,6 +133,12 @@ def test_notebook_zones_fill_and_trim(spark, zones, rows):
     assert dim.count() == 7
 
 
+def test_texts_that_mean_missing(spark):
+    texts = spark.createDataFrame([(t,) for t in ("NULL", "nan", "<NA>", "None", "", None, "Nan", "none")], "t string")
+    kept = lookups.text_as_missing(texts, ["t"]).filter("t is not null")
+    assert sorted(row.t for row in kept.collect()) == ["Nan", "none"]
+
+
 def test_zone_list_with_nulls(spark, zones):
     got = lookups.zones_with_nulls(spark, zones).filter("locationid = 264").first()
     assert (got.zone, got.borough) == (None, "Unknown")
