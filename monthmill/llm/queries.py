@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import exact_dedup, html_text, lattice_lm, mixing, order_minhash, packing, pii, sharding, simhash, suffix_dedup, toxicity
+from monthmill.llm import (
+    exact_dedup,
+    fill_in_middle,
+    html_text,
+    lattice_lm,
+    mixing,
+    order_minhash,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_alignment,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +67,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(_table(spark, sf_dir, "documents"))
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle_report(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_html_text": op2_html_text,
@@ -68,7 +90,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_token_alignment": op11_token_alignment,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -145,4 +169,29 @@ LLM_ORACLE: dict[str, str] = {
         )
         SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies FROM copied
     """,
+    "op13_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+            FROM documents
+        ), drawn AS (
+            SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS first,
+                ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS second,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+                    WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM d
+        ), parts AS (
+            SELECT *, array_to_string(units[1:least(first, second)], '') AS prefix,
+                array_to_string(units[least(first, second) + 1:greatest(first, second)], '') AS middle,
+                array_to_string(units[greatest(first, second) + 1:], '') AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+            sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
