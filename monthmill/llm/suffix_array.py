@@ -2,9 +2,10 @@
 
 The array of a shard is built as usual: suffixes are classified as smaller or larger than the next one, the leftmost smaller of each
 run are sorted by their substrings, by recursion where two substrings are equal, and two scans induce all other suffixes from them.
-A scan goes over the array in blocks. An entry is placed beyond the one that it is induced from, so a block whose
+A scan of a text of bytes goes over the array in blocks. An entry is placed beyond the one that it is induced from, so a block whose
 entries are all placed beyond its end can be done at once; else it ends at the first place that is filled. Blocks
-grow while that goes well, so that a scan takes far fewer steps than there are suffixes.
+grow while that goes well, so that a scan takes far fewer steps than there are suffixes. The shorter texts of substring numbers that recursion makes have many
+symbols and short buckets, and are scanned one by one.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import numpy as np
 
 #: First and greatest length of a block of a scan.
 _BLOCK, _LONGEST_BLOCK = 1 << 9, 1 << 14
+#: Symbols of a text whose buckets are long enough for blocks.
+_FEW_SYMBOLS = 1 << 10
 
 
 def _smaller(t: np.ndarray) -> np.ndarray:
@@ -26,11 +29,12 @@ def _smaller(t: np.ndarray) -> np.ndarray:
 
 def _places(symbols: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
     """Places of new entries, which go to their symbol's end of a bucket one after the other, upwards or downwards."""
-    order = np.argsort(symbols, kind="stable")
+    order = symbols.argsort(kind="stable")
     ordered = symbols[order]
-    index = np.arange(len(ordered))
-    first = np.r_[True, ordered[1:] != ordered[:-1]]
-    rank = index - np.maximum.accumulate(np.where(first, index, 0))
+    rank = np.arange(len(ordered))
+    first = rank.copy()
+    first[1:][ordered[1:] == ordered[:-1]] = 0
+    rank -= np.maximum.accumulate(first)
     places = np.empty(len(symbols), np.int64)
     places[order] = ends[ordered] + step * rank
     return places
@@ -86,6 +90,29 @@ def _induce(t: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sizes: np.nda
     return array
 
 
+def _induce_one_by_one(t: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same for a text of many symbols, whose buckets are too short for blocks."""
+    symbols, small, array = t.tolist(), smaller.tolist(), [-1] * len(t)
+    tails = np.cumsum(sizes)
+    heads, ends = (tails - sizes).tolist(), tails.tolist()
+    for i in seeds[::-1].tolist():
+        ends[symbols[i]] -= 1
+        array[ends[symbols[i]]] = i
+    for i in array:  # sees what is placed further on
+        if i > 0 and not small[i - 1]:
+            c = symbols[i - 1]
+            array[heads[c]] = i - 1
+            heads[c] += 1
+    ends = tails.tolist()
+    for at in range(len(array) - 1, -1, -1):
+        i = array[at]
+        if i > 0 and small[i - 1]:
+            c = symbols[i - 1]
+            ends[c] -= 1
+            array[ends[c]] = i - 1
+    return np.array(array, np.int32)
+
+
 def _names(t: np.ndarray, ordered: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Numbers, from 0, of sorted substrings; equal ones share a number. `length` is that of the substring at each position."""
     a, b = ordered[:-1], ordered[1:]
@@ -108,8 +135,9 @@ def _sorted_suffixes(t: np.ndarray, n_symbols: int) -> np.ndarray:
         return np.zeros(1, np.int32)
     smaller = _smaller(t)
     sizes = np.bincount(t, minlength=n_symbols)
+    induce = _induce if n_symbols <= _FEW_SYMBOLS else _induce_one_by_one
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    first = _induce(t, smaller, leftmost, sizes)
+    first = induce(t, smaller, leftmost, sizes)
     marked = np.zeros(n, bool)
     marked[leftmost] = True
     ordered = first[marked[first]]
@@ -120,7 +148,7 @@ def _sorted_suffixes(t: np.ndarray, n_symbols: int) -> np.ndarray:
         text = np.empty(n, np.int32)
         text[ordered] = names
         ordered = leftmost[_sorted_suffixes(text[leftmost], int(names[-1]) + 1)]
-    return _induce(t, smaller, ordered, sizes)
+    return induce(t, smaller, ordered, sizes)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:

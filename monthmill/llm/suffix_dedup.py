@@ -29,13 +29,14 @@ from monthmill.llm.common import ship, text_or_empty
 from monthmill.llm.suffix_array import permuted_prefixes, suffix_array, words_of
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 #: Text, in bytes, whose grams make a range of hashes, and that a shard stands for.
-BUCKET_BYTES = 64 << 20
-SHARD_BYTES = 4 << 20
-#: Bytes of text that are hashed or cut at once, and grams that a task packs at once.
-_PART = 2 << 20
-_PACK = 1 << 20
+BUCKET_BYTES = 16 << 20
+SHARD_BYTES = 2 << 20
+#: Bytes of text that are hashed, cut or returned at once, and grams that a task packs at once.
+_PART = 1 << 19
+_CUT = 4 << 20
+_PACK = 1 << 19
 _NO_ID = np.iinfo(np.int64).max
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -56,7 +57,7 @@ def stretches(text: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple
         block = text[at : at + _PART + length - 1]
         words = words_of(block)
         n = len(block) - GRAM + 1
-        grams = _mixed(_mixed(words[:n]) + words[8 : n + 8])
+        grams = _mixed(_mixed(_mixed(words[:n]) + words[8 : n + 8]) + words[16 : n + 16])
         least = (grams & ~_LOW) | np.arange(n, dtype=np.uint64)
         wide = 1
         while wide < length - GRAM + 1:
@@ -74,7 +75,7 @@ def stretches(text: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple
         new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (index[1:] != index[:-1] + 1)])
         starts.append(at + index[new])
         stops.append(at + index[np.r_[new[1:], len(index)] - 1] + length)
-        keys.append(grams[place[new]])
+        keys.append(_mixed(grams[place[new]]))  # the least ones are small numbers; spread out again
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(starts), np.concatenate(stops), np.concatenate(keys)
@@ -219,7 +220,9 @@ def _match_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             passing = batch.filter(reply)
             n = len(passing)
             yield _batch(_REPLIES, n, doc=passing.column("doc"), tag=passing.column("tag"), kind=np.zeros(n, np.int32), held=passing.column("keys"))
-        for row in batch.filter(batch.column("rows").is_valid()).to_pylist():
+        grams = batch.filter(batch.column("rows").is_valid())
+        for i in range(len(grams)):  # a row may be large, so one at a time
+            row = {name: grams.column(name)[i].as_py() for name in ("bucket", "keys", "rows", "docs", "tags")}
             if row["bucket"] != bucket and held:
                 yield from flush(held)
                 held = []
@@ -286,7 +289,7 @@ def _cut_pieces(n_shards: int):
                     tags.append(tag)
                     texts.append(held)
                     size += len(held)
-                    if size >= 4 * _PART:
+                    if size >= _CUT:
                         yield from flush(docs, tags, texts, replies)
                         docs, tags, texts, replies, size = [], [], [], [], 0
         if texts:
@@ -397,7 +400,7 @@ def _removed(id_type: pa.DataType):
                 for part, value in zip(out, (own, len(held), spans, kept)):
                     part.append(value)
                 size += len(kept)
-                if size >= 8 * _PART:
+                if size >= _CUT:
                     yield _batch(schema, len(out[0]), **dict(zip(schema.names, out)))
                     out, size = ([], [], [], []), 0
             if out[0]:
