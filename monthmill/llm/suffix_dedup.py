@@ -8,8 +8,8 @@ those that meet another one are reported back to their rows. A shard's distinct
 such a run decides: windows of larger ids are removed.
 
 Equal stretches are reduced to the one of the smallest id in each task, before they move: the others' windows all start in that
-document, whatever the shards find. So a passage that a third of all rows hold is one row a task. Shards are
-sorted by gram and done in parts of about SHARD_BYTES of stretches; a gram is done at once.
+document, whatever the shards find. So a passage that a third of all rows hold is one entry a task. Texts and stretches move
+compressed. A shard is done in parts of about SHARD_BYTES of stretches, sorted by gram; a gram is done at once.
 
 Defined results: a null text counts as empty; a null id is larger than all others; rows of equal id, repeated
 rows too, remove nothing from each other. Texts of less than LENGTH bytes keep all. Columns of other names, clashing ones too, take no part. An
@@ -37,6 +37,10 @@ SHARD_BYTES = 2 << 20
 _PART = 1 << 19
 _CUT = 4 << 20
 _PACK = 1 << 19
+#: Bytes of stretches that a task packs at once.
+_PIECES_PACK = 24 << 20
+#: Bits of a gram's hash that are dropped as it is sent: one that comes out like another is only compared in vain.
+_DROPPED = np.uint64(16)
 _NO_ID = np.iinfo(np.int64).max
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -97,8 +101,8 @@ def shared_windows(text: np.ndarray, ends: np.ndarray, ids: np.ndarray, length:
 
 
 def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
-    """Ranges of hashes: ascending with them."""
-    return (((keys >> _HALF) * np.uint64(n)) >> _HALF).astype(np.int32)
+    """Ranges of shortened hashes: ascending with them."""
+    return (((keys >> _DROPPED) * np.uint64(n)) >> _HALF).astype(np.int32)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -111,6 +115,26 @@ def _from_planes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending hashes by their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(raw, np.uint64), dtype=np.uint64)
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    """Six bytes of each shortened hash."""
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _from_short(raw: bytes) -> np.ndarray:
+    full = np.zeros((len(raw) // 6, 8), np.uint8)
+    full[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return full.view(np.uint64).ravel()
+
+
 def _binaries(values: np.ndarray, firsts: np.ndarray) -> pa.Array:
     """Values as binary strings, each from one of `firsts` to the next."""
     width = values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)
@@ -151,6 +175,7 @@ _REPLIES_DDL = "doc long, tag long, kind int, held binary"
 def _pack_grams(n_buckets: int):
     def flush(docs, tags, keys, rows) -> Iterator[pa.RecordBatch]:
         docs, tags, keys, rows = map(np.concatenate, (docs, tags, keys, rows))
+        keys = keys >> _DROPPED
         order = np.argsort(keys, kind="stable")
         keys, rows = keys[order], rows[order]
         first = _firsts(keys)
@@ -163,7 +188,7 @@ def _pack_grams(n_buckets: int):
         cuts = _firsts(buckets)
         for low, high in zip(cuts, np.r_[cuts[1:], len(keys)]):
             held, place = np.unique(rows[low:high], return_inverse=True)
-            packed = _planes(keys[low:high]), _planes(place.astype(np.uint32)), _planes(docs[held]), _planes(tags[held])
+            packed = _packed_keys(keys[low:high]), _planes(place.astype(np.uint32)), _planes(docs[held]), _planes(tags[held])
             yield _batch(_GRAMS, 1, bucket=buckets[low : low + 1], **dict(zip(("keys", "rows", "docs", "tags"), ([p] for p in packed))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +216,9 @@ def _replies(docs, tags, rows, keys, schema: pa.Schema, bucket=None) -> pa.Recor
     first = _firsts(rows)
     columns = {"doc": docs[rows[first]], "tag": tags[rows[first]]}
     if bucket:
-        columns |= {"bucket": bucket(len(first)), "keys": _binaries(keys, first)}
+        columns |= {"bucket": bucket(len(first)), "keys": _binaries(_short(keys), first)}
     else:
-        columns |= {"kind": np.zeros(len(first), np.int32), "held": _binaries(keys, first)}
+        columns |= {"kind": np.zeros(len(first), np.int32), "held": _binaries(_short(keys), first)}
     return _batch(schema, len(first), **columns)
 
 
@@ -202,7 +227,7 @@ def _match_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush(held: list[dict]) -> Iterator[pa.RecordBatch]:
         docs, tags = (np.concatenate([_from_planes(row[name], np.int64) for row in held]) for name in ("docs", "tags"))
-        keys = np.concatenate([_from_planes(row["keys"], np.uint64) for row in held])
+        keys = np.concatenate([_unpacked_keys(row["keys"]) for row in held])
         base = np.cumsum([0, *(len(row["docs"]) // 8 for row in held)])
         rows = np.concatenate([_from_planes(row["rows"], np.uint32) + at for row, at in zip(held, base)])
         order = np.argsort(keys, kind="stable")
@@ -232,9 +257,26 @@ def _match_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(held)
 
 
-# Second step: stretches of those grams to their shards. A row of spans has no stretch.
-_PIECES = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()), ("piece", pa.binary()), ("held", pa.binary())])
-_PIECES_DDL = "shard int, key long, doc long, tag long, start int, piece binary, held binary"
+def _squeeze(column: int):
+    """Compresses a column of texts, which move twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        squeeze = ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = pa.array([squeeze(text) for text in batch.column(column).to_pylist()], pa.binary())
+            yield batch.set_column(column, batch.schema.field(column).name, texts)
+
+    return run
+
+
+# Second step: stretches of those grams to their shards, packed. A row of spans has no text.
+_PIECES = pa.schema(
+    [("shard", pa.int32()), ("doc", pa.int64()), ("tag", pa.int64()), ("held", pa.binary())]
+    + [(name, pa.binary()) for name in ("keys", "rows", "docs", "tags", "starts", "sizes", "text")]
+)
+_PIECES_DDL = "shard int, doc long, tag long, held binary, keys binary, rows binary, docs binary, tags binary, starts binary, sizes binary, text binary"
 
 
 def _spans(docs, tags, starts, stops, schema: pa.Schema, **more) -> pa.RecordBatch:
@@ -248,52 +290,85 @@ def _spans(docs, tags, starts, stops, schema: pa.Schema, **more) -> pa.RecordBat
 
 
 def _cut_pieces(n_shards: int):
-    def flush(docs, tags, texts, replies) -> Iterator[pa.RecordBatch]:
+    """The stretches of grams that others hold, without those that a smaller id of the task has too, and spans of the latter."""
+
+    def cut(docs, tags, texts, replies, holders: dict[bytes, int]) -> tuple:
         blob, docs, tags = b"".join(texts), np.array(docs), np.array(tags)
         ends = np.cumsum([len(t) for t in texts])
         starts, stops, keys = stretches(np.frombuffer(blob, np.uint8), ends)
+        keys = keys >> _DROPPED
         rows = np.searchsorted(ends, starts, side="right")
         # A key of another row that comes out alike only adds a stretch, which the shard compares like any other.
         salt = _mixed(np.arange(1, len(docs) + 1, dtype=np.uint64))
         wanted = np.concatenate([keys_of + salt[row] for row, keys_of in replies])
         keep = np.flatnonzero(np.isin(keys + salt[rows], wanted))
         starts, stops, keys, rows = starts[keep], stops[keep], keys[keep], rows[keep]
-        holder: dict[bytes, int] = {}
         pieces = [blob[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
-        first = np.fromiter((holder.setdefault(piece, i) for i, piece in enumerate(pieces)), np.int64, len(pieces))
         own = docs[rows]
-        later = own > own[first] if len(own) else np.zeros(0, bool)
+        # Documents come in ascending order, so the first holder of a stretch has the smallest id.
+        first = np.fromiter((holders.setdefault(piece, doc) for piece, doc in zip(pieces, own.tolist())), np.int64, len(pieces))
         base = np.r_[0, ends[:-1]][rows]
-        starts, stops = starts - base, stops - base
-        if later.any():
-            yield _spans(own[later], tags[rows][later], starts[later], stops[later], _PIECES, shard=int(own[later][0] % n_shards))
-        sent = np.flatnonzero(~later)
-        if len(sent):
-            yield _batch(
-                _PIECES, len(sent), shard=_buckets(keys[sent], n_shards), key=keys[sent].view(np.int64), doc=own[sent], tag=tags[rows][sent],
-                start=starts[sent].astype(np.int32), piece=pa.array([pieces[i] for i in sent.tolist()], pa.binary()),
-            )
+        return own, tags[rows], starts - base, stops - base, keys, pieces, own > first
+
+    def pack(docs, tags, starts, keys, pieces) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        docs, tags, starts, keys = map(np.concatenate, (docs, tags, starts, keys))
+        order = np.argsort(keys, kind="stable")
+        keys, shards = keys[order], _buckets(keys[order], n_shards)
+        sizes = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+        cuts = _firsts(shards)
+        for low, high in zip(cuts, np.r_[cuts[1:], len(keys)]):
+            part = order[low:high]
+            pairs, place = np.unique(np.stack([docs[part], tags[part]], axis=1), axis=0, return_inverse=True)
+            packed = {
+                "keys": _packed_keys(keys[low:high]), "rows": _planes(place.astype(np.uint32)), "docs": _planes(pairs[:, 0].copy()),
+                "tags": _planes(pairs[:, 1].copy()), "starts": _planes(starts[part].astype(np.uint32)), "sizes": _planes(sizes[part]),
+                "text": ZstdCompressor(level=3).compress(b"".join([pieces[i] for i in part.tolist()])),
+            }
+            yield _batch(_PIECES, 1, shard=shards[low : low + 1], **{name: [value] for name, value in packed.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows are sorted by document, replies first."""
+        from zstandard import ZstdDecompressor
+
+        expand = ZstdDecompressor().decompress
+        held, holders, waiting = ([], [], [], [], []), {}, 0
+
+        def flush(docs, tags, texts, replies) -> Iterator[pa.RecordBatch]:
+            nonlocal held, holders, waiting
+            own, tag, starts, stops, keys, pieces, later = cut(docs, tags, texts, replies, holders)
+            if later.any():
+                yield _spans(own[later], tag[later], starts[later], stops[later], _PIECES, shard=int(own[later][0] % n_shards))
+            sent = np.flatnonzero(~later)
+            for part, values in zip(held, (own[sent], tag[sent], starts[sent], keys[sent])):
+                part.append(values)
+            held[4].extend(pieces[i] for i in sent.tolist())
+            waiting += int((stops - starts)[sent].sum())
+            if waiting >= _PIECES_PACK:
+                yield from pack(*held)
+                held, holders, waiting = ([], [], [], [], []), {}, 0
+
         docs, tags, texts, replies, current, grams, size = [], [], [], [], None, [], 0
         for batch in batches:
-            for doc, tag, kind, held in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for doc, tag, kind, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if (doc, tag) != current:
                     current, grams = (doc, tag), []
                 if not kind:
-                    grams.append(np.frombuffer(held, np.uint64))
+                    grams.append(_from_short(value))
                 elif grams:
                     replies.extend((len(texts), g) for g in grams)
                     docs.append(doc)
                     tags.append(tag)
-                    texts.append(held)
-                    size += len(held)
+                    texts.append(expand(value))
+                    size += len(texts[-1])
                     if size >= _CUT:
                         yield from flush(docs, tags, texts, replies)
                         docs, tags, texts, replies, size = [], [], [], [], 0
         if texts:
             yield from flush(docs, tags, texts, replies)
+        if held[4]:
+            yield from pack(*held)
 
     return run
 
@@ -334,41 +409,52 @@ def shard_spans(keys, docs, tags, starts, pieces: list[bytes], length: int = LEN
 _FOUND = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("kind", pa.int32()), ("held", pa.binary())])
 
 
-def _sort_shards(shard_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows are sorted by gram. Spans pass."""
+def _sort_shards(part_bytes: int):
+    def flush(held: list[dict]) -> Iterator[pa.RecordBatch]:
+        """A shard's spans. It is done in parts, none of which ends within a gram."""
+        from zstandard import ZstdDecompressor
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            keys, docs, tags, starts = (np.concatenate(part) for part in held[:4])
-            found = shard_spans(keys, docs, tags, starts.astype(np.int64), sum(held[4], []))
+        docs, tags = (np.concatenate([_from_planes(row[name], np.int64) for row in held]) for name in ("docs", "tags"))
+        base = np.cumsum([0, *(len(row["docs"]) // 8 for row in held)])
+        rows = np.concatenate([_from_planes(row["rows"], np.uint32) + at for row, at in zip(held, base)])
+        starts, sizes = (np.concatenate([_from_planes(row[name], np.uint32) for row in held]).astype(np.int64) for name in ("starts", "sizes"))
+        keys = np.concatenate([_unpacked_keys(row["keys"]) for row in held])
+        text = b"".join([ZstdDecompressor().decompress(row["text"]) for row in held])
+        ends = np.cumsum(sizes)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        grown = np.cumsum(sizes[order])
+        first = _firsts(keys)
+        cuts, done = [0], 0
+        for at in first[1:].tolist():
+            if grown[at - 1] - done >= part_bytes:
+                cuts.append(at)
+                done = grown[at - 1]
+        for low, high in zip(cuts, [*cuts[1:], len(keys)]):
+            part = order[low:high]
+            pieces = [text[ends[i] - sizes[i] : ends[i]] for i in part.tolist()]
+            found = shard_spans(keys[low:high].astype(np.int64), docs[rows[part]], tags[rows[part]], starts[part], pieces)
             if len(found[0]):
                 yield _spans(*found, _FOUND, kind=0)
 
-        held, size = ([], [], [], [], []), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows are sorted by shard. Spans pass."""
+        held, shard = [], None
         for batch in batches:
-            known = batch.column("piece").is_null()
+            known = batch.column("text").is_null()
             if known.true_count:
                 passing = batch.filter(known)
                 yield _batch(_FOUND, len(passing), doc=passing.column("doc"), tag=passing.column("tag"), kind=np.zeros(len(passing), np.int32), held=passing.column("held"))
-                batch = batch.filter(batch.column("piece").is_valid())
-            keys = batch.column("key").to_numpy()
-            columns = [batch.column(name).to_numpy() for name in ("doc", "tag", "start")]
-            pieces = batch.column("piece").to_pylist()
-            sizes = np.cumsum([0, *map(len, pieces)])
-            at, cuts = 0, [*_firsts(keys)[1:].tolist(), len(keys)] if len(keys) else []
-            for cut in [0, *cuts] if len(keys) and held[0] and keys[0] != held[0][-1][-1] else cuts:
-                # rows up to a change of gram are together; a batch that goes on with the same gram adds to them
-                if cut < len(keys) and size + sizes[cut] - sizes[at] >= shard_bytes or cut == 0 and size >= shard_bytes:
-                    for part, values in zip(held, (keys[at:cut], *(c[at:cut] for c in columns), pieces[at:cut])):
-                        part.append(values)
-                    yield from flush()
-                    held, size, at = ([], [], [], [], []), 0, cut
-            if at < len(keys):
-                for part, values in zip(held, (keys[at:], *(c[at:] for c in columns), pieces[at:])):
-                    part.append(values)
-                size += int(sizes[-1] - sizes[at])
-        if held[0]:
-            yield from flush()
+                batch = batch.filter(batch.column("text").is_valid())
+            for i in range(len(batch)):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                if row["shard"] != shard and held:
+                    yield from flush(held)
+                    held = []
+                shard = row["shard"]
+                held.append(row)
+        if held:
+            yield from flush(held)
 
     return run
 
@@ -379,6 +465,9 @@ def _removed(id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows are sorted by document, spans first."""
+        from zstandard import ZstdDecompressor
+
+        expand = ZstdDecompressor().decompress
         current, found = None, []
         for batch in batches:
             out, size = ([], [], [], []), 0
@@ -389,6 +478,7 @@ def _removed(id_type: pa.DataType):
                 if not kind:
                     found.append(np.frombuffer(held, np.int32).reshape(-1, 2))
                     continue
+                held = expand(held)
                 spans, kept = [], held
                 if found:
                     pairs = np.concatenate(found)
@@ -420,14 +510,15 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     n_bytes = docs.agg(F.sum(F.octet_length(text_or_empty(text)))).first()[0] or 0
     n_buckets, n_shards = 1 + n_bytes // BUCKET_BYTES, 1 + n_bytes // SHARD_BYTES
 
-    wide = rows.filter(F.length("held") >= LENGTH)
-    grams = wide.select("doc", "tag", "held").mapInArrow(_pack_grams(n_buckets), _GRAMS_DDL)
+    wide = rows.select("doc", "tag", "held").filter(F.length("held") >= LENGTH)
+    grams = wide.mapInArrow(_pack_grams(n_buckets), _GRAMS_DDL)
     replies = grams.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_match_grams, _REPLIES_DDL)
-    both = replies.unionByName(wide.select("doc", "tag", F.lit(1).alias("kind"), "held"))
-    by_document = both.repartition("doc", "tag").sortWithinPartitions("doc", "tag", "kind")
+    texts = wide.mapInArrow(_squeeze(2), "doc long, tag long, held binary").withColumn("kind", F.lit(1))
+    by_document = replies.unionByName(texts).repartition("doc", "tag").sortWithinPartitions("doc", "tag", "kind")
     pieces = by_document.mapInArrow(_cut_pieces(n_shards), _PIECES_DDL)
-    spans = pieces.repartition("shard").sortWithinPartitions("key").mapInArrow(_sort_shards(SHARD_BYTES), _REPLIES_DDL)
-    every = spans.withColumn("doc_id", F.lit(None).cast(kind)).unionByName(rows.withColumn("kind", F.lit(1)))
+    spans = pieces.repartition("shard").sortWithinPartitions("shard").mapInArrow(_sort_shards(SHARD_BYTES), _REPLIES_DDL)
+    texts = rows.mapInArrow(_squeeze(2), f"doc long, tag long, held binary, doc_id {kind}").withColumn("kind", F.lit(1))
+    every = spans.withColumn("doc_id", F.lit(None).cast(kind)).unionByName(texts)
     in_order = every.repartition("doc", "tag").sortWithinPartitions("doc", "tag", "kind").select("doc", "tag", "kind", "held", "doc_id")
     return in_order.mapInArrow(_removed(id_type), f"doc_id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
 

@@ -114,44 +114,30 @@ def test_many_buckets_shards_and_parts(spark, monkeypatch):
     same(suffix_dedup.repeats(documents(spark, rows)), rows)
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_shard_in_small_parts(seed):
-    """A sorted shard whose rows come in small batches and are done in small parts gives what it gives as a whole."""
+@pytest.mark.parametrize("part_bytes", [1, 300, 1 << 20])
+def test_shard_in_small_parts(monkeypatch, part_bytes):
+    """What a task packs in any portions, and a shard does in parts of any size, is the same."""
     import pyarrow as pa
-
-    rng = random.Random(seed)
-    raw = [text_of(random.Random(rng.randint(0, 3)), 6).encode() + bytes([i]) for i in range(30)]
-    blob, ends = b"".join(raw), np.cumsum([len(t) for t in raw])
-    starts, stops, keys = suffix_dedup.stretches(np.frombuffer(blob, np.uint8), ends)
-    rows = np.searchsorted(ends, starts, side="right")
-    order = np.argsort(keys.view(np.int64), kind="stable")
-    starts, stops, keys, rows = starts[order], stops[order], keys[order].view(np.int64), rows[order]
-    base = np.r_[0, ends[:-1]][rows]
-    pieces = [blob[a:b] for a, b in zip(starts, stops)]
-    docs, tags = rows.astype(np.int64), np.zeros(len(rows), np.int64)
-
-    def batches():
-        at = 0
-        while at < len(keys):
-            to = min(len(keys), at + rng.randint(1, 9))
-            yield suffix_dedup._batch(
-                suffix_dedup._PIECES, to - at, shard=np.zeros(to - at, np.int32), key=keys[at:to], doc=docs[at:to], tag=tags[at:to],
-                start=(starts - base)[at:to].astype(np.int32), piece=pa.array(pieces[at:to], pa.binary()),
-            )
-            at = to
-
-    def covered(found):
-        out = set()
-        for doc, low, high in found:
-            out |= {(doc, i) for i in range(low, high)}
-        return out
-
-    whole = suffix_dedup.shard_spans(keys, docs, tags, starts - base, pieces)
-    parts = []
-    for batch in suffix_dedup._sort_shards(rng.choice([1, 300, 5000]))(batches()):
-        for row in batch.to_pylist():
-            parts += [(row["doc"], *pair) for pair in np.frombuffer(row["held"], np.int32).reshape(-1, 2).tolist()]
-    assert covered(parts) == covered(zip(whole[0].tolist(), whole[2].tolist(), whole[3].tolist())) != set()
+    from zstandard import ZstdCompressor
+
+    monkeypatch.setattr(suffix_dedup, "_CUT", part_bytes)
+    monkeypatch.setattr(suffix_dedup, "_PIECES_PACK", part_bytes)
+    rows = [(i, text) for i, (_, text, *_) in enumerate(passages(5)) if text]
+    sent = []
+    for i, text in rows:
+        _, _, keys = suffix_dedup.stretches(np.frombuffer(text.encode(), np.uint8), np.array([len(text.encode())]))
+        sent.append((i, 0, 0, suffix_dedup._short(keys >> suffix_dedup._DROPPED).tobytes()))
+        sent.append((i, 0, 1, ZstdCompressor().compress(text.encode())))
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["doc", "tag", "kind", "held"])
+    pieces = list(suffix_dedup._cut_pieces(3)(batch(sent[i : i + 7]) for i in range(0, len(sent), 7)))
+    table = pa.Table.from_batches(pieces).sort_by("shard").to_batches(max_chunksize=5)
+    gone: dict[int, set[int]] = {i: set() for i, _ in rows}
+    for found in suffix_dedup._sort_shards(part_bytes)(table):
+        for row in found.to_pylist():
+            for low, high in np.frombuffer(row["held"], np.int32).reshape(-1, 2).tolist():
+                gone[row["doc"]] |= set(range(low, high))
+    want = {own: {i for a, b in spans for i in range(a, b)} for own, _, spans, _ in plain(rows)}
+    assert gone == want
 
 
 def test_odd_rows_and_empty(spark):
