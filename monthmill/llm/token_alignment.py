@@ -36,8 +36,10 @@ WORK = 1 << 15
 #: Pairs of ids that are sent to all tasks.
 FREQUENT = 1 << 17
 #: Characters of text that are aligned at once, and units and tokens in a worker's table.
-BLOCK = 2_000_000
-TABLE_UNITS, TABLE_TOKENS = 400_000, 4_000_000
+BLOCK = 1_000_000
+TABLE_UNITS, TABLE_TOKENS = 150_000, 2_000_000
+#: Units that are encoded at once.
+_BATCH = 1 << 13
 
 _IRREGULAR = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r"(?<! ) (?=\S)")
@@ -125,7 +127,8 @@ class _Table:
         if len(self.place) > TABLE_UNITS or len(self.a.ids) + len(self.b.ids) > TABLE_TOKENS:
             self.clear()
         if wanted := [unit for unit in dict.fromkeys(found) if unit not in self.place]:
-            self.add(wanted)
+            for at in range(0, len(wanted), _BATCH):
+                self.add(wanted[at : at + _BATCH])
         return np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
 
 
