@@ -62,7 +62,7 @@ def star_by_name(spark, sf_dir) -> DataFrame:
     fact = given.trips(spark, sf_dir, located=True).select("pickup_location_id", "fare_amount")
     places, loaded = given.dim_location(spark, sf_dir), _name("dim_location")
     warehouse.create_namespace(spark, space := _name("star"))
-    warehouse.drop_star(spark, [f"{space}.{loaded}"])
+    warehouse.drop_star(spark, [f"{space}.{loaded}"], f"{space}.fact_trips")
     warehouse.load_dimensions({f"{space}.{loaded}": places})
     warehouse.load_fact(fact, f"{space}.fact_trips")
     return warehouse.run_sql(

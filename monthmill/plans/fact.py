@@ -11,11 +11,12 @@ from monthmill.functions.measures import whole_number
 from monthmill.functions.names import first_column
 from monthmill.operators.sets import union_all
 from monthmill.schemas import TRIP_ERAS, Era
+from monthmill.sources.eras import FoundEra
 from monthmill.sources.files import month_list, months_of, partition_files
 from monthmill.sources.trips import era_trips, narrow_trips
 
-def fact_shape(trips: DataFrame) -> DataFrame:
-    """Raw trip columns renamed into the fact; drift columns become bigint where they are present.
+def fact_shape(trips: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Raw trip columns renamed into the fact; drift columns become bigint where they are present. Columns named in ``also`` follow.
 
     The partition columns pass straight through, so a filter on year or month still prunes files.
     """
@@ -40,13 +41,14 @@ def fact_shape(trips: DataFrame) -> DataFrame:
         "total_amount",
         "year",
         "month",
+        *also,
     )
 
 
-def fact_trips(spark: SparkSession, base: str, eras: list[Era] = TRIP_ERAS) -> DataFrame:
+def fact_trips(spark: SparkSession, base: str, eras: list[Era] | list[FoundEra] = TRIP_ERAS) -> DataFrame:
     """All eras as one lazy fact. An era whose months miss the filter reads nothing.
 
-    A month that is there and belongs to no era, or to two, raises: it would be missing, or count twice.
+    The eras are the declared ones, or those that `found_eras` reads from the footers. A month that is there and belongs to no era, or to two, raises: it would be missing, or count twice.
     """
     present = month_list(months_of(partition_files(spark, base)))
     for year, month in present:

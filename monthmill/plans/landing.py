@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from monthmill.functions.names import year_range
 from monthmill.operators.joins import absent_from
 from monthmill.operators.quality import month_grid, month_status, months_outside
+from monthmill.plans.manifest import known_months, listed_months, read_manifest, record_months
 from monthmill.sources.lookups import inline_relation
 from monthmill.sources.files import (
     MONTH_IN_NAME,
@@ -124,6 +125,19 @@ def present_months(asked: DataFrame, published: DataFrame, landed: DataFrame) ->
     return absent_from(months_of(landed), short.select(*keys), keys)
 
 
+def present_by_manifest(spark: SparkSession, asked: DataFrame, published: DataFrame, landed: DataFrame, manifest: str) -> DataFrame:
+    """The same months as `present_months` finds, with footers read only where the manifest doesn't tell."""
+    months = listed_months(published, landed).join(asked, ["year", "month"], "left_semi")
+    known = known_months(months, read_manifest(spark, manifest))
+    open_ = absent_from(asked, known, ["year", "month"])
+    # One row per month; a join of small listings, so that no job over footers is planned where nothing is open.
+    both = months.filter("source_files is not null and landed_files is not null")
+    rows = [tuple(row) for row in open_.join(both, ["year", "month"], "left_semi").select("year", "month").collect()]
+    if not rows:
+        return months_of(landed)
+    return present_months(inline_relation(spark, rows, "year int, month int"), published, landed)
+
+
 def backfill(
     spark: SparkSession,
     source: str,
@@ -131,14 +145,15 @@ def backfill(
     years: str,
     dry_run: bool = False,
     prefix: str | None = None,
+    manifest: str | None = None,
 ) -> DataFrame:
     """Lands the missing months of the given years; returns what was done, or would be, and the months
-    that are published or present outside these years."""
+    that are published or present outside these years. With a manifest, months that it knows are not looked into again."""
     files = source_files(spark, source, prefix)
     asked = month_grid(spark, year_range(years))
-    published, present = months_of(files), present_months(asked, files, partition_files(spark, target))
+    published, present = months_of(files), _present(spark, asked, files, partition_files(spark, target), manifest)
     plan = month_status(asked, published, present)
-    return _run(spark, source, target, plan, published, present, dry_run, prefix)
+    return _run(spark, source, target, plan, published, present, dry_run, prefix, manifest)
 
 
 def catch_up(
@@ -150,14 +165,21 @@ def catch_up(
     cap: int | None = None,
     month: tuple[int, int] | None = None,
     prefix: str | None = None,
+    manifest: str | None = None,
 ) -> DataFrame:
     """Lands recent missing months, or just the one named; returns all months asked for, those that a
     cap left for the next run as ``not_reached``, and the months published or present beside them."""
     files = source_files(spark, source, prefix)
     months = one_month(spark, *month) if month else months_before(spark, today, lookback)
-    published, present = months_of(files), present_months(months, files, partition_files(spark, target))
+    published, present = months_of(files), _present(spark, months, files, partition_files(spark, target), manifest)
     plan = catch_up_plan(months, published, present, cap)
-    return _run(spark, source, target, plan, published, present, False, prefix)
+    return _run(spark, source, target, plan, published, present, False, prefix, manifest)
+
+
+def _present(spark: SparkSession, asked: DataFrame, files: DataFrame, landed: DataFrame, manifest: str | None) -> DataFrame:
+    if manifest is None:
+        return present_months(asked, files, landed)
+    return present_by_manifest(spark, asked, files, landed, manifest)
 
 
 def _run(
@@ -169,6 +191,7 @@ def _run(
     present: DataFrame,
     dry_run: bool,
     prefix: str | None,
+    manifest: str | None = None,
 ) -> DataFrame:
     plan = plan.unionByName(months_outside(plan, published, present))
     # The plan is fixed before anything lands, or it would see its own results: one row per month.
@@ -176,4 +199,18 @@ def _run(
     fixed = inline_relation(spark, rows, "year int, month int, status string")
     if not dry_run:
         land(spark, source, target, fixed, prefix)
+        if manifest is not None:
+            _record(spark, source, target, fixed, prefix, manifest)
     return fixed
+
+
+def _record(spark: SparkSession, source: str, target: str, done: DataFrame, prefix: str | None, manifest: str) -> None:
+    """Rows of the manifest for months just landed, and for those found present whose rows are missing or no longer agree."""
+    files, landed = source_files(spark, source, prefix), partition_files(spark, target)
+    there = done.filter(F.col("status").isin("uploaded", "skipped")).select("year", "month")
+    listed = listed_months(files, landed).filter("source_files is not null and landed_files is not null")
+    known = known_months(listed, read_manifest(spark, manifest))
+    new = absent_from(there.join(listed, ["year", "month"], "left_semi"), known, ["year", "month"])
+    rows = [tuple(row) for row in new.select("year", "month").collect()]
+    if rows:
+        record_months(spark, manifest, inline_relation(spark, rows, "year int, month int"), files, landed)

@@ -44,9 +44,9 @@ def load_staging(df: DataFrame, table: str) -> None:
     tidy_columns(df).write.mode("overwrite").saveAsTable(table)
 
 
-def drop_star(spark: SparkSession, tables: list[str]) -> None:
-    """Drops the fact, then the dimensions."""
-    for name in [FACT, *[name for name in tables if name != FACT]]:
+def drop_star(spark: SparkSession, tables: list[str], fact: str = FACT) -> None:
+    """Drops the fact, then the dimensions. The fact is that of the current database unless it is named."""
+    for name in [fact, *[name for name in tables if name != fact]]:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 

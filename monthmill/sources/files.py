@@ -25,8 +25,11 @@ MONTH_IN_FOLDER = r"/year=(\d{4})/month=(\d{1,2})/"
 LISTING_DDL = "path string, length bigint"
 
 
-def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """path, length of every parquet file below ``base``; empty when the folder is not there yet."""
+def list_files(spark: SparkSession, base: str, times: bool = False) -> DataFrame:
+    """path, length of every parquet file below ``base``; empty when the folder is not there yet.
+
+    With ``times`` also modified, when the file was last written.
+    """
     try:
         files = (
             spark.read.format("binaryFile")
@@ -37,8 +40,9 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return inline_relation(spark, [], LISTING_DDL)
-    return files.select("path", "length")
+        return inline_relation(spark, [], LISTING_DDL + (", modified timestamp" if times else ""))
+    modified = [F.col("modificationTime").alias("modified")] if times else []
+    return files.select("path", "length", *modified)
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
@@ -69,9 +73,9 @@ def source_files(spark: SparkSession, base: str, prefix: str | None = None) -> D
     return files.filter(name == month_file(prefix, F.col("year"), F.col("month")))
 
 
-def partition_files(spark: SparkSession, base: str) -> DataFrame:
+def partition_files(spark: SparkSession, base: str, times: bool = False) -> DataFrame:
     """Files of the partitioned table, the month in the folder."""
-    return _with_month(list_files(spark, base), MONTH_IN_FOLDER)
+    return _with_month(list_files(spark, base, times), MONTH_IN_FOLDER)
 
 
 def months_of(files: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthmill.schemas import NARROW_DDL, Era
+from monthmill.sources.eras import FoundEra
 from monthmill.sources.files import month_list, months_of, partition_files
 
 
@@ -32,7 +33,7 @@ def one_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def era_trips(
-    spark: SparkSession, base: str, era: Era, present: list[tuple[int, int]] | None = None
+    spark: SparkSession, base: str, era: Era | FoundEra, present: list[tuple[int, int]] | None = None
 ) -> DataFrame:
     """The months of one era that are there, with that era's type for the drift columns.
 
