@@ -9,7 +9,8 @@ such a run decides: windows of larger ids are removed.
 
 Equal stretches are reduced to the one of the smallest id in each task, before they move: the others' windows all start in that
 document, whatever the shards find. So a passage that a third of all rows hold is one entry a task. Texts and stretches move
-compressed. A shard is done in parts of about SHARD_BYTES of stretches, sorted by gram; a gram is done at once.
+compressed. Replies and spans go to groups of documents, by hash of id and text, where a document is known by its place in order.
+A shard is done in parts of about SORTED_BYTES of stretches, sorted by gram; a gram is done at once.
 
 Defined results: a null text counts as empty; a null id is larger than all others; rows of equal id, repeated
 rows too, remove nothing from each other. Texts of less than LENGTH bytes keep all. Columns of other names, clashing ones too, take no part. An
@@ -31,14 +32,19 @@ from monthmill.llm.suffix_array import permuted_prefixes, suffix_array, words_of
 LENGTH = 50
 GRAM = 24
 #: Text, in bytes, whose grams make a range of hashes, and that a shard stands for.
-BUCKET_BYTES = 16 << 20
-SHARD_BYTES = 2 << 20
+BUCKET_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
+#: Text, in bytes, of a group of documents that are cut, and lose their spans, together.
+GROUP_BYTES = 8 << 20
+#: Bytes of stretches that are sorted at once.
+SORTED_BYTES = 2 << 20
 #: Bytes of text that are hashed, cut or returned at once, and grams that a task packs at once.
 _PART = 1 << 19
 _CUT = 4 << 20
 _PACK = 1 << 19
-#: Bytes of stretches that a task packs at once.
+#: Bytes of stretches, and replies or spans, that a task packs at once.
 _PIECES_PACK = 24 << 20
+_ENTRIES_PACK = 1 << 20
 #: Bits of a gram's hash that are dropped as it is sent: one that comes out like another is only compared in vain.
 _DROPPED = np.uint64(16)
 _NO_ID = np.iinfo(np.int64).max
@@ -124,23 +130,14 @@ def _unpacked_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(_from_planes(raw, np.uint64), dtype=np.uint64)
 
 
-def _short(keys: np.ndarray) -> np.ndarray:
-    """Six bytes of each shortened hash."""
-    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :6]
+def _row_hashes(docs: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """A shortened hash of each document, whose range is its group."""
+    return _mixed(_mixed(docs.view(np.uint64)) + tags.view(np.uint64)) >> _DROPPED
 
 
-def _from_short(raw: bytes) -> np.ndarray:
-    full = np.zeros((len(raw) // 6, 8), np.uint8)
-    full[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return full.view(np.uint64).ravel()
-
-
-def _binaries(values: np.ndarray, firsts: np.ndarray) -> pa.Array:
-    """Values as binary strings, each from one of `firsts` to the next."""
-    width = values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)
-    offsets = np.append(firsts, len(values)).astype(np.int64) * width
-    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
-    return pa.Array.from_buffers(pa.binary(), len(firsts), buffers)
+def _salted(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Forty bits that stand for a gram of a document. Others that come out alike only add stretches, which are compared like any other."""
+    return _mixed(keys + _mixed(hashes)) >> np.uint64(24)
 
 
 def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
@@ -165,224 +162,253 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held, offsets[1:] - offsets[0]
 
 
-# First step: grams to their ranges of hashes. A reply row has no `rows`.
-_GRAMS = pa.schema([("bucket", pa.int32()), ("doc", pa.int64()), ("tag", pa.int64()), ("keys", pa.binary()), ("rows", pa.binary()), ("docs", pa.binary()), ("tags", pa.binary())])
-_GRAMS_DDL = "bucket int, doc long, tag long, keys binary, rows binary, docs binary, tags binary"
-_REPLIES = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("kind", pa.int32()), ("held", pa.binary())])
-_REPLIES_DDL = "doc long, tag long, kind int, held binary"
+# First step: grams to their ranges of hashes. A reply, to the documents of a group, has no `rows`.
+_GRAMS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("rows", pa.binary()), ("hashes", pa.binary())])
+_GRAMS_DDL = "bucket int, part int, keys binary, rows binary, hashes binary"
+_HELD = pa.schema([("part", pa.int32()), ("held", pa.binary())])
+_HELD_DDL = "part int, held binary"
 
 
-def _pack_grams(n_buckets: int):
-    def flush(docs, tags, keys, rows) -> Iterator[pa.RecordBatch]:
-        docs, tags, keys, rows = map(np.concatenate, (docs, tags, keys, rows))
-        keys = keys >> _DROPPED
+def _replies(keys: np.ndarray, hashes: np.ndarray, n_groups: int) -> Iterator[tuple[int, bytes]]:
+    """For each group the grams of its documents that others hold too."""
+    parts, entries = _buckets(hashes, n_groups), _salted(keys, hashes)
+    order = np.lexsort((entries, parts))
+    parts, entries = parts[order], entries[order]
+    cuts = _firsts(parts)
+    for low, high in zip(cuts, np.r_[cuts[1:], len(parts)]):
+        yield int(parts[low]), _packed_keys(entries[low:high])
+
+
+def _pack_grams(n_buckets: int, n_groups: int):
+    def flush(hashes, keys, rows) -> Iterator[pa.RecordBatch]:
+        hashes, keys, rows = map(np.concatenate, (hashes, keys, rows))
         order = np.argsort(keys, kind="stable")
         keys, rows = keys[order], rows[order]
         first = _firsts(keys)
         last = np.r_[first[1:], len(keys)] - 1
         several = np.repeat(rows[first] != rows[last], last - first + 1)
         if several.any():
-            yield _replies(docs, tags, rows[several], keys[several], _GRAMS, bucket=lambda n: (np.arange(n) % n_buckets).astype(np.int32))
+            found = list(_replies(keys[several], hashes[rows[several]], n_groups))
+            yield _batch(_GRAMS, len(found), bucket=[part % n_buckets for part, _ in found], part=[part for part, _ in found], keys=[held for _, held in found])
         keys, rows = keys[first], rows[first]
         buckets = _buckets(keys, n_buckets)
         cuts = _firsts(buckets)
         for low, high in zip(cuts, np.r_[cuts[1:], len(keys)]):
             held, place = np.unique(rows[low:high], return_inverse=True)
-            packed = _packed_keys(keys[low:high]), _planes(place.astype(np.uint32)), _planes(docs[held]), _planes(tags[held])
-            yield _batch(_GRAMS, 1, bucket=buckets[low : low + 1], **dict(zip(("keys", "rows", "docs", "tags"), ([p] for p in packed))))
+            packed = {"keys": _packed_keys(keys[low:high]), "rows": _planes(place.astype(np.uint32)), "hashes": _planes(hashes[held])}
+            yield _batch(_GRAMS, 1, bucket=buckets[low : low + 1], **{name: [value] for name, value in packed.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_rows, n_keys = ([], [], [], []), 0, 0
+        held, n_rows, n_keys = ([], [], []), 0, 0
         for batch in batches:
             text, ends = _texts(batch.column(2))
             starts, _, keys = stretches(text, ends)
-            for part, values in zip(held, (batch.column(0).to_numpy(), batch.column(1).to_numpy(), keys, np.searchsorted(ends, starts, side="right") + n_rows)):
+            hashes = _row_hashes(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            for part, values in zip(held, (hashes, keys >> _DROPPED, np.searchsorted(ends, starts, side="right") + n_rows)):
                 part.append(values)
             n_rows += len(ends)
             n_keys += len(keys)
             if n_keys >= _PACK:
                 yield from flush(*held)
-                held, n_rows, n_keys = ([], [], [], []), 0, 0
+                held, n_rows, n_keys = ([], [], []), 0, 0
         if n_keys:
             yield from flush(*held)
 
     return run
 
 
-def _replies(docs, tags, rows, keys, schema: pa.Schema, bucket=None) -> pa.RecordBatch:
-    """One row for each of the rows, with the grams of it that others hold too."""
-    order = np.argsort(rows, kind="stable")
-    rows, keys = rows[order], keys[order]
-    first = _firsts(rows)
-    columns = {"doc": docs[rows[first]], "tag": tags[rows[first]]}
-    if bucket:
-        columns |= {"bucket": bucket(len(first)), "keys": _binaries(_short(keys), first)}
-    else:
-        columns |= {"kind": np.zeros(len(first), np.int32), "held": _binaries(_short(keys), first)}
-    return _batch(schema, len(first), **columns)
-
-
-def _match_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows are sorted by bucket. Replies pass; grams of a bucket that occur twice are reported to their rows."""
-
-    def flush(held: list[dict]) -> Iterator[pa.RecordBatch]:
-        docs, tags = (np.concatenate([_from_planes(row[name], np.int64) for row in held]) for name in ("docs", "tags"))
-        keys = np.concatenate([_unpacked_keys(row["keys"]) for row in held])
-        base = np.cumsum([0, *(len(row["docs"]) // 8 for row in held)])
-        rows = np.concatenate([_from_planes(row["rows"], np.uint32) + at for row, at in zip(held, base)])
-        order = np.argsort(keys, kind="stable")
-        keys, rows = keys[order], rows[order]
-        first = _firsts(keys)
-        size = np.diff(np.r_[first, len(keys)])
-        several = np.repeat(size > 1, size)
-        if several.any():
-            yield _replies(docs, tags, rows[several], keys[several], _REPLIES)
-
-    held, bucket = [], None
+def _by_key(batches: Iterator[pa.RecordBatch], name: str, telling: str) -> Iterator[tuple]:
+    """Rows that are sorted by a column: what has no `telling` as batches, the others as lists of the rows of each value. A row may be
+    large, so they are read one at a time."""
+    held, value = [], None
     for batch in batches:
-        reply = batch.column("rows").is_null()
-        if reply.true_count:
-            passing = batch.filter(reply)
-            n = len(passing)
-            yield _batch(_REPLIES, n, doc=passing.column("doc"), tag=passing.column("tag"), kind=np.zeros(n, np.int32), held=passing.column("keys"))
-        grams = batch.filter(batch.column("rows").is_valid())
-        for i in range(len(grams)):  # a row may be large, so one at a time
-            row = {name: grams.column(name)[i].as_py() for name in ("bucket", "keys", "rows", "docs", "tags")}
-            if row["bucket"] != bucket and held:
-                yield from flush(held)
+        passing = batch.column(telling).is_null()
+        if passing.true_count:
+            yield batch.filter(passing), None
+            batch = batch.filter(batch.column(telling).is_valid())
+        for i in range(len(batch)):
+            row = {column: batch.column(column)[i].as_py() for column in batch.schema.names}
+            if row[name] != value and held:
+                yield None, held
                 held = []
-            bucket = row["bucket"]
+            value = row[name]
             held.append(row)
     if held:
-        yield from flush(held)
+        yield None, held
+
+
+def _column(rows: list[dict], name: str, kind) -> np.ndarray:
+    return np.concatenate([_from_planes(row[name], kind) for row in rows])
+
+
+def _match_grams(n_groups: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows are sorted by bucket. Replies pass; grams of a bucket that occur twice are reported to their documents' groups."""
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            found = list(_replies(np.concatenate(waiting[0]), np.concatenate(waiting[1]), n_groups))
+            yield _batch(_HELD, len(found), part=[part for part, _ in found], held=[held for _, held in found])
+
+        waiting, size = ([], []), 0
+        for passing, rows in _by_key(batches, "bucket", "rows"):
+            if passing is not None:
+                yield _batch(_HELD, len(passing), part=passing.column("part"), held=passing.column("keys"))
+                continue
+            keys = np.concatenate([_unpacked_keys(row["keys"]) for row in rows])
+            hashes = np.concatenate([_from_planes(row["hashes"], np.uint64)[_from_planes(row["rows"], np.uint32)] for row in rows])
+            order = np.argsort(keys, kind="stable")
+            keys, hashes = keys[order], hashes[order]
+            first = _firsts(keys)
+            several = np.diff(np.r_[first, len(keys)])
+            several = np.repeat(several > 1, several)
+            for part, values in zip(waiting, (keys[several], hashes[several])):
+                part.append(values)
+            size += int(several.sum())
+            if size >= _ENTRIES_PACK:
+                yield from flush()
+                waiting, size = ([], []), 0
+        if size:
+            yield from flush()
 
+    return run
 
-def _squeeze(column: int):
-    """Compresses a column of texts, which move twice."""
+
+def _squeeze(n_groups: int):
+    """Puts documents into groups, and compresses their texts, which move twice. Further columns pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zstandard import ZstdCompressor
 
         squeeze = ZstdCompressor(level=3).compress
         for batch in batches:
-            texts = pa.array([squeeze(text) for text in batch.column(column).to_pylist()], pa.binary())
-            yield batch.set_column(column, batch.schema.field(column).name, texts)
+            hashes = _row_hashes(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            texts = pa.array([squeeze(text) for text in batch.column(2).to_pylist()], pa.binary())
+            columns = [pa.array(_buckets(hashes, n_groups)), batch.column(0), batch.column(1), pa.array(np.ones(len(batch), np.int32)), texts, *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "doc", "tag", "kind", "held", *batch.schema.names[3:]])
 
     return run
 
 
-# Second step: stretches of those grams to their shards, packed. A row of spans has no text.
-_PIECES = pa.schema(
-    [("shard", pa.int32()), ("doc", pa.int64()), ("tag", pa.int64()), ("held", pa.binary())]
-    + [(name, pa.binary()) for name in ("keys", "rows", "docs", "tags", "starts", "sizes", "text")]
-)
-_PIECES_DDL = "shard int, doc long, tag long, held binary, keys binary, rows binary, docs binary, tags binary, starts binary, sizes binary, text binary"
+# Second step: stretches of those grams to their shards, packed. A row of spans, of documents of a group, has no text.
+_PACKED = ("keys", "docs", "parts", "rows", "starts", "sizes", "text")
+_PIECES = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("held", pa.binary())] + [(name, pa.binary()) for name in _PACKED])
+_PIECES_DDL = "shard int, part int, held binary, " + ", ".join(f"{name} binary" for name in _PACKED)
+
 
+def _packed_spans(parts, rows, starts, stops) -> Iterator[tuple[int, bytes]]:
+    """For each group its documents' places and spans, in order."""
+    order = np.lexsort((starts, rows, parts))
+    columns = [x[order].astype(np.uint32) for x in (rows, starts, stops - starts)]
+    parts = parts[order]
+    cuts = _firsts(parts)
+    for low, high in zip(cuts, np.r_[cuts[1:], len(parts)]):
+        yield int(parts[low]), b"".join(_planes(column[low:high]) for column in columns)
 
-def _spans(docs, tags, starts, stops, schema: pa.Schema, **more) -> pa.RecordBatch:
-    """One row for each document, with its spans."""
-    order = np.lexsort((starts, tags, docs))
-    docs, tags = docs[order], tags[order]
-    first = _firsts(docs, tags)
-    pairs = np.stack([starts, stops], axis=1).astype(np.int32)[order]
-    more = {name: np.full(len(first), value, np.int32) for name, value in more.items()}
-    return _batch(schema, len(first), doc=docs[first], tag=tags[first], held=_binaries(pairs, first), **more)
+
+def _unpacked_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    third = len(raw) // 3
+    rows, starts, sizes = (_from_planes(raw[at : at + third], np.uint32).astype(np.int64) for at in (0, third, 2 * third))
+    return rows, starts, starts + sizes
 
 
 def _cut_pieces(n_shards: int):
     """The stretches of grams that others hold, without those that a smaller id of the task has too, and spans of the latter."""
 
-    def cut(docs, tags, texts, replies, holders: dict[bytes, int]) -> tuple:
+    def cut(part: int, first_row: int, docs, tags, texts, wanted: np.ndarray, holders: dict[bytes, int]) -> tuple:
         blob, docs, tags = b"".join(texts), np.array(docs), np.array(tags)
         ends = np.cumsum([len(t) for t in texts])
         starts, stops, keys = stretches(np.frombuffer(blob, np.uint8), ends)
         keys = keys >> _DROPPED
         rows = np.searchsorted(ends, starts, side="right")
-        # A key of another row that comes out alike only adds a stretch, which the shard compares like any other.
-        salt = _mixed(np.arange(1, len(docs) + 1, dtype=np.uint64))
-        wanted = np.concatenate([keys_of + salt[row] for row, keys_of in replies])
-        keep = np.flatnonzero(np.isin(keys + salt[rows], wanted))
+        entries = _salted(keys, _row_hashes(docs, tags)[rows])
+        keep = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, entries), len(wanted) - 1)] == entries)
         starts, stops, keys, rows = starts[keep], stops[keep], keys[keep], rows[keep]
-        pieces = [blob[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
-        own = docs[rows]
-        # Documents come in ascending order, so the first holder of a stretch has the smallest id.
-        first = np.fromiter((holders.setdefault(piece, doc) for piece, doc in zip(pieces, own.tolist())), np.int64, len(pieces))
+        pieces, own = [blob[a:b] for a, b in zip(starts.tolist(), stops.tolist())], docs[rows]
+        later = np.zeros(len(pieces), bool)
+        for i, (piece, doc) in enumerate(zip(pieces, own.tolist())):
+            holder = holders.setdefault(piece, doc)
+            if doc < holder:
+                holders[piece] = doc
+            later[i] = doc > holder
         base = np.r_[0, ends[:-1]][rows]
-        return own, tags[rows], starts - base, stops - base, keys, pieces, own > first
+        return own, np.full(len(rows), part), rows + first_row, starts - base, stops - base, keys, pieces, later
 
-    def pack(docs, tags, starts, keys, pieces) -> Iterator[pa.RecordBatch]:
+    def pack(docs, parts, rows, starts, keys, pieces) -> Iterator[pa.RecordBatch]:
         from zstandard import ZstdCompressor
 
-        docs, tags, starts, keys = map(np.concatenate, (docs, tags, starts, keys))
+        docs, parts, rows, starts, keys = map(np.concatenate, (docs, parts, rows, starts, keys))
         order = np.argsort(keys, kind="stable")
         keys, shards = keys[order], _buckets(keys[order], n_shards)
         sizes = np.fromiter(map(len, pieces), np.uint32, len(pieces))
         cuts = _firsts(shards)
         for low, high in zip(cuts, np.r_[cuts[1:], len(keys)]):
-            part = order[low:high]
-            pairs, place = np.unique(np.stack([docs[part], tags[part]], axis=1), axis=0, return_inverse=True)
-            packed = {
-                "keys": _packed_keys(keys[low:high]), "rows": _planes(place.astype(np.uint32)), "docs": _planes(pairs[:, 0].copy()),
-                "tags": _planes(pairs[:, 1].copy()), "starts": _planes(starts[part].astype(np.uint32)), "sizes": _planes(sizes[part]),
-                "text": ZstdCompressor(level=3).compress(b"".join([pieces[i] for i in part.tolist()])),
-            }
+            chosen = order[low:high]
+            numbers = {"parts": parts, "rows": rows, "starts": starts, "sizes": sizes}
+            packed = {name: _planes(column[chosen].astype(np.uint32)) for name, column in numbers.items()}
+            packed |= {"keys": _packed_keys(keys[low:high]), "docs": _planes(docs[chosen])}
+            packed["text"] = ZstdCompressor(level=3).compress(b"".join([pieces[i] for i in chosen.tolist()]))
             yield _batch(_PIECES, 1, shard=shards[low : low + 1], **{name: [value] for name, value in packed.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows are sorted by document, replies first."""
+        """Rows are sorted by group, replies first, then by document."""
         from zstandard import ZstdDecompressor
 
         expand = ZstdDecompressor().decompress
-        held, holders, waiting = ([], [], [], [], []), {}, 0
-
-        def flush(docs, tags, texts, replies) -> Iterator[pa.RecordBatch]:
-            nonlocal held, holders, waiting
-            own, tag, starts, stops, keys, pieces, later = cut(docs, tags, texts, replies, holders)
-            if later.any():
-                yield _spans(own[later], tag[later], starts[later], stops[later], _PIECES, shard=int(own[later][0] % n_shards))
-            sent = np.flatnonzero(~later)
-            for part, values in zip(held, (own[sent], tag[sent], starts[sent], keys[sent])):
-                part.append(values)
-            held[4].extend(pieces[i] for i in sent.tolist())
-            waiting += int((stops - starts)[sent].sum())
-            if waiting >= _PIECES_PACK:
-                yield from pack(*held)
-                held, holders, waiting = ([], [], [], [], []), {}, 0
+        held, holders, waiting = ([], [], [], [], [], []), {}, 0
+        docs, tags, texts, size = [], [], [], 0
+        part, wanted, n_rows = None, [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal docs, tags, texts, size, wanted, held, holders, waiting
+            if texts and wanted:
+                if len(wanted) > 1:
+                    wanted = [np.unique(np.concatenate(wanted))]
+                own, parts, rows, starts, stops, keys, pieces, later = cut(part, n_rows - len(texts), docs, tags, texts, wanted[0], holders)
+                if later.any():
+                    for group, spans in _packed_spans(parts[later], rows[later], starts[later], stops[later]):
+                        yield _batch(_PIECES, 1, shard=[group % n_shards], part=[group], held=[spans])
+                sent = np.flatnonzero(~later)
+                for column, values in zip(held, (own, parts, rows, starts, keys)):
+                    column.append(values[sent])
+                held[5].extend(pieces[i] for i in sent.tolist())
+                waiting += int((stops - starts)[sent].sum())
+                if waiting >= _PIECES_PACK:
+                    yield from pack(*held)
+                    held, holders, waiting = ([], [], [], [], [], []), {}, 0
+            docs, tags, texts, size = [], [], [], 0
 
-        docs, tags, texts, replies, current, grams, size = [], [], [], [], None, [], 0
         for batch in batches:
-            for doc, tag, kind, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (doc, tag) != current:
-                    current, grams = (doc, tag), []
+            for group, doc, tag, kind, value in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if group != part:
+                    yield from flush()
+                    part, wanted, n_rows = group, [], 0
                 if not kind:
-                    grams.append(_from_short(value))
-                elif grams:
-                    replies.extend((len(texts), g) for g in grams)
-                    docs.append(doc)
-                    tags.append(tag)
-                    texts.append(expand(value))
-                    size += len(texts[-1])
-                    if size >= _CUT:
-                        yield from flush(docs, tags, texts, replies)
-                        docs, tags, texts, replies, size = [], [], [], [], 0
-        if texts:
-            yield from flush(docs, tags, texts, replies)
-        if held[4]:
+                    wanted.append(_unpacked_keys(value))
+                    continue
+                n_rows += 1
+                docs.append(doc)
+                tags.append(tag)
+                texts.append(expand(value))
+                size += len(texts[-1])
+                if size >= _CUT:
+                    yield from flush()
+        yield from flush()
+        if held[5]:
             yield from pack(*held)
 
     return run
 
 
-def shard_spans(keys, docs, tags, starts, pieces: list[bytes], length: int = LENGTH):
-    """Documents, tags, starts and ends of the removed spans of a shard's stretches."""
+def shard_spans(keys, docs, starts, pieces: list[bytes], length: int = LENGTH):
+    """Numbers of stretches of a shard, and starts and ends of the spans that are removed from them."""
     number: dict[bytes, int] = {}
     piece_of = np.fromiter((number.setdefault(piece, len(number)) for piece in pieces), np.int64, len(pieces))
     distinct = list(number)
     sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
     least = np.full(len(distinct), _NO_ID)
     np.minimum.at(least, piece_of, docs)
-    later = docs > least[piece_of]
-    out = [(docs[later], tags[later], starts[later], starts[later] + sizes[piece_of[later]])]
+    later = np.flatnonzero(docs > least[piece_of])
+    out = [(later, starts[later], starts[later] + sizes[piece_of[later]])]
     # A gram with one stretch only has nothing to compare.
     key_of = np.zeros(len(distinct), np.int64)
     key_of[piece_of] = keys
@@ -397,98 +423,103 @@ def shard_spans(keys, docs, tags, starts, pieces: list[bytes], length: int = LEN
         owner = np.searchsorted(ends, run_start, side="right")
         base = np.r_[0, ends[:-1] + 1][owner]
         run_start, run_stop, run_piece = run_start - base, run_stop - base, several[owner]
-        first = np.flatnonzero(~later)
+        first = np.flatnonzero(docs == least[piece_of])
         low, high = np.searchsorted(run_piece, [piece_of[first], piece_of[first] + 1])
         n = high - low
         row = np.repeat(first, n)
         run = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        out.append((docs[row], tags[row], starts[row] + run_start[run], starts[row] + run_stop[run]))
+        out.append((row, starts[row] + run_start[run], starts[row] + run_stop[run]))
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
-_FOUND = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("kind", pa.int32()), ("held", pa.binary())])
-
-
 def _sort_shards(part_bytes: int):
-    def flush(held: list[dict]) -> Iterator[pa.RecordBatch]:
-        """A shard's spans. It is done in parts, none of which ends within a gram."""
+    def shard(rows: list[dict]) -> Iterator[tuple]:
+        """Groups, places, starts and ends of a shard's spans. It is done in parts, none of which ends within a gram."""
         from zstandard import ZstdDecompressor
 
-        docs, tags = (np.concatenate([_from_planes(row[name], np.int64) for row in held]) for name in ("docs", "tags"))
-        base = np.cumsum([0, *(len(row["docs"]) // 8 for row in held)])
-        rows = np.concatenate([_from_planes(row["rows"], np.uint32) + at for row, at in zip(held, base)])
-        starts, sizes = (np.concatenate([_from_planes(row[name], np.uint32) for row in held]).astype(np.int64) for name in ("starts", "sizes"))
-        keys = np.concatenate([_unpacked_keys(row["keys"]) for row in held])
-        text = b"".join([ZstdDecompressor().decompress(row["text"]) for row in held])
+        docs = _column(rows, "docs", np.int64)
+        parts, places, starts, sizes = (_column(rows, name, np.uint32).astype(np.int64) for name in ("parts", "rows", "starts", "sizes"))
+        keys = np.concatenate([_unpacked_keys(row["keys"]) for row in rows])
+        text = b"".join([ZstdDecompressor().decompress(row["text"]) for row in rows])
         ends = np.cumsum(sizes)
         order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        grown = np.cumsum(sizes[order])
-        first = _firsts(keys)
+        keys, grown = keys[order], np.cumsum(sizes[order])
         cuts, done = [0], 0
-        for at in first[1:].tolist():
+        for at in _firsts(keys)[1:].tolist():
             if grown[at - 1] - done >= part_bytes:
                 cuts.append(at)
                 done = grown[at - 1]
         for low, high in zip(cuts, [*cuts[1:], len(keys)]):
-            part = order[low:high]
-            pieces = [text[ends[i] - sizes[i] : ends[i]] for i in part.tolist()]
-            found = shard_spans(keys[low:high].astype(np.int64), docs[rows[part]], tags[rows[part]], starts[part], pieces)
-            if len(found[0]):
-                yield _spans(*found, _FOUND, kind=0)
+            chosen = order[low:high]
+            pieces = [text[ends[i] - sizes[i] : ends[i]] for i in chosen.tolist()]
+            found, begin, end = shard_spans(keys[low:high].astype(np.int64), docs[chosen], starts[chosen], pieces)
+            yield parts[chosen[found]], places[chosen[found]], begin, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows are sorted by shard. Spans pass."""
-        held, shard = [], None
-        for batch in batches:
-            known = batch.column("text").is_null()
-            if known.true_count:
-                passing = batch.filter(known)
-                yield _batch(_FOUND, len(passing), doc=passing.column("doc"), tag=passing.column("tag"), kind=np.zeros(len(passing), np.int32), held=passing.column("held"))
-                batch = batch.filter(batch.column("text").is_valid())
-            for i in range(len(batch)):
-                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                if row["shard"] != shard and held:
-                    yield from flush(held)
-                    held = []
-                shard = row["shard"]
-                held.append(row)
-        if held:
-            yield from flush(held)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            found = list(_packed_spans(*map(np.concatenate, zip(*waiting))))
+            yield _batch(_HELD, len(found), part=[part for part, _ in found], held=[held for _, held in found])
+
+        waiting, size = [], 0
+        for passing, rows in _by_key(batches, "shard", "text"):
+            if passing is not None:
+                yield _batch(_HELD, len(passing), part=passing.column("part"), held=passing.column("held"))
+                continue
+            for found in shard(rows):
+                waiting.append(found)
+                size += len(found[0])
+            if size >= _ENTRIES_PACK:
+                yield from flush()
+                waiting, size = [], 0
+        if size:
+            yield from flush()
 
     return run
 
 
+def without_spans(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[list[tuple[int, int]], bytes]:
+    """The spans of a text, united, and what is left of it."""
+    if not len(starts):
+        return [], text
+    change = np.bincount(starts, minlength=len(text) + 1) - np.bincount(stops, minlength=len(text) + 1)
+    gone = np.cumsum(change)[:-1] > 0
+    edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist())), np.frombuffer(text, np.uint8)[~gone].tobytes()
+
+
 def _removed(id_type: pa.DataType):
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     schema = pa.schema([("doc_id", id_type), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows are sorted by document, spans first."""
+        """Rows are sorted by group, spans first, then by document."""
         from zstandard import ZstdDecompressor
 
         expand = ZstdDecompressor().decompress
-        current, found = None, []
+        part, held, found, n_rows = None, [], None, 0
         for batch in batches:
             out, size = ([], [], [], []), 0
-            docs, tags, kinds, helds, ids = (batch.column(i).to_pylist() for i in range(5))
-            for doc, tag, kind, held, own in zip(docs, tags, kinds, helds, ids):
-                if (doc, tag) != current:
-                    current, found = (doc, tag), []
+            for group, kind, value, own in zip(*(batch.column(name).to_pylist() for name in ("part", "kind", "held", "doc_id"))):
+                if group != part:
+                    part, held, found, n_rows = group, [], None, 0
                 if not kind:
-                    found.append(np.frombuffer(held, np.int32).reshape(-1, 2))
+                    held.append(_unpacked_spans(value))
                     continue
-                held = expand(held)
-                spans, kept = [], held
-                if found:
-                    pairs = np.concatenate(found)
-                    change = np.bincount(pairs[:, 0], minlength=len(held) + 1) - np.bincount(pairs[:, 1], minlength=len(held) + 1)
-                    gone = np.cumsum(change)[:-1] > 0
-                    edge = np.diff(np.r_[False, gone, False].astype(np.int8))
-                    spans = [{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())]
-                    kept = np.frombuffer(held, np.uint8)[~gone].tobytes()
-                for part, value in zip(out, (own, len(held), spans, kept)):
-                    part.append(value)
+                if found is None:
+                    found = tuple(map(np.concatenate, zip(*held))) if held else (np.zeros(0, np.int64),) * 3
+                    order = np.argsort(found[0], kind="stable")
+                    found = tuple(column[order] for column in found)
+                text, spans, kept = expand(value), [], b""
+                if len(text) >= LENGTH:  # as many as were cut have a place
+                    low, high = np.searchsorted(found[0], [n_rows, n_rows + 1])
+                    spans, kept = without_spans(text, found[1][low:high], found[2][low:high])
+                    n_rows += 1
+                else:
+                    kept = text
+                for column, result in zip(out, (own, len(text), [{"start": a, "end": b} for a, b in spans], kept)):
+                    column.append(result)
                 size += len(kept)
                 if size >= _CUT:
                     yield _batch(schema, len(out[0]), **dict(zip(schema.names, out)))
@@ -508,19 +539,22 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     id_type = held.limit(0).toArrow().schema.field("doc_id").type
     rows = held.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64("held").alias("tag"), "held", "doc_id")
     n_bytes = docs.agg(F.sum(F.octet_length(text_or_empty(text)))).first()[0] or 0
-    n_buckets, n_shards = 1 + n_bytes // BUCKET_BYTES, 1 + n_bytes // SHARD_BYTES
+    n_buckets, n_shards, n_groups = (1 + n_bytes // size for size in (BUCKET_BYTES, SHARD_BYTES, GROUP_BYTES))
+    order = ["part", "kind", "doc", "tag"]
+
+    def grouped(entries: DataFrame, texts: DataFrame, extra: str = "") -> DataFrame:
+        """Entries of each group, then its documents in order."""
+        packed = texts.mapInArrow(_squeeze(n_groups), f"part int, doc long, tag long, kind int, held binary{extra}")
+        rows = entries.withColumn("kind", F.lit(0)).unionByName(packed, allowMissingColumns=True)
+        return rows.repartition("part").sortWithinPartitions(*order).select(*packed.columns)
 
     wide = rows.select("doc", "tag", "held").filter(F.length("held") >= LENGTH)
-    grams = wide.mapInArrow(_pack_grams(n_buckets), _GRAMS_DDL)
-    replies = grams.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_match_grams, _REPLIES_DDL)
-    texts = wide.mapInArrow(_squeeze(2), "doc long, tag long, held binary").withColumn("kind", F.lit(1))
-    by_document = replies.unionByName(texts).repartition("doc", "tag").sortWithinPartitions("doc", "tag", "kind")
-    pieces = by_document.mapInArrow(_cut_pieces(n_shards), _PIECES_DDL)
-    spans = pieces.repartition("shard").sortWithinPartitions("shard").mapInArrow(_sort_shards(SHARD_BYTES), _REPLIES_DDL)
-    texts = rows.mapInArrow(_squeeze(2), f"doc long, tag long, held binary, doc_id {kind}").withColumn("kind", F.lit(1))
-    every = spans.withColumn("doc_id", F.lit(None).cast(kind)).unionByName(texts)
-    in_order = every.repartition("doc", "tag").sortWithinPartitions("doc", "tag", "kind").select("doc", "tag", "kind", "held", "doc_id")
-    return in_order.mapInArrow(_removed(id_type), f"doc_id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+    grams = wide.mapInArrow(_pack_grams(n_buckets, n_groups), _GRAMS_DDL)
+    replies = grams.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_match_grams(n_groups), _HELD_DDL)
+    pieces = grouped(replies, wide).mapInArrow(_cut_pieces(n_shards), _PIECES_DDL)
+    spans = pieces.repartition("shard").sortWithinPartitions("shard").mapInArrow(_sort_shards(SORTED_BYTES), _HELD_DDL)
+    texts = grouped(spans, rows, f", doc_id {kind}")
+    return texts.mapInArrow(_removed(id_type), f"doc_id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
 
 
 def repeat_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

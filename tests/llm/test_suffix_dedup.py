@@ -108,7 +108,7 @@ def test_against_all_windows(spark, seed):
 
 
 def test_many_buckets_shards_and_parts(spark, monkeypatch):
-    for name, value in (("BUCKET_BYTES", 5000), ("SHARD_BYTES", 2000)):
+    for name, value in (("BUCKET_BYTES", 5000), ("SHARD_BYTES", 2000), ("GROUP_BYTES", 3000), ("SORTED_BYTES", 500)):
         monkeypatch.setattr(suffix_dedup, name, value)
     rows = passages(7)
     same(suffix_dedup.repeats(documents(spark, rows)), rows)
@@ -124,18 +124,24 @@ def test_shard_in_small_parts(monkeypatch, part_bytes):
     monkeypatch.setattr(suffix_dedup, "_PIECES_PACK", part_bytes)
     rows = [(i, text) for i, (_, text, *_) in enumerate(passages(5)) if text]
     sent = []
-    for i, text in rows:
-        _, _, keys = suffix_dedup.stretches(np.frombuffer(text.encode(), np.uint8), np.array([len(text.encode())]))
-        sent.append((i, 0, 0, suffix_dedup._short(keys >> suffix_dedup._DROPPED).tobytes()))
-        sent.append((i, 0, 1, ZstdCompressor().compress(text.encode())))
-    batch = lambda part: pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["doc", "tag", "kind", "held"])
+    for part in (0, 1, 2):
+        texts = [(i, text.encode()) for i, text in rows if i % 3 == part]
+        for i, text in texts:
+            _, _, keys = suffix_dedup.stretches(np.frombuffer(text, np.uint8), np.array([len(text)]))
+            entries = suffix_dedup._salted(keys >> suffix_dedup._DROPPED, suffix_dedup._row_hashes(np.array([i]), np.array([0])))
+            if len(entries):
+                sent.append((part, None, None, 0, suffix_dedup._packed_keys(np.sort(entries))))
+        sent += [(part, i, 0, 1, ZstdCompressor().compress(text)) for i, text in texts]
+    names, kinds = ["part", "doc", "tag", "kind", "held"], [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    batch = lambda some: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), kinds)], names)
     pieces = list(suffix_dedup._cut_pieces(3)(batch(sent[i : i + 7]) for i in range(0, len(sent), 7)))
     table = pa.Table.from_batches(pieces).sort_by("shard").to_batches(max_chunksize=5)
+    places = {part: [i for i, _ in rows if i % 3 == part] for part in (0, 1, 2)}
     gone: dict[int, set[int]] = {i: set() for i, _ in rows}
     for found in suffix_dedup._sort_shards(part_bytes)(table):
         for row in found.to_pylist():
-            for low, high in np.frombuffer(row["held"], np.int32).reshape(-1, 2).tolist():
-                gone[row["doc"]] |= set(range(low, high))
+            for place, low, high in zip(*(column.tolist() for column in suffix_dedup._unpacked_spans(row["held"]))):
+                gone[places[row["part"]][place]] |= set(range(low, high))
     want = {own: {i for a, b in spans for i in range(a, b)} for own, _, spans, _ in plain(rows)}
     assert gone == want
 
