@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from monthmill.given.loads import LOADS_ORACLE
+from monthmill.given.months import MONTHS_ORACLE
 from monthmill.given.queries import MIN_CARD_TRIPS, MIN_TRIPS, MONTH, PICKED, YEAR
 
 
@@ -479,4 +480,7 @@ ORACLE: dict[str, str] = {
       'labels', 'conversations')""",
     "stream_rollup": f"{_RAW_DAILY} SELECT * FROM daily",
     **LOADS_ORACLE,
+    **MONTHS_ORACLE,
+    "ledger_rollup": f"{_RAW_DAILY} SELECT * FROM daily",
+    "rollup_rebuilt_over": f"{_ROLL} SELECT * FROM daily",
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from monthmill.functions.measures import count_where, tipped_nonzero, tipped_positive, whole_number
 from monthmill.given import tables as given
 from monthmill.given.loads import LOADS
+from monthmill.given.months import MONTHS
 from monthmill.operators import cleaning, keys, profile, quality, quantiles
 from monthmill.operators.joins import absent_from, count_both_unknown, join_lookup
 from monthmill.operators.sets import first_per_key
@@ -618,4 +619,5 @@ QUERIES: dict[str, Query] = {
     "schema_signatures": schema_signatures,
     "stream_rollup": stream_rollup,
     **LOADS,
+    **MONTHS,
 }
