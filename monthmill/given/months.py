@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from monthmill.fixed_values import RATE_CODES
 from monthmill.functions.dates import date_key, seconds_of_day
 from monthmill.given import tables as given
+from monthmill.operators.keys import foreign_keys_at_once
+from monthmill.operators.profile import profile
 from monthmill.plans import landing
 from monthmill.plans.fact import fact_trips, narrow_fact
 from monthmill.plans.ledger import refresh_by_ledger
 from monthmill.plans.manifest import read_manifest
+from monthmill.plans.profiles import range_profile, store_profiles, stored_profiles
 from monthmill.plans.rollup import rebuild_rollup
 from monthmill.plans.star import Link, StarError, reload_star
 from monthmill.plans.stored import store_fact_view
@@ -223,7 +226,45 @@ def stored_view(spark, sf_dir) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+# --- profiles of months ----------------------------------------------------------------------
+
+PROFILED = (199607, 199903)
+
+
+def profile_range(spark, sf_dir) -> DataFrame:
+    """The profile of some months from the stored sketches, and whether each distinct count is within its bounds of the exact one."""
+    fact = fact_trips(spark, given.month_layout(spark, sf_dir), given.ERAS)
+    fact = fact.withColumn("rate_code_id", F.when(F.col("passenger_count") != 3, F.col("rate_code_id"))).drop("pickup_time", "dropoff_time")
+    path, ym = scratch_path(spark, "profiles"), F.col("year") * 100 + F.col("month")
+    store_profiles(fact, path)
+    some = range_profile(stored_profiles(spark, path).filter(ym.between(*PROFILED)))
+    exact = profile(fact.filter(ym.between(*PROFILED)).drop("year", "month")).select("column", F.col("unique_count").alias("exact"))
+    return some.join(exact, "column").select(
+        "column", "n_rows", "missing_count", "missing_pct", "negative_count", "least", "greatest",
+        F.col("exact").between(F.col("unique_low"), F.col("unique_high")).alias("within_bounds"),
+    )
+
+
+def fk_check_at_once(spark, sf_dir) -> DataFrame:
+    """All constraints of a schema with each table scanned once, children that are parents of others among them."""
+    read = {name: given.table(spark, sf_dir, name) for name in ("lineitem", "orders", "supplier", "part", "customer", "labels", "nation")}
+    asia = given.dim_location(spark, sf_dir).filter(F.col("borough") == "ASIA")
+    return foreign_keys_at_once(
+        [
+            ("item_order", read["lineitem"], "l_orderkey", read["orders"], "o_orderkey"),
+            ("item_part", read["lineitem"], "l_partkey", read["part"], "p_partkey"),
+            ("item_supplier", read["lineitem"], "l_suppkey", read["supplier"], "s_suppkey"),
+            ("order_customer", read["orders"], "o_custkey", read["customer"], "c_custkey"),
+            ("order_label", read["orders"], "o_orderkey", read["labels"], "doc_id"),
+            ("supplier_nation", read["supplier"], "s_nationkey", read["nation"], "n_nationkey"),
+            ("supplier_asia", read["supplier"], "s_nationkey", asia, "location_id"),
+        ]
+    )
+
+
 MONTHS = {
+    "fk_check_at_once": fk_check_at_once,
+    "profile_range": profile_range,
     "schema_islands": islands,
     "found_era_fact": found_era_fact,
     "ledger_rollup": ledger_rollup,
@@ -245,7 +286,33 @@ _SECONDS = "CAST(hour({0}) * 3600 + minute({0}) * 60 + second({0}) AS BIGINT)"
 _BY_RATE = f"""SELECT {_MONTH}, CAST(ascii(l_linestatus) AS BIGINT) AS rate_code_id, COUNT(*) AS trips,
     CAST(SUM(l_linenumber) AS BIGINT) AS passengers"""
 
+_FACT_COLUMNS = {
+    "pickup_date_key": "CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER)", "pickup_location_id": "s_nationkey", "dropoff_location_id": "l_suppkey",
+    "payment_type": "ascii(l_returnflag)", "rate_code_id": "CASE WHEN l_linenumber <> 3 THEN ascii(l_linestatus) END",
+    "passenger_count": "l_linenumber", "trip_distance": "l_quantity", "fare_amount": "l_extendedprice", "tip_amount": "l_discount",
+    "total_amount": "l_extendedprice + l_discount + l_tax",
+}
+
+_CONSTRAINTS = [
+    ("item_order", "lineitem", "l_orderkey", "SELECT o_orderkey FROM orders"), ("item_part", "lineitem", "l_partkey", "SELECT p_partkey FROM part"),
+    ("item_supplier", "lineitem", "l_suppkey", "SELECT s_suppkey FROM supplier"), ("order_customer", "orders", "o_custkey", "SELECT c_custkey FROM customer"),
+    ("order_label", "orders", "o_orderkey", "SELECT doc_id FROM labels"), ("supplier_nation", "supplier", "s_nationkey", "SELECT n_nationkey FROM nation"),
+    ("supplier_asia", "supplier", "s_nationkey", "SELECT n_nationkey FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA'"),
+]
+
 MONTHS_ORACLE = {
+    "fk_check_at_once": " UNION ALL ".join(
+        f"""SELECT '{name}' AS constraint_name, COUNT(DISTINCT {key}) AS orphan_keys, COUNT(*) AS orphan_rows FROM {table}
+        WHERE {key} IS NOT NULL AND {key} NOT IN ({parent})"""
+        for name, table, key, parent in _CONSTRAINTS
+    ),
+    "profile_range": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", COUNT(*) AS n_rows, COUNT(*) - COUNT({value}) AS missing_count,
+            ROUND(100.0::DOUBLE * (COUNT(*) - COUNT({value})) / COUNT(*), 2) AS missing_pct, COUNT(*) FILTER ({value} < 0) AS negative_count,
+            CAST(MIN({value}) AS DOUBLE) AS least, CAST(MAX({value}) AS DOUBLE) AS greatest, TRUE AS within_bounds
+        FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey WHERE {_YM} BETWEEN {PROFILED[0]} AND {PROFILED[1]}"""
+        for name, value in _FACT_COLUMNS.items()
+    ),
     "schema_islands": f"""WITH months AS (SELECT DISTINCT {_YM} AS ym FROM lineitem),
         typed AS (SELECT ym, CASE {_TYPED} END AS signature FROM months),
         marked AS (SELECT *, CASE WHEN lag(signature) OVER (ORDER BY ym) = signature THEN 0 ELSE 1 END AS starts FROM typed),

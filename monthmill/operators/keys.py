@@ -54,3 +54,50 @@ def foreign_key_violations(
             ).select(F.lit(name).alias("constraint_name"), "orphan_keys", "orphan_rows")
         )
     return union_all(results)
+
+
+def _common_type(kinds: set[str]) -> str:
+    """The type in which keys are compared, as a join of the columns would compare them."""
+    if len(kinds) == 1:
+        return kinds.pop()
+    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
+        return "bigint"
+    return "double" if kinds <= {"tinyint", "smallint", "int", "bigint", "float", "double"} else "string"
+
+
+def foreign_keys_at_once(
+    constraints: list[tuple[str, DataFrame, str, DataFrame, str]],
+) -> DataFrame:
+    """The rows of `foreign_key_violations`, from one scan of each frame and one grouping for all constraints.
+
+    Each frame is scanned once, for whatever constraints it takes part in, on either side: its keys become rows of
+    (parent, key), which are grouped once. A group knows whether the parent has the key and how many rows of each constraint use it, so
+    there is no join, and a key that many rows share is one row per task before it is shuffled.
+    """
+    parents: dict[tuple[int, str], int] = {}  # a parent's frame and key -> its number
+    frames: dict[int, DataFrame] = {}
+    kinds: dict[int, set[str]] = {}
+    ends: list[tuple[int, str, int, int | None]] = []  # frame, key, parent, constraint (None for the parent's own keys)
+    for i, (_, child, key, parent, parent_key) in enumerate(constraints):
+        number = parents.setdefault((id(parent), parent_key), len(parents))
+        frames |= {id(child): child, id(parent): parent}
+        kinds.setdefault(number, set()).update({child.schema[key].dataType.simpleString(), parent.schema[parent_key].dataType.simpleString()})
+        ends += [(id(child), key, number, i), (id(parent), parent_key, number, None)]
+    types = {number: _common_type(set(found)) for number, found in kinds.items()}
+    rows = []
+    for place, frame in frames.items():
+        cells = [
+            F.struct(F.lit(number).alias("parent"), F.col(key).cast(types[number]).cast("string").alias("key"), F.lit(-1 if i is None else i).alias("used_by"))
+            for own, key, number, i in dict.fromkeys(ends)
+            if own == place
+        ]
+        rows.append(frame.select(F.inline(F.array(*cells))).filter(F.col("key").isNotNull()))
+    numbers = range(len(constraints))
+    uses = [F.count_if(F.col("used_by") == i).alias(f"uses_{i}") for i in numbers]
+    groups = union_all(rows).groupBy("parent", "key").agg(F.max(F.col("used_by") < 0).alias("known"), *uses)
+    orphans = groups.filter(~F.col("known")).agg(
+        *[F.count_if(F.col(f"uses_{i}") > 0).alias(f"keys_{i}") for i in numbers],
+        *[F.coalesce(F.sum(f"uses_{i}"), F.lit(0)).alias(f"rows_{i}") for i in numbers],
+    )
+    found = [F.struct(F.lit(constraints[i][0]).alias("constraint_name"), F.col(f"keys_{i}").alias("orphan_keys"), F.col(f"rows_{i}").alias("orphan_rows")) for i in numbers]
+    return orphans.select(F.inline(F.array(*found)))

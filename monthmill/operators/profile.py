@@ -38,9 +38,25 @@ def _slot(kind: T.DataType) -> str:
     return "string"
 
 
-def _entries(name: str) -> Column:
-    """A map as its entries in order, so that equal maps are equal."""
-    return F.array_sort(F.map_entries(name))
+def _has_map(kind: T.DataType) -> bool:
+    inner = {T.ArrayType: lambda: [kind.elementType], T.StructType: lambda: [field.dataType for field in kind]}
+    return isinstance(kind, T.MapType) or any(_has_map(part) for part in inner.get(type(kind), list)())
+
+
+def _in_order(kind: T.DataType, value: Column) -> Column:
+    """A value with its maps, at any depth, as their entries in order, so that equal maps are equal."""
+    if not _has_map(kind):
+        return value
+    if isinstance(kind, T.MapType):
+        return F.array_sort(
+            F.transform(
+                F.map_entries(value),
+                lambda entry: F.struct(_in_order(kind.keyType, entry["key"]).alias("key"), _in_order(kind.valueType, entry["value"]).alias("value")),
+            )
+        )
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _in_order(kind.elementType, item))
+    return F.when(value.isNotNull(), F.struct(*[_in_order(field.dataType, value[field.name]).alias(field.name) for field in kind]))
 
 
 def _slot_value(kind: T.DataType, name: str) -> Column:
@@ -50,10 +66,8 @@ def _slot_value(kind: T.DataType, name: str) -> Column:
         return F.unix_micros(name)
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.sha2(name, 256)  # every text alike, whatever its length
-    if isinstance(kind, T.MapType):
-        return F.sha2(F.to_json(_entries(name), _AS_JSON), 256)
-    if isinstance(kind, (T.ArrayType, T.StructType)):
-        return F.sha2(F.to_json(name, _AS_JSON), 256)
+    if isinstance(kind, (T.MapType, T.ArrayType, T.StructType)):
+        return F.sha2(F.to_json(_in_order(kind, F.col(name)), _AS_JSON), 256)
     return F.col(name).cast(_slot(kind))
 
 

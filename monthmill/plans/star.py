@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.operators.keys import foreign_key_violations, primary_key_violations
+from monthmill.operators.keys import foreign_keys_at_once, primary_key_violations
 from monthmill.operators.sets import union_all
 from monthmill.plans.warehouse import FACT, create_namespace
 
@@ -43,7 +43,7 @@ def key_violations(fact: DataFrame, dimensions: dict[str, DataFrame], keys: dict
     )
     if not links:
         return primary
-    foreign = foreign_key_violations([(f"{link.column} -> {link.dimension}", fact, link.column, dimensions[link.dimension], link.key) for link in links])
+    foreign = foreign_keys_at_once([(f"{link.column} -> {link.dimension}", fact, link.column, dimensions[link.dimension], link.key) for link in links])
     return union_all([primary, foreign.selectExpr("'foreign' AS kind", "constraint_name AS name", "orphan_keys AS key_values", "orphan_rows AS rows")])
 
 

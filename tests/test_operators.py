@@ -103,6 +103,30 @@ def test_foreign_keys(spark, rows):
     assert rows(got) == [("bad", 2, 3), ("good", 0, 0)]
 
 
+def test_foreign_keys_at_once_agree(spark, rows):
+    """Frames on both sides, shared parents, keys of several types, null and repeated keys, an empty frame."""
+    people = spark.createDataFrame([(1, 2), (2, 9), (3, None), (3, 1)], "id int, boss bigint")
+    tasks = spark.createDataFrame([(1, 1, "a"), (7, 2, "b"), (7, 8, None), (None, 3, "a"), (2, 2, "c")], "owner bigint, helper int, kind string")
+    kinds, none = spark.createDataFrame([("a",), ("a",), (None,)], "kind string"), spark.createDataFrame([], "id double")
+    constraints = [
+        ("owner", tasks, "owner", people, "id"), ("helper", tasks, "helper", people, "id"), ("boss", people, "boss", people, "id"),
+        ("kind", tasks, "kind", kinds, "kind"), ("none", people, "id", none, "id"), ("unused", none, "id", people, "id"),
+    ]
+    got = keys.foreign_keys_at_once(constraints)
+    assert got.columns == keys.foreign_key_violations(constraints).columns
+    assert rows(got) == rows(keys.foreign_key_violations(constraints))
+    assert rows(got)[-3:] == [("none", 3, 4), ("owner", 1, 2), ("unused", 0, 0)]
+
+
+def test_foreign_keys_at_once_scan_each_frame_once(spark, tmp_path):
+    for name in ("one", "two"):
+        spark.range(9).select("id", (F.col("id") % 4).alias("k"), (F.col("id") % 5).alias("m")).write.parquet(str(tmp_path / name))
+    one, two = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "two"))
+    got = keys.foreign_keys_at_once([("a", one, "k", two, "id"), ("b", one, "m", two, "id"), ("c", two, "k", one, "id"), ("d", two, "m", two, "k")])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_foreign_keys_meet_the_parent_after_grouping(spark):
     """In the plan the child's partial count stands below the join, not above it."""
     child = spark.range(1000).select((F.col("id") % 3).alias("k"))
