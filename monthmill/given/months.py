@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from monthmill.fixed_values import RATE_CODES
 from monthmill.functions.dates import date_key, seconds_of_day
 from monthmill.given import tables as given
+from monthmill.operators.cleaning import write_cleaned
 from monthmill.operators.keys import foreign_keys_at_once
 from monthmill.operators.profile import profile
 from monthmill.plans import landing
@@ -21,6 +22,7 @@ from monthmill.plans.profiles import range_profile, store_profiles, stored_profi
 from monthmill.plans.rollup import rebuild_rollup
 from monthmill.plans.star import Link, StarError, reload_star
 from monthmill.plans.stored import store_fact_view
+from monthmill.plans.warehouse import load_staging, read_table
 from monthmill.schemas import Era
 from monthmill.session import scratch_path
 from monthmill.sources.calendar import wide_calendar
@@ -262,7 +264,29 @@ def fk_check_at_once(spark, sf_dir) -> DataFrame:
     )
 
 
+def cleaned_and_audited(spark, sf_dir) -> DataFrame:
+    """A month written clean, with the counts of its steps from the same job, next to the rows that are in the files."""
+    zones = given.dim_location(spark, sf_dir).filter(F.col("borough").isin("ASIA", "EUROPE"))
+    path = scratch_path(spark, "cleaned")
+    audit = write_cleaned(given.raw_month(spark, sf_dir), zones, path)
+    return audit.crossJoin(F.broadcast(spark.read.parquet(path).agg(F.count("*").alias("rows_written"), F.sum("Dropoff_time").alias("seconds"))))
+
+
+def staging_whole(spark, sf_dir) -> DataFrame:
+    """Every column of the line items, staged under a tidied name and read back whole."""
+    items = given.table(spark, sf_dir, "lineitem")
+    name = f"staging_{uuid.uuid4().hex}"
+    load_staging(items.toDF(*[f" {column.upper().replace('_', ' ')}? " for column in items.columns]), name)
+    staged = read_table(spark, name)
+    path = scratch_path(spark, "kept")
+    staged.write.parquet(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.schema(staged.schema).parquet(path)
+
+
 MONTHS = {
+    "cleaned_and_audited": cleaned_and_audited,
+    "staging_whole": staging_whole,
     "fk_check_at_once": fk_check_at_once,
     "profile_range": profile_range,
     "schema_islands": islands,
@@ -301,6 +325,7 @@ _CONSTRAINTS = [
 ]
 
 MONTHS_ORACLE = {
+    "staging_whole": "SELECT * FROM lineitem",
     "fk_check_at_once": " UNION ALL ".join(
         f"""SELECT '{name}' AS constraint_name, COUNT(DISTINCT {key}) AS orphan_keys, COUNT(*) AS orphan_rows FROM {table}
         WHERE {key} IS NOT NULL AND {key} NOT IN ({parent})"""

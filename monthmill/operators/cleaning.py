@@ -9,13 +9,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from monthmill.fixed_values import MISSING_TOGETHER, REFUND_AMOUNTS
 from monthmill.functions.dates import seconds_of_day
 from monthmill.functions.names import existing_columns
 from monthmill.operators.joins import with_both_unknown
+from monthmill.sources.lookups import inline_relation
 from monthmill.operators.profile import is_missing
 
 PICKUP = "tpep_pickup_datetime"
@@ -139,3 +140,47 @@ def audit_month(
             )
         )
     return one.select(F.inline(F.array(*rows)))
+
+
+def write_cleaned(
+    df: DataFrame,
+    lookup: DataFrame,
+    path: str,
+    lookup_key: str = "location_id",
+    missing: list[str] = MISSING_TOGETHER,
+    amounts: list[str] = REFUND_AMOUNTS,
+    pickup_location: str = "PULocationID",
+    dropoff_location: str = "DOLocationID",
+) -> DataFrame:
+    """Writes the month as `clean_month` leaves it, and returns the rows of `audit_month`, both from one job.
+
+    The counts are observed on their way into the files: every trip is tested once, counted, and kept or not. Nothing is shuffled after
+    that, as a task of an earlier stage may run again and be counted again; a task that writes counts only when it is committed.
+    The two locations are looked up per trip, which a lookup of a few hundred rows makes cheap.
+    """
+    steps = [
+        ("drop_all_missing", all_missing(df, missing)),
+        ("drop_reversed", reversed_trip()),
+        ("drop_refunds", refund(df, amounts)),
+    ]
+    tests = {f"__test_{i}": test for i, (_, test) in enumerate(steps)}
+    marked = df.withColumns({**tests, "__any": any_missing(df, missing)})
+    marked = with_both_unknown(marked, lookup, lookup_key, pickup_location, dropoff_location, "__unknown")
+    alive: Column = F.lit(True)
+    counts = [F.count(F.lit(1)).alias("rows_0"), F.count_if("__any").alias("flag_first")]
+    for i, name in enumerate(tests, 1):
+        alive = alive & ~F.col(name)
+        counts.append(F.count_if(alive).alias(f"rows_{i}"))
+    counts.append(F.count_if(alive & F.col("__unknown")).alias("flag_last"))
+    seen = Observation()
+    kept = marked.observe(seen, *counts).filter(alive).select(*df.columns).transform(split_times).drop(PICKUP, DROPOFF)
+    kept.write.mode("errorifexists").parquet(path)
+    found = seen.get
+    names = [name for name, _ in steps] + ["report_unknown_locations"]
+    rows = []
+    for i, name in enumerate(names, 1):
+        before, after = found[f"rows_{i - 1}"], found[f"rows_{min(i, len(steps))}"]
+        flag = {1: found["flag_first"], len(names): found["flag_last"]}.get(i, 0)
+        rows.append((i, name, before, before - after, after, flag))
+    ddl = "step_no int, step string, rows_before bigint, dropped bigint, rows_after bigint, flagged bigint"
+    return inline_relation(df.sparkSession, rows, ddl)

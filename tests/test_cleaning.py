@@ -128,3 +128,25 @@ def test_audit_of_nothing(spark, listed):
 def test_negative_distance(spark):
     df = raw_month(spark, {"trip_distance": -1.0}, {"trip_distance": None}, {})
     assert cleaning.count_negative_distance(df).first()[0] == 1
+
+
+def test_written_and_audited_in_one_job(spark, rows, tmp_path):
+    """The same rows and counts as cleaning and auditing one after the other."""
+    df = raw_month(spark, *CASES.values()).repartition(3)
+    zones = spark.createDataFrame([(1,), (2,)], "location_id int")
+    path = str(tmp_path / "month")
+    audit = cleaning.write_cleaned(df, zones, path)
+    want = cleaning.audit_month(df, zones)
+    assert audit.schema == want.schema and rows(audit) == rows(want)
+    clean = cleaning.clean_month(df)
+    written = spark.read.parquet(path)
+    assert written.columns == clean.columns and rows(written) == rows(clean)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        cleaning.write_cleaned(df, zones, path)
+
+
+def test_an_empty_month_is_written_and_audited(spark, rows, tmp_path):
+    df = raw_month(spark, {}).limit(0)
+    zones = spark.createDataFrame([(1,)], "location_id int")
+    audit = cleaning.write_cleaned(df, zones, str(tmp_path / "month"))
+    assert rows(audit) == rows(cleaning.audit_month(df, zones)) and rows(audit, "rows_before", "flagged") == [(0, 0)] * 4
