@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 #: White space of the contracts, as a Java and RE2 character class: blank, tab, line feed, vertical tab, form feed, return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -86,6 +87,20 @@ def hash_bits(value: Column, digits: int = 12) -> Column:
     return F.conv(F.substring(F.md5(value), 1, digits), 16, 10).cast("long")
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whole, with dots or other signs in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(name)) for name in df.columns]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns (maps aside, which have no hash), that ends an order of rows: rows that are still equal are alike."""
+    return F.xxhash64(*[F.col(quoted(field.name)) for field in df.schema if not isinstance(field.dataType, MapType)])
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that the frame doesn't have, whatever its other columns are called."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import free_name, sized, text_or_empty, written
+from monthmill.llm.common import columns_of, free_name, row_hash, sized, text_or_empty, written
 
 BITS_PER_ROW = 16
 PROBES = 3
@@ -95,12 +95,13 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns: of equal texts the longest as written, then the smallest doc_id."""
+    """The rows that stay, with all their columns: of equal texts the longest as written, then the smallest doc_id, then the least hash
+    of all columns."""
     sha, suspect, row = (free_name(docs, name) for name in ("text_sha256", "suspect", "row"))
     bloom, words = repeated_filter(written(docs.select(digest(text).alias(sha)), "digests"), sha)
     looked_up = flagged(docs.withColumn(sha, digest(text)), sha, bloom, words, suspect)
-    straight = looked_up.filter(~F.col(suspect)).select(*docs.columns)
-    order = F.struct((-F.length(text_or_empty(text))).alias("n"), F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"))
-    one = F.min_by(F.struct(*docs.columns), order).alias(row)
+    straight = looked_up.filter(~F.col(suspect)).select(*columns_of(docs))
+    order = F.struct((-F.length(text_or_empty(text))).alias("n"), F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), row_hash(docs).alias("rest"))
+    one = F.min_by(F.struct(*columns_of(docs)), order).alias(row)
     repeated = looked_up.filter(F.col(suspect)).groupBy(sha).agg(one).select(f"{row}.*")
     return straight.unionByName(repeated)

@@ -10,8 +10,9 @@ The prefix needs no sort of a source. Ranks are numbers below 2^48; words are co
 bin in which the budget ends is counted in finer bins, and so on. A source that holds a third of all rows is 4096 counts.
 
 Defined results: a null text has size 0 and is never taken. Sources go by code point, null last, as a source of its own. The random
-number depends on seed and doc_id only, so reruns agree; rows of a source with equal rank (a repeated or null
-doc_id) are taken together or not at all. A source without words has target 0. An empty table gives no rows.
+number depends on seed, doc_id and text, so reruns agree, and rows that share a null or repeated doc_id are drawn one by one; only
+rows of a source that are equal in both are taken together or not at all. A source without words has target 0. Further columns pass,
+whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import WORD, free_name, hash_bits, sized, text_or_empty, written
+from monthmill.llm.common import WORD, columns_of, free_name, hash_bits, sized, text_or_empty, written
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -86,9 +87,15 @@ def _rates(rows: DataFrame, sources: DataFrame, weight: str | None, most: int) -
     return sources
 
 
-def _rank(expected: Column, doc_id: str, seed: int) -> Column:
+def draw(doc_id: str, text: str, seed: int) -> Column:
+    """A random number below 2^48 that a row's id and text fix."""
+    own = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    return hash_bits(F.concat_ws(":", F.lit(str(seed)), own, F.md5(text_or_empty(text).cast("binary"))))
+
+
+def _rank(expected: Column, drawn: Column) -> Column:
     """Random odds over inclusion odds q, as floor(q / (1 + q) * 2^48), which keeps their order; null without a fraction."""
-    u = (hash_bits(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))) + 0.5) / float(1 << 48)
+    u = (drawn + 0.5) / float(1 << 48)
     p = expected - F.floor(expected)
     odds = (u / (1 - u)) / (p / (1 - p))
     return F.when(p > 0, F.floor(odds / (1 + odds) * float(_RANKS)).cast("long"))
@@ -126,36 +133,36 @@ def _cuts(ranked: DataFrame, sources: DataFrame) -> DataFrame:
     return written(done.unionByName(last), "cuts")
 
 
-def _plan(narrow: DataFrame, weight: str | None, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
-    """(key, source_size, target, rate, cut) of each source from rows of (doc_id, key, source, size[, weight])."""
+def _plan(narrow: DataFrame, weight: str | None, weights: tuple[int, ...], most: int) -> DataFrame:
+    """(key, source_size, target, rate, cut) of each source from rows of (doc_id, key, source, size, drawn[, weight])."""
     sources = _rates(narrow, targets(narrow, weights, most), weight, most)
     expected = _expected(F.col("rate"), weight, most)
     ranked = narrow.join(sized(sources), "key").select(
-        "key", "size", F.floor(expected).alias("certain"), _rank(expected, "doc_id", seed).alias("rank")
+        "key", "size", F.floor(expected).alias("certain"), _rank(expected, F.col("drawn")).alias("rank")
     )
     return written(sources.join(_cuts(ranked, sources), "key"), "mix")
 
 
-def _narrow(docs: DataFrame, doc_id: str, text: str, source: str, weight: str | None) -> DataFrame:
-    columns = [F.col(doc_id).alias("doc_id"), source_key(source).alias("key"), F.col(source).alias("source"), word_count(text).alias("size")]
+def _narrow(docs: DataFrame, doc_id: str, text: str, source: str, weight: str | None, seed: int) -> DataFrame:
+    columns = [F.col(doc_id).alias("doc_id"), source_key(source).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"), draw(doc_id, text, seed).alias("drawn")]
     if weight:
         columns.append(F.greatest(F.lit(0.0), F.coalesce(F.col(weight).cast("double"), F.lit(0.0))).alias("weight"))
     return written(docs.select(*columns), "sizes")
 
 
-def _copies(rate: str, cut: str, weight: str | None, doc_id: str, most: int, seed: int) -> Column:
+def _copies(rate: str, cut: str, weight: str | None, drawn: Column, most: int) -> Column:
     expected = _expected(F.col(rate), weight, most)
-    extra = F.coalesce(_rank(expected, doc_id, seed) < F.col(cut), F.lit(False))
+    extra = F.coalesce(_rank(expected, drawn) < F.col(cut), F.lit(False))
     return (F.floor(expected) + extra.cast("int")).cast("int")
 
 
 def mix_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weight: str | None = None,
                weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (its words in the mix, repeats counted), copies."""
-    narrow = _narrow(docs, doc_id, text, source, weight)
+    narrow = _narrow(docs, doc_id, text, source, weight, seed)
     own = "weight" if weight else None
-    plan = sized(_plan(narrow, own, weights, most, seed))
-    copies = F.when(F.col("size") > 0, _copies("rate", "cut", own, "doc_id", most, seed)).otherwise(F.lit(0))
+    plan = sized(_plan(narrow, own, weights, most))
+    copies = F.when(F.col("size") > 0, _copies("rate", "cut", own, F.col("drawn"), most)).otherwise(F.lit(0))
     return narrow.join(plan, "key").withColumn("copies", copies).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
@@ -164,7 +171,7 @@ def mix_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weight: str | None = None,
         weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """The mix itself: the documents' rows with all their columns, as many of each as it takes copies."""
-    plan = _plan(_narrow(docs, doc_id, text, source, weight), "weight" if weight else None, weights, most, seed)
+    plan = _plan(_narrow(docs, doc_id, text, source, weight, seed), "weight" if weight else None, weights, most)
     key, rate, cut, copy = (free_name(docs, name) for name in ("mix_key", "mix_rate", "mix_cut", "mix_copy"))
     plan = sized(plan.select(F.col("key").alias(key), F.col("rate").alias(rate), F.col("cut").alias(cut)))
     rows = docs.withColumn(key, source_key(source)).join(plan, key)
@@ -173,5 +180,5 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         own = free_name(docs, "mix_weight")
         rows = rows.withColumn(own, F.greatest(F.lit(0.0), F.coalesce(F.col(weight).cast("double"), F.lit(0.0))))
     some = text_or_empty(text).rlike(WORD)
-    copies = F.when(some, _copies(rate, cut, own, doc_id, most, seed)).otherwise(F.lit(0))
-    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    copies = F.when(some, _copies(rate, cut, own, draw(doc_id, text, seed), most)).otherwise(F.lit(0))
+    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(0), copies))).select(*columns_of(docs))

@@ -129,7 +129,7 @@ LLM_ORACLE: dict[str, str] = {
     """,
     "op10_mixing": r"""
         WITH d AS (
-            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+            SELECT doc_id, text, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
         ), sources AS (
             SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
         ), weighed AS (
@@ -149,8 +149,8 @@ LLM_ORACLE: dict[str, str] = {
         ), rated AS (
             SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM shares
         ), ranked AS (
-            SELECT d.doc_id, d.size, r.*, floor(rate)::BIGINT AS certain, rate - floor(rate) AS p,
-                (('0x' || substr(md5('20240:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT + 0.5) / 281474976710656.0 AS u
+            SELECT d.doc_id, d.text, d.size, r.*, floor(rate)::BIGINT AS certain, rate - floor(rate) AS p,
+                (('0x' || substr(md5('20240:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT + 0.5) / 281474976710656.0 AS u
             FROM d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source
         ), odds AS (
             SELECT *, (u / (1 - u)) / (p / (1 - p)) AS q FROM ranked

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import free_name, ship, sized, text_or_empty, written
+from monthmill.llm.common import columns_of, free_name, row_hash, ship, sized, text_or_empty, written
 from monthmill.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -199,7 +199,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS, most: int = MOST_BITS) -> DataFrame:
-    """One row of each component, with all its columns: the one with the smallest doc_id, null last, then the least hash of the text.
+    """One row of each component, with all its columns: the one with the smallest doc_id, null last, then the least hash of the text,
+    then that of all columns.
 
     Rows that are alone pass straight through; only members of components of several rows shuffle with their texts.
     """
@@ -214,7 +215,7 @@ def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     tagged = docs.withColumn(tag, F.xxhash64(text_or_empty(text)))
     same = F.col(doc_id).eqNullSafe(F.col(f"{root}_id")) & (F.col(tag) == F.col(f"{root}_tag"))
     joined = tagged.join(sized(members), same, "left")
-    alone = joined.filter(F.col(root).isNull()).select(*docs.columns)
-    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(tag).alias("tag"))
-    one = F.min_by(F.struct(*docs.columns), order).alias(tag)
+    alone = joined.filter(F.col(root).isNull()).select(*columns_of(docs))
+    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(tag).alias("tag"), row_hash(docs).alias("rest"))
+    one = F.min_by(F.struct(*columns_of(docs)), order).alias(tag)
     return alone.unionByName(joined.filter(F.col(root).isNotNull()).groupBy(root).agg(one).select(f"{tag}.*"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import free_name, id_remainder, ship, text_or_empty, written
+from monthmill.llm.common import columns_of, free_name, id_remainder, ship, text_or_empty, written
 
 #: Distinct labelled texts that the model is fitted on at most.
 SAMPLE = 20_000
@@ -275,4 +275,4 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of documents that are not predicted toxic, with all their columns."""
     found = free_name(docs, "toxicity")
     scored = score_toxicity(docs, train(docs, labels), found)
-    return scored.filter(F.col(found)["score"] < THRESHOLD).select(*docs.columns)
+    return scored.filter(F.col(found)["score"] < THRESHOLD).select(*columns_of(docs))
