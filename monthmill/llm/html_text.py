@@ -7,13 +7,17 @@ furniture, and gets the page's vote. Spark sums the
 votes by host and path, within each task first. Second pass: each page is cut again, and its text is what stands below the host's winning
 path, or the next in votes that the page has, without furniture. A page that has none uses its own container.
 
-Furniture is known by tag (nav, footer, form, ...) or by a word in class, id or role (menu, cookie, comments, ...); what a host's own pages
-agree on decides the rest. Votes are a few rows for each host; they are broadcast up to a counted size and joined
+Furniture is known by tag (nav, footer, form, ...) or by a word in class, id or role. Words are of two kinds. Some name what is never the
+article: comments, notices, adverts. Others name a place in a layout (sidebar, menu, search, share, ...) and are often put on what holds the
+article, too: they count for nothing on html, body and main, nor where they are part of a state (no-sidebar, has-share,
+comments-open), nor around an article or main element, nor on a page that has no other text. What a host's own pages agree on decides the
+rest. Containers deeper than DEEPEST are no further steps of a path. Votes are a few rows for each host; they are broadcast up to a counted size and joined
 beyond it.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are joined in page order by one space.
 Defined results: a null or empty html has no text; markup that is never closed ends with the page; a null url is a host of
-its own. Rows that repeat vote and are extracted like others. An empty table gives no rows.
+its own. Rows that repeat vote and are extracted like others. Further columns take no part, whatever their names. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -36,15 +40,21 @@ _NUMBER = re.compile(r"\d+")
 
 # Elements of HTML and words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style noscript template svg iframe object title head select option textarea button canvas math".split())
+UNSEEN = frozenset("script style noscript template svg iframe object title head select option textarea button canvas".split())
 RAW = frozenset("script style title textarea".split())
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 FURNITURE_TAGS = frozenset("nav footer aside form dialog menu".split())
-FURNITURE_WORDS = frozenset(
-    "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar comment comments commentlist reply replies "
-    "disqus respond share sharing social related recommended newsletter subscribe subscription signup login search pagination pager widget widgets "
-    "skip legal copyright complementary contentinfo disclaimer".split()
+NEVER_WORDS = frozenset(
+    "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal "
+    "comment comments commentlist reply replies disqus respond newsletter subscribe subscription signup login legal copyright disclaimer".split()
 )
+LAYOUT_WORDS = frozenset(
+    "overlay nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar share sharing social related "
+    "recommended search pagination pager widget widgets skip complementary contentinfo".split()
+)
+#: Parts of a hyphenated name that make it a state of the page and not the name of a part.
+STATES = frozenset("no has with without is have open opened closed fixed enabled disabled active inactive hidden visible on off sticky".split())
+PLAIN_TAGS = frozenset("html body main".split())
 #: Page headers, unless within an article.
 HEADER_WORDS = frozenset("header".split())
 ARTICLE = frozenset("article main".split())
@@ -57,11 +67,27 @@ ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 ENDS_AT = frozenset("ul ol dl table".split())
 
 
+#: Containers on a path.
+DEEPEST = 200
+#: How surely a block is furniture: by a layout word, or by a tag or another word.
+BY_LAYOUT, SURELY = 1, 2
+
+
 class _Element:
-    __slots__ = ("tag", "path", "furniture", "unseen", "link", "article")
+    __slots__ = ("tag", "path", "depth", "furniture", "unseen", "link", "article")
 
-    def __init__(self, tag: str, path: str, furniture: bool, unseen: bool, link: bool, article: bool):
-        self.tag, self.path, self.furniture, self.unseen, self.link, self.article = tag, path, furniture, unseen, link, article
+    def __init__(self, tag: str, path: str, depth: int, furniture: int, unseen: bool, link: bool, article: bool):
+        self.tag, self.path, self.depth, self.furniture, self.unseen, self.link, self.article = tag, path, depth, furniture, unseen, link, article
+
+
+def _names(value: str) -> set[str]:
+    """Words of a class, id or role, without those of names that are states."""
+    out: set[str] = set()
+    for name in value.split():
+        words = _PARTS.findall(name)
+        if len(words) < 2 or STATES.isdisjoint((words[0], words[-1])):
+            out.update(words)
+    return out
 
 
 def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
@@ -69,23 +95,39 @@ def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
     if "=" in attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
             value = (values[0] or values[1] or values[2]).lower()
-            names.update(_PARTS.findall(value))
+            names |= _names(value)
             if name.lower() == "class":
                 classes = ".".join(sorted(_NUMBER.sub("#", value).split()))
     article = parent.article or tag in ARTICLE
-    furniture = parent.furniture or tag in FURNITURE_TAGS or not names.isdisjoint(FURNITURE_WORDS)
-    if not article and (tag == "header" or not names.isdisjoint(HEADER_WORDS)):
-        furniture = True
-    path = parent.path
-    if tag in CONTAINERS and tag != "html":
-        path = f"{path}/{tag}.{classes}" if classes else f"{path}/{tag}"
-    return _Element(tag, path, furniture, parent.unseen or tag in UNSEEN, parent.link or tag == "a", article)
+    furniture = parent.furniture
+    if tag in ARTICLE and furniture == BY_LAYOUT:
+        furniture = 0
+    if tag in FURNITURE_TAGS or not names.isdisjoint(NEVER_WORDS) and tag not in PLAIN_TAGS:
+        furniture = SURELY
+    elif not names.isdisjoint(LAYOUT_WORDS) and tag not in PLAIN_TAGS:
+        furniture = max(furniture, BY_LAYOUT)
+    if not article and tag not in PLAIN_TAGS and (tag == "header" or not names.isdisjoint(HEADER_WORDS)):
+        furniture = SURELY if tag == "header" else max(furniture, BY_LAYOUT)
+    path, depth = parent.path, parent.depth
+    if tag in CONTAINERS and tag != "html" and depth < DEEPEST:
+        path, depth = (f"{path}/{tag}.{classes}" if classes else f"{path}/{tag}"), depth + 1
+    return _Element(tag, path, depth, furniture, parent.unseen or tag in UNSEEN, parent.link or tag == "a", article)
 
 
 def blocks(html: str) -> list[tuple[str, str, int, bool]]:
-    """(path, text, characters of links, furniture) of each block of text, in page order."""
-    root = _Element("", "", False, False, False, False)
+    """(path, text, characters of links, furniture) of each block of text, in page order.
+
+    Layout words count as furniture only if the page has other text.
+    """
+    found = _blocks(html)
+    least = BY_LAYOUT if any(not furniture and links < len(text) for _, text, links, furniture in found) else SURELY
+    return [(path, text, links, furniture >= least) for path, text, links, furniture in found]
+
+
+def _blocks(html: str) -> list[tuple[str, str, int, int]]:
+    root = _Element("", "", 0, 0, False, False, False)
     stack, out = [root], []
+    open_tags: Counter = Counter()
     parts: list[str] = []
     links, start, at = 0, root, 0
 
@@ -110,13 +152,23 @@ def blocks(html: str) -> list[tuple[str, str, int, bool]]:
             if top.link:
                 links += len(piece.strip())
 
-    position, size = 0, len(html)
-    while position < size:
-        token = _TOKEN.search(html, position)
+    def close(i: int) -> None:
+        """Closes the elements from the i-th on."""
+        for element in stack[i:]:
+            open_tags[element.tag] -= 1
+        del stack[i:]
+
+    # No tag ends behind the last sign that can end one, so what stands there is not searched from each of its beginnings.
+    position, size, last = 0, len(html), html.rfind(">") + 1
+    while position < last:
+        token = _TOKEN.search(html, position, last)
         if token is None:
             break
         read(html[at : token.start()])
         at = position = token.end()
+        if token[0].startswith("<!--") and not (token[0].endswith("-->") and len(token[0]) > 6):
+            at = size  # a comment that is never closed
+            break
         end, tag = token[1], token[2]
         if tag is None:
             continue
@@ -125,35 +177,39 @@ def blocks(html: str) -> list[tuple[str, str, int, bool]]:
         if end:
             if block or tag == "br":
                 flush()
-            if any(e.tag == tag for e in reversed(stack[1:])):
-                while stack.pop().tag != tag:
-                    pass
+            if open_tags[tag]:
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                close(i)
             continue
         if block or tag in ("br", "hr"):
             flush()
-        if tag in ENDS_PARAGRAPH:
+        if tag in ENDS_PARAGRAPH and open_tags["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in CONTAINERS:
                     break
-        if same := ENDS_SAME.get(tag):
+        if (same := ENDS_SAME.get(tag)) and any(open_tags[other] for other in same):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in same:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in ENDS_AT or stack[i].tag in CONTAINERS:
                     break
         if tag in VOID or token[3].endswith("/") and tag not in CONTAINERS and tag not in TEXT_BLOCKS:
             continue
         stack.append(_opened(tag, token[3], stack[-1]))
+        open_tags[tag] += 1
         if tag in RAW:  # its content is text up to its own end tag
-            close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, position)
-            position = at = close.start() if close else size
-            if close is None:
+            ended = _RAW_END[tag].search(html, position)
+            position = at = ended.start() if ended else size
+            if ended is None:
                 break
-    read(html[at:])
+    rest = html[at:]
+    read(rest[: rest.find("<!--")] if "<!--" in rest else rest)
     flush()
     return out
 
@@ -168,13 +224,15 @@ def _above(path: str) -> Iterator[str]:
 
 def main_container(found: list[tuple[str, str, int, bool]]) -> tuple[str, float] | None:
     """The path of a page's main container and the share of the page's unlinked text below it; none without such text."""
-    own, below, bad = Counter(), Counter(), Counter()
+    own, other, below, bad = Counter(), Counter(), Counter(), Counter()
     for path, text, links, furniture in found:
         good = 0 if furniture else len(text) - links
         own[path] += good
+        other[path] += len(text) - good
+    for path, good in own.items():
         for step in _above(path):
             below[step] += good
-            bad[step] += len(text) - good
+            bad[step] += other[path]
     total = below[""]
     if not total:
         return None
