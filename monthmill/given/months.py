@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from monthmill.fixed_values import RATE_CODES
 from monthmill.functions.dates import date_key, seconds_of_day
 from monthmill.given import tables as given
+from monthmill.operators.brackets import describe_bracketed
 from monthmill.operators.cleaning import write_cleaned
 from monthmill.operators.keys import foreign_keys_at_once
 from monthmill.operators.profile import profile
@@ -284,7 +285,14 @@ def staging_whole(spark, sf_dir) -> DataFrame:
     return spark.read.schema(staged.schema).parquet(path)
 
 
+def describe_in_two_scans(spark, sf_dir) -> DataFrame:
+    names = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split()
+    report = describe_bracketed(given.table(spark, sf_dir, "lineitem"), names)
+    return report.withColumns({name: F.round(F.col(name), places) for name, places in (("mean", 9), ("std", 6), ("q25", 6), ("q50", 6), ("q75", 6))})
+
+
 MONTHS = {
+    "describe_in_two_scans": describe_in_two_scans,
     "cleaned_and_audited": cleaned_and_audited,
     "staging_whole": staging_whole,
     "fk_check_at_once": fk_check_at_once,

@@ -488,3 +488,4 @@ ORACLE: dict[str, str] = {
 ORACLE["cleaned_and_audited"] = f"""SELECT * FROM ({ORACLE["clean_steps"]}) CROSS JOIN ({_with(_RAW)}
     SELECT COUNT(*) AS rows_written, CAST(SUM(hour(ended) * 3600 + minute(ended) * 60 + second(ended)) AS BIGINT) AS seconds
     FROM raw WHERE NOT {_ALL_NULL} AND NOT {_REVERSED} AND NOT {_REFUND})"""
+ORACLE["describe_in_two_scans"] = ORACLE["describe_numeric"]
