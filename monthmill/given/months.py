@@ -15,6 +15,7 @@ from monthmill.operators.brackets import describe_bracketed
 from monthmill.operators.cleaning import write_cleaned
 from monthmill.operators.keys import foreign_keys_at_once
 from monthmill.operators.profile import profile
+from monthmill.operators.sets import first_per_key_by_place
 from monthmill.plans import landing
 from monthmill.plans.fact import fact_trips, narrow_fact
 from monthmill.plans.ledger import refresh_by_ledger
@@ -44,7 +45,7 @@ LAST_LANDED_FIRST = 1998
 # --- eras ------------------------------------------------------------------------------------
 
 
-def _land(months: DataFrame, base: str) -> None:
+def land_months(months: DataFrame, base: str) -> None:
     """Months become partitions, in place of those of the same name."""
     padded = months.withColumn("month", F.format_string("%02d", "month"))
     rows = padded.hint("rebalance", F.col("year"), F.col("month"))
@@ -58,7 +59,7 @@ def returning_months(spark: SparkSession, sf_dir: str) -> str:
     ends = [first for first, *_ in RETURNING[1:]] + [999999]
     for (first, rate, count), end in zip(RETURNING, ends):
         span = months.filter((at >= first) & (at < end))
-        _land(span.withColumns({"ratecodeid": F.col("ratecodeid").cast(rate), "passenger_count": F.col("passenger_count").cast(count)}), base)
+        land_months(span.withColumns({"ratecodeid": F.col("ratecodeid").cast(rate), "passenger_count": F.col("passenger_count").cast(count)}), base)
     return base
 
 
@@ -91,7 +92,7 @@ def _ledger_runs(spark: SparkSession, sf_dir: str) -> tuple[str, list[tuple]]:
     runs = []
     for run, landed in enumerate(steps, 1):
         if landed is not None:
-            _land(landed, base)
+            land_months(landed, base)
         found = {row.status: row for row in refresh_by_ledger(spark, base, rollup, ledger).collect()}
         trips = found["added"].trips + found["replaced"].trips
         runs.append((run, found["added"].months, found["removed"].months, trips))
@@ -291,7 +292,14 @@ def describe_in_two_scans(spark, sf_dir) -> DataFrame:
     return report.withColumns({name: F.round(F.col(name), places) for name, places in (("mean", 9), ("std", 6), ("q25", 6), ("q50", 6), ("q75", 6))})
 
 
+def dedupe_by_place(spark, sf_dir) -> DataFrame:
+    """The first shipment of each order line, whole, found by key, order and place."""
+    items = given.table(spark, sf_dir, "lineitem")
+    return first_per_key_by_place(items, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
+
+
 MONTHS = {
+    "dedupe_by_place": dedupe_by_place,
     "describe_in_two_scans": describe_in_two_scans,
     "cleaned_and_audited": cleaned_and_audited,
     "staging_whole": staging_whole,
@@ -333,6 +341,8 @@ _CONSTRAINTS = [
 ]
 
 MONTHS_ORACLE = {
+    "dedupe_by_place": """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) = 1""",
     "staging_whole": "SELECT * FROM lineitem",
     "fk_check_at_once": " UNION ALL ".join(
         f"""SELECT '{name}' AS constraint_name, COUNT(DISTINCT {key}) AS orphan_keys, COUNT(*) AS orphan_rows FROM {table}

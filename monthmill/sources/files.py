@@ -46,14 +46,8 @@ def list_files(spark: SparkSession, base: str, times: bool = False) -> DataFrame
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
-    """Has a job finished writing a table there?"""
-    try:
-        spark.read.schema("value string").text(f"{path.rstrip('/')}/_SUCCESS")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Are there files of a table? Committers need not leave a mark of their own, so none is looked for."""
+    return not list_files(spark, path).isEmpty()
 
 
 def _with_month(files: DataFrame, pattern: str) -> DataFrame:

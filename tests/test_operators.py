@@ -191,6 +191,29 @@ def test_quantiles_shuffle_counts_only(spark):
     assert "percentile" not in plan and "collect_list(v" not in plan
 
 
+def test_first_per_key_by_place(spark, rows, tmp_path):
+    """As by whole rows, for null keys and order values, ties and a key that most rows have; whole rows are neither sorted nor grouped."""
+    n = F.col("id")
+    data = spark.range(0, 900, 1, 3).select(
+        F.when(n % 11 != 0, F.when(n % 3 == 0, 0).otherwise(n % 50)).alias("k"), F.when(n % 7 != 0, n % 13).alias("o"), (n % 2).alias("p"),
+        n.alias("unique"), F.concat(F.lit("text "), n).alias("wide"),
+    )
+    data.write.parquet(str(tmp_path / "data"))
+    df = spark.read.parquet(str(tmp_path / "data"))
+    for keys_, order in ((["k"], ["o", "unique"]), (["k", "p"], ["unique"]), (["p"], ["o", "k", "unique"])):
+        assert rows(sets.first_per_key_by_place(df, keys_, order)) == rows(sets.first_per_key(df, keys_, order))
+    tied = sets.first_per_key_by_place(df, ["k"], ["o"])
+    assert tied.columns == df.columns and tied.count() == df.select("k").distinct().count()
+    assert rows(tied) == rows(sets.first_per_key_by_place(df, ["k"], ["o"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sets.first_per_key_by_place(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+    assert all("wide" not in line for line in plan.splitlines() if " Sort " in line or "SortAggregate" in line)
+
+
 # --- profile ---
 
 
