@@ -30,8 +30,6 @@ SEED = 20240
 LEVEL_BITS = 12
 LEVELS = 4
 _RANKS = 1 << (LEVEL_BITS * LEVELS)
-#: Rounds of giving on what a document's cap cuts off, when documents have weights of their own.
-CAP_ROUNDS = 12
 
 
 def word_count(text: str = "text") -> Column:
@@ -76,15 +74,22 @@ def _rates(rows: DataFrame, sources: DataFrame, weight: str | None, most: int) -
     sources = written(sources.withColumn("rate", rate), "rates")
     if weight is None:
         return sources
-    for _ in range(CAP_ROUNDS):
+    # What a document's cap cuts off goes to the others of its source, until no further document meets its cap. The rate starts
+    # at none and only grows, as does the number of capped documents.
+    sources, before = written(sources.withColumn("rate", F.lit(0.0)), "rates"), -1
+    while True:
         capped = F.col("rate") * F.col(weight) >= most
         sums = rows.join(sized(sources.select("key", "rate")), "key").groupBy("key").agg(
             F.sum(F.when(capped, most * F.col("size")).otherwise(0)).alias("capped"),
             F.sum(F.when(capped, 0.0).otherwise(F.col("size") * F.col(weight))).alias("open"),
+            F.count_if(capped).alias("n_capped"),
         )
         again = F.when(F.col("open") > 0, (F.col("target") - F.col("capped")) / F.col("open")).otherwise(F.col("rate"))
-        sources = written(sources.join(sums, "key").select("key", "source_size", "target", again.alias("rate")), "rates")
-    return sources
+        found = written(sources.join(sums, "key").select("key", "source_size", "target", F.greatest("rate", again).alias("rate"), "n_capped"), "rates")
+        sources, n = found.drop("n_capped"), found.agg(F.sum("n_capped")).first()[0] or 0
+        if n == before:
+            return sources
+        before = n
 
 
 def draw(doc_id: str, text: str, seed: int) -> Column:

@@ -1,7 +1,7 @@
 """Packing documents into token windows by order-preserving dynamic programming.
 
 Documents keep their order within a partition of the input and are one stream of tokens there. A window may end after
-a document, after a sentence, or, where neither comes soon enough, inside a sentence; the last two
+a document or after a sentence, and inside a sentence only if it is longer than a window; the last two
 have a penalty in tokens. The dynamic program finds the ends that minimise padding plus penalties. With
 cost(j) + position(j) the padding of the window from j to i is linear in i, so the best start of each window is a
 sliding minimum, kept in a monotone queue: each place to cut enters and leaves it once.
@@ -39,8 +39,7 @@ END_ID = 2
 #: Cost of ending a window inside a document after a sentence, and inside a sentence, in tokens of padding.
 SENTENCE_PENALTY = 24
 WORD_PENALTY = 40
-#: Where no sentence ends for so many tokens, a window may end inside it after every so many.
-LONGEST_GAP = 192
+#: A window may end inside a sentence that is longer than a window, after every so many tokens.
 INSIDE_STEP = 32
 #: Tokens of the stream that a task settles at once.
 STREAM_TOKENS = 1 << 20
@@ -126,7 +125,7 @@ def cut_places(lengths: list[int], inside: list[np.ndarray], window: int = WINDO
 
     lengths: tokens of each document; inside: positions in it after which a sentence ends.
     """
-    gap, step = min(LONGEST_GAP, max(1, window // 4)), min(INSIDE_STEP, max(1, window // 16))
+    step = min(INSIDE_STEP, max(1, window // 16))
     ends = np.cumsum(lengths)
     starts = ends - lengths
     sentences = np.concatenate([at + start for at, start in zip(inside, starts)]) if len(lengths) else np.zeros(0, np.int64)
@@ -137,7 +136,7 @@ def cut_places(lengths: list[int], inside: list[np.ndarray], window: int = WINDO
     first = np.r_[True, places[1:] != places[:-1]] & (places > 0)
     places, penalties = places[first], penalties[first]
     before = np.r_[0, places[:-1]]
-    wide = np.flatnonzero(places - before > gap)
+    wide = np.flatnonzero(places - before > window)
     if len(wide):
         extra = np.concatenate([np.arange(before[i] + step, places[i], step) for i in wide])
         places, penalties = np.r_[places, extra], np.r_[penalties, np.full(len(extra), WORD_PENALTY)]
