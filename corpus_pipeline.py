@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows the one before has kept; its result is written as Parquet and read
 again as the next one's documents. All but the last return the columns of documents, the last the pieces of the windows:
 doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A document that the mix repeats is packed as often.
+
+Defined results: a null or empty text is not toxic; it is an exact copy of other empty ones, of which the one of the smallest id stays, and
+is never taken into the mix. Null ids rank last, and rows that tie go by the hash of all columns. Further columns pass all stages but
+the last, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

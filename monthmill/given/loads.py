@@ -46,6 +46,14 @@ def _name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, drop: str) -> DataFrame:
+    """Rows written aside, before a statement drops what they were read from."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "kept")
+    rows.write.parquet(path)
+    spark.sql(drop)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def staging_table(spark, sf_dir) -> DataFrame:
     """Line items with untidy names, staged and read back by the tidied ones."""
     items = given.table(spark, sf_dir, "lineitem").select(
@@ -54,7 +62,8 @@ def staging_table(spark, sf_dir) -> DataFrame:
     name = _name("staging")
     warehouse.load_staging(items, name)
     staged = warehouse.read_table(spark, name)
-    return staged.groupBy("paymenttype").agg(F.count("order_key").alias("n_rows"), F.sum("trip_distance_mi").alias("distance"))
+    found = staged.groupBy("paymenttype").agg(F.count("order_key").alias("n_rows"), F.sum("trip_distance_mi").alias("distance"))
+    return kept(found, f"DROP TABLE IF EXISTS {name}")
 
 
 def star_by_name(spark, sf_dir) -> DataFrame:
@@ -65,11 +74,12 @@ def star_by_name(spark, sf_dir) -> DataFrame:
     warehouse.drop_star(spark, [f"{space}.{loaded}"], f"{space}.fact_trips")
     warehouse.load_dimensions({f"{space}.{loaded}": places})
     warehouse.load_fact(fact, f"{space}.fact_trips")
-    return warehouse.run_sql(
+    found = warehouse.run_sql(
         spark,
         f"""SELECT borough, COUNT(*) AS trips FROM {space}.fact_trips JOIN {space}.{loaded}
             ON location_id = pickup_location_id GROUP BY borough""",
     )
+    return kept(found, f"DROP DATABASE IF EXISTS {space} CASCADE")
 
 
 def view_by_name(spark, sf_dir) -> DataFrame:

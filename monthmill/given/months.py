@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from monthmill.fixed_values import RATE_CODES
 from monthmill.functions.dates import date_key, seconds_of_day
 from monthmill.given import tables as given
+from monthmill.given.loads import kept
 from monthmill.operators.brackets import describe_bracketed
 from monthmill.operators.cleaning import write_cleaned
 from monthmill.operators.keys import foreign_keys_at_once
@@ -152,14 +153,6 @@ def landed_product(spark, sf_dir) -> DataFrame:
 # --- star and stored view --------------------------------------------------------------------
 
 
-def _kept(rows: DataFrame, namespace: str) -> DataFrame:
-    """Rows written aside, before the namespace that they came from goes."""
-    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "kept")
-    rows.write.parquet(path)
-    spark.sql(f"DROP DATABASE IF EXISTS {namespace} CASCADE")
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def _star(spark: SparkSession, sf_dir: str, events: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Events as a fact with two times of day, and its four dimensions."""
     after = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 90_000).cast("decimal(18,6)"))
@@ -203,7 +196,7 @@ def star_reload(spark, sf_dir) -> DataFrame:
         reload_star(spark, space, fact, dimensions | {"dim_payment": dimensions["dim_payment"].union(dimensions["dim_payment"])}, STAR_KEYS, STAR_LINKS)
     except StarError as error:
         refused = len(error.violations)
-    return _kept(
+    return kept(
         spark.sql(
             f"""SELECT borough, payment_description, rate_code_description, is_weekend, COUNT(*) AS trips, SUM(pickup_time) AS began,
                 SUM(dropoff_time) AS ended, {refused} AS refused
@@ -212,7 +205,7 @@ def star_reload(spark, sf_dir) -> DataFrame:
                 LEFT JOIN {space}.dim_rate_code USING (rate_code_id)
             GROUP BY borough, payment_description, rate_code_description, is_weekend"""
         ),
-        space,
+        f"DROP DATABASE IF EXISTS {space} CASCADE",
     )
 
 
@@ -224,10 +217,7 @@ def stored_view(spark, sf_dir) -> DataFrame:
         f"""SELECT year, month, rate_code_id, COUNT(*) AS trips, SUM(passenger_count) AS passengers, MAX(pickup_date_key) AS last_day
         FROM {view} GROUP BY year, month, rate_code_id"""
     )
-    path = scratch_path(spark, "kept")
-    rows.write.parquet(path)
-    spark.sql(f"DROP DATABASE IF EXISTS {space} CASCADE")
-    return spark.read.schema(rows.schema).parquet(path)
+    return kept(rows, f"DROP DATABASE IF EXISTS {space} CASCADE")
 
 
 # --- profiles of months ----------------------------------------------------------------------
@@ -279,11 +269,7 @@ def staging_whole(spark, sf_dir) -> DataFrame:
     items = given.table(spark, sf_dir, "lineitem")
     name = f"staging_{uuid.uuid4().hex}"
     load_staging(items.toDF(*[f" {column.upper().replace('_', ' ')}? " for column in items.columns]), name)
-    staged = read_table(spark, name)
-    path = scratch_path(spark, "kept")
-    staged.write.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.read.schema(staged.schema).parquet(path)
+    return kept(read_table(spark, name), f"DROP TABLE IF EXISTS {name}")
 
 
 def describe_in_two_scans(spark, sf_dir) -> DataFrame:
