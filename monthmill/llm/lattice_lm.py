@@ -11,7 +11,8 @@ in two parts: words of a bounded number of highest counts are sent to all tasks,
 the rest, none of which is frequent, are joined by hash. What the driver gets is bounded: sums, counts of pieces, frequent words.
 
 Defined results: a null or empty text has one token, the end. Characters outside the vocabulary are spelled in bytes. Without training
-texts the base score is 0 for every text (N = V = 0), and the model is the vocabulary's own. Rows that repeat are scored alike.
+texts the base score is 0 for every text (N = V = 0), and the model is the vocabulary's own. Rows that repeat are scored alike. Other
+columns take no part, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

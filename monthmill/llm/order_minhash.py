@@ -10,8 +10,8 @@ window over the whole table: rows are range-partitioned and sorted, each task re
 tasks are made up from one first and one last row of each.
 
 Defined results: a null text counts as empty; a text of fewer than K words is one k-mer, an empty one none, with a fingerprint of its
-own. Rows of equal doc_id are in the order of their texts; null ids come last. The only row of a table is its own neighbour. An
-empty table gives no rows.
+own. Rows of equal doc_id are in the order of their texts; null ids come last. The only row of a table is its own neighbour. Other
+columns take no part, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ digits next to a word that names them. Its spans are kept where no pattern's spa
 Every kind has a digit or an @, and no span leaves a line, so lines without either hold nothing, by rule: the field's
 spans must have one, too. All other lines are read whole. There is no shuffle.
 
-Defined results: a null or empty text has no spans. Positions are code points. Rows that repeat give equal rows. An empty table gives no rows.
+Defined results: a null or empty text has no spans. Positions are code points. Rows that repeat give equal rows. Other
+columns take no part, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ their rows counted again with the next STEP bits. A cell is one row for each tas
 
 Hash bits come from doc_id first, then from the text and from the row's place, so that a null or repeated doc_id
 does not hold rows together. Defined results: a null or empty text has no bytes; a row larger than the limit is a shard that
-exceeds it, marked oversized, as are rows that all 62 bits leave together. An empty table gives no rows.
+exceeds it, marked oversized, as are rows that all 62 bits leave together. Other columns take no part in the report, whatever their
+names, and are written with their documents. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ connected part, never all pairs.
 
 Defined results: a null text counts as empty; texts without words have fingerprint zero and are linked like others.
 component_id is the smallest doc_id; null ids only count where a component has no other. Rows that repeat are members like others.
-An empty table gives no rows.
+Other columns take no part, whatever their names; of rows that tie for the one that stays, the hash of all columns decides. An empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,6 +11,7 @@ FEATURES best of them and, for sentences with one, their numbers. Scoring reads
 
 Defined results: a null or empty text has no sentence and scores 0. If the sample has no toxic text, or no feature
 passes, every score is 0. Of a text with different labels, the larger counts. Null labels are not used. Rows that repeat score alike.
+Further columns pass, whatever their names. An empty table gives no rows, an empty table of labels scores of 0.
 """
 
 from __future__ import annotations

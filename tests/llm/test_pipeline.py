@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -12,7 +14,7 @@ from monthmill.llm import toxicity
 from monthmill.llm.common import written
 from monthmill.llm.queries import LLM_ORACLE, LLM_QUERIES
 from tests.compare import connect, kinds, spark_rows, sql_rows
-from tests.llm.frames import empty_documents
+from tests.llm.frames import documents, empty_documents, odd_rows, text_of, with_clashing
 from tests.llm.test_dedup_mix_shard import bare
 from tests.llm.test_packing import check
 from tests.llm.test_simhash import plain_components, plain_fingerprint
@@ -84,3 +86,18 @@ def test_run_on_empty_documents(spark, tmp_path):
     empty_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+def test_run_on_odd_and_clashing_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and ids, columns that stages use themselves and one with a dot."""
+    rows = odd_rows() + [(100 + i, text_of(random.Random(i), 6), "src0") for i in range(40)]
+    docs = with_clashing(documents(spark, rows)).withColumn("a.b", F.lit("own"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(100 + i, 1, int(i % 8 == 0)) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, str(tmp_path))
+        assert after.columns == kept.columns and after.filter("`a.b` <> 'own' OR row <> 'own row'").isEmpty()
+        kept = written(after, "kept")
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {p.doc_id for p in pieces} == {r.doc_id for r in kept.select("doc_id").collect()} and sum(p.length for p in pieces) > 1000
