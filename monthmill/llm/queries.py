@@ -43,6 +43,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_sharding_64k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with shards of 64 KiB, which small tables split several times, too."""
+    return sharding.shard_report(_table(spark, sf_dir, "documents"), 1 << 16)
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.neighbour_report(_table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_lattice_lm": op3_lattice_lm,
     "op4_sharding": op4_sharding,
+    "op4_sharding_64k": op4_sharding_64k,
     "op5_order_minhash": op5_order_minhash,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
@@ -95,8 +101,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-LLM_ORACLE: dict[str, str] = {
-    "op4_sharding": r"""
+_SHARDS = r"""
         WITH d AS (
             SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
                 ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::BIGINT AS hash
@@ -108,12 +113,16 @@ LLM_ORACLE: dict[str, str] = {
         ), fitting AS (
             SELECT p.doc_id, p.n_bytes, p.hash, p.depth, shard_bytes, shard_docs,
                 row_number() OVER (PARTITION BY p.doc_id ORDER BY p.depth) AS place
-            FROM prefixes p JOIN sums USING (depth, prefix) WHERE shard_bytes <= 16777216 OR shard_docs = 1
+            FROM prefixes p JOIN sums USING (depth, prefix) WHERE shard_bytes <= LIMIT_BYTES OR shard_docs = 1
         )
         SELECT doc_id, n_bytes, substr(lpad(bin(hash), 24, '0'), 1, depth) AS shard, depth, shard_bytes, shard_docs,
-            shard_bytes > 16777216 AS oversized
+            shard_bytes > LIMIT_BYTES AS oversized
         FROM fitting WHERE place = 1
-    """,
+    """
+
+LLM_ORACLE: dict[str, str] = {
+    "op4_sharding": _SHARDS.replace("LIMIT_BYTES", "16777216"),
+    "op4_sharding_64k": _SHARDS.replace("LIMIT_BYTES", "65536"),
     "op9_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,

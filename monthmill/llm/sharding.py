@@ -108,6 +108,15 @@ def directory(report: DataFrame) -> DataFrame:
     return each.withColumn("end", F.explode(ends)).select(F.concat("shard", bits).alias("prefix"), "shard", "depth")
 
 
+def directory_ranges(report: DataFrame) -> DataFrame:
+    """The directory with its pointers run-length coded: for each shard the first and the last BITS-bit hash that points to it, as (first,
+    last, shard, depth). One row per shard, however deep the deepest one is; a hash in no range is of no document."""
+    each = report.select("shard", "depth").distinct()
+    bits = F.conv(F.rpad("shard", BITS, "0"), 2, 10).cast("long")
+    wide = F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(BITS) - F.col("depth")).cast("int"))
+    return each.select(bits.alias("first"), (bits + wide - 1).alias("last"), "shard", "depth")
+
+
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES, doc_id: str = "doc_id", text: str = "text") -> None:
     """Writes documents as Parquet, one folder shard=<bits> for each shard. The texts shuffle once."""
     inner = {c: f"c{i}" for i, c in enumerate(docs.columns)}

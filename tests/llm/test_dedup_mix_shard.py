@@ -203,6 +203,24 @@ def test_shard_directory_and_files(spark, copied, tmp_path):
     assert back.count() == len(copied) and {r[0] for r in back.select(back.columns[-1]).distinct().collect()} == {"b" + r.shard for r in report.collect()}
 
 
+def test_shard_ranges(spark, copied):
+    """As many pointers as the directory where that is small, and one row per shard where it could not be listed."""
+    report = sharding.shard_report(documents(spark, copied), 2000)
+    pointers = {p.prefix: p.shard for p in sharding.directory(report).collect()}
+    deepest = len(next(iter(pointers)))
+    ranges = sharding.directory_ranges(report).collect()
+    for prefix, shard in pointers.items():
+        low = int(prefix.ljust(sharding.BITS, "0"), 2)
+        assert [r.shard for r in ranges if r.first <= low <= r.last] == [shard]
+    assert sum(r.last - r.first + 1 for r in ranges) == 1 << sharding.BITS and deepest > 3
+    equal = sharding.shard_report(documents(spark, [(i, f"text {i}") for i in range(300)] + [(7, "the same row")] * 300), 200)
+    deep = sharding.directory_ranges(equal).collect()
+    assert max(r.depth for r in deep) > 40 and len(deep) == equal.select("shard").distinct().count()
+    spans = sorted((r.first, r.last) for r in deep)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert sharding.directory_ranges(sharding.shard_report(empty_documents(spark))).count() == 0
+
+
 def test_shards_odd_rows_and_empty(spark):
     rows = sharding.shard_report(with_clashing(odd_documents(spark)), 1000).collect()
     assert len(rows) == len(odd_rows())
