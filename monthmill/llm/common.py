@@ -6,8 +6,10 @@ import atexit
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
@@ -20,6 +22,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a table that may be broadcast, as it was counted before the join.
 BROADCAST_ROWS = 1 << 17
 
+#: Rows of a batch that a task has as Python objects at once: whole batches of texts would double what a worker holds.
+SLICE_ROWS = 256
+
 _written: dict[str, list[str]] = {}
 _shipped: set[str] = set()
 
@@ -73,6 +78,19 @@ def sized(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
+def values_of(column: pa.Array) -> Iterator:
+    """A column's values as Python objects, few of which exist at once."""
+    for start in range(0, len(column), SLICE_ROWS):
+        yield from column.slice(start, SLICE_ROWS).to_pylist()
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, as tuples; a batch is let go before the next one comes."""
+    for batch in batches:
+        yield from zip(*map(values_of, batch.columns))
+        del batch
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 

@@ -11,7 +11,7 @@ about STREAM_TOKENS tokens at once, or one document if that is longer; what foll
 cut is carried on. Sequence ids are made of the partition's number and a running number.
 
 Word ids come from a tokenizer file. It cuts words at white space, so a text's ids are its words' ids, and each
-distinct word is encoded once for a Python worker; the table of words is bounded.
+distinct word is encoded few times for a Python worker; the table of words is bounded.
 
 Defined results: a null or empty text is its end id alone. Other columns take no part, and rows that repeat are
 documents of their own. An empty table gives no rows.
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import ship
+from monthmill.llm.common import rows_of, ship
 
 WINDOW = 4096
 END_ID = 2
@@ -43,8 +43,9 @@ WORD_PENALTY = 40
 INSIDE_STEP = 32
 #: Tokens of the stream that a task settles at once.
 STREAM_TOKENS = 1 << 20
-#: Words in one of the two generations of a worker's table.
-TABLE_WORDS = 400_000
+#: Words in a worker's table that came again, and words that came once so far.
+TABLE_WORDS = 250_000
+NEW_WORDS = 100_000
 #: Partitions of the sequence ids' running numbers.
 _PARTITION_BITS = 36
 
@@ -61,8 +62,8 @@ def tokenizer_path() -> str:
 
 
 class _Words(dict):
-    """Word as UTF-8 -> its ids as little-endian unsigned 32-bit numbers. Two generations bound the table: when the younger is
-    full it becomes the older, from which words still in use move back."""
+    """Word as UTF-8 -> its ids as little-endian unsigned 32-bit numbers. A word waits among the new ones until it comes again, so
+    the many that come once don't fill the table; either is emptied when it is full."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,7 +71,7 @@ class _Words(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
-        self.older: dict[bytes, bytes] = {}
+        self.new: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -82,18 +83,21 @@ class _Words(dict):
         return array("I", [token.id for token in self.merge(part if part.isascii() else self.as_bytes(part)[0][0])]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            text = word.decode()
-            if parts := self.simple(text):
-                letters, signs = parts.groups()
-                ids = self[letters.encode()] + self[signs.encode()] if signs else self.part(letters)
-            else:
-                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self) >= TABLE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
+        ids = self.new.pop(word, None)
+        if ids is not None:
+            if len(self) >= TABLE_WORDS:
+                self.clear()
+            self[word] = ids
+            return ids
+        text = word.decode()
+        if parts := self.simple(text):
+            letters, signs = parts.groups()
+            ids = self[letters.encode()] + self[signs.encode()] if signs else self.part(letters)
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(self.new) >= NEW_WORDS:
+            self.new.clear()
+        self.new[word] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
@@ -240,13 +244,12 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
-        for part in batches:
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                ids = words.ids(text or "")
-                ends = np.flatnonzero(is_end[np.frombuffer(ids, "<u4")]) + 1
-                stream.add(doc, ids + end, ends)
-                if stream.tokens >= STREAM_TOKENS:
-                    yield batch(stream.settle(False))
+        for doc, text in rows_of(batches):
+            ids = words.ids(text or "")
+            ends = np.flatnonzero(is_end[np.frombuffer(ids, "<u4")]) + 1
+            stream.add(doc, ids + end, ends)
+            if stream.tokens >= STREAM_TOKENS:
+                yield batch(stream.settle(False))
         yield batch(stream.settle(True))
 
     return narrow.mapInArrow(run, SCHEMA.format(kind=kind))

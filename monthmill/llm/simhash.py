@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import columns_of, free_name, row_hash, ship, sized, text_or_empty, written
+from monthmill.llm.common import columns_of, free_name, row_hash, ship, sized, text_or_empty, values_of, written
 from monthmill.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, text: str, keep: list[str], shingle: int = SHI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(x, shingle) for x in batch.column(0).to_pylist()], np.uint64).view(np.int64)
+            values = np.array([fingerprint(x, shingle) for x in values_of(batch.column(0))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(values), *batch.columns[1:]], ["fp", *batch.schema.names[1:]])
 
     return narrow.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import columns_of, free_name, id_remainder, ship, text_or_empty, written
+from monthmill.llm.common import columns_of, free_name, id_remainder, rows_of, ship, text_or_empty, values_of, written
 
 #: Distinct labelled texts that the model is fitted on at most.
 SAMPLE = 20_000
@@ -62,13 +62,12 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, before, after, toxic) of each text, distinct."""
-    for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = ["", *_WORDS.findall(text.lower()), ""]
-            found = list(set(zip(words[1:-1], words, words[2:])))
-            if found:
-                columns = [pa.array(c, pa.string()) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([toxic] * len(found), pa.int32())], ["word", "before", "after", "toxic"])
+    for text, toxic in rows_of(batches):
+        words = ["", *_WORDS.findall(text.lower()), ""]
+        found = list(set(zip(words[1:-1], words, words[2:])))
+        if found:
+            columns = [pa.array(c, pa.string()) for c in zip(*found)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([toxic] * len(found), pa.int32())], ["word", "before", "after", "toxic"])
 
 
 def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,15 +80,14 @@ def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic.clear(), clean.clear()
         return pa.RecordBatch.from_arrays(columns, ["run", "toxic", "clean"])
 
-    for batch in batches:
-        for word, t, c in zip(*(column.to_pylist() for column in batch.columns)):
-            for run in letter_runs(word):
-                if t:
-                    toxic[run] += t
-                if c:
-                    clean[run] += c
-            if len(toxic) + len(clean) > _TABLE:
-                yield out()
+    for word, t, c in rows_of(batches):
+        for run in letter_runs(word):
+            if t:
+                toxic[run] += t
+            if c:
+                clean[run] += c
+        if len(toxic) + len(clean) > _TABLE:
+            yield out()
     yield out()
 
 
@@ -102,11 +100,10 @@ def _runs_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         texts.clear()
         return batch
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            texts.update(set().union(*map(letter_runs, set(_WORDS.findall(text.lower())))))
-            if len(texts) > _TABLE:
-                yield out()
+    for (text,) in rows_of(batches):
+        texts.update(set().union(*map(letter_runs, set(_WORDS.findall(text.lower())))))
+        if len(texts) > _TABLE:
+            yield out()
     yield out()
 
 
@@ -237,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_size: int = SAMPLE) -> tupl
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [scorer.sentences(text) for text in batch.column(0).to_pylist()]
+            rows = [scorer.sentences(text) for text in values_of(batch.column(0))]
             columns = [batch.column(1), pa.array([plain for plain, _ in rows], pa.int64()), pa.array([[list(f) for *_, f in found] for _, found in rows], pa.list_(pa.list_(pa.int32())))]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "plain", "found"])
 
@@ -254,7 +251,7 @@ def score_toxicity(docs: DataFrame, model: tuple[list[str], np.ndarray, float],
 
     @F.arrow_udf("struct<score double, offending array<struct<start int, end int, score double>>>")
     def scores(texts: pa.Array) -> pa.Array:
-        rows = [scorer.score(x) if scorer.words.numbers else (0.0, []) for x in texts.to_pylist()]
+        rows = [scorer.score(x) if scorer.words.numbers else (0.0, []) for x in values_of(texts)]
         return pa.array([{"score": p, "offending": [dict(zip(("start", "end", "score"), s)) for s in found]} for p, found in rows], kind)
 
     return docs.withColumn(into, scores(text_or_empty(text)))

@@ -65,6 +65,18 @@ def test_odd_rows_and_empty(spark):
     assert packing.pack(empty_documents(spark)).count() == 0
 
 
+def test_words_that_come_once_do_not_fill_the_table(monkeypatch):
+    monkeypatch.setattr(packing, "TABLE_WORDS", 40)
+    monkeypatch.setattr(packing, "NEW_WORDS", 30, raising=False)
+    words, tokenizer = packing._Words(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
+    often = ["the", "river", "Straße,", "end."]
+    for i in range(500):
+        text = " ".join([*often, f"once{i}", *often, f"x{i * i}!"])
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(words) <= 40 and len(words.new) <= 30
+    assert b"river" in words and not any(w.startswith((b"once", b"x")) for w in words)
+
+
 def test_carries_over_what_is_not_settled(spark, monkeypatch):
     monkeypatch.setattr(packing, "STREAM_TOKENS", 300)
     stream, out = packing._Stream(0, 64), []

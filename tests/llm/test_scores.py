@@ -6,10 +6,12 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from monthmill.llm import lattice_lm, order_minhash, pii, toxicity
@@ -71,6 +73,18 @@ def test_toxicity_odd_rows_and_empty(spark):
     assert toxicity.toxicity_report(empty_documents(spark), labels).count() == 0
 
 
+@pytest.mark.parametrize("step, columns", [("_contexts", 2), ("_runs_of_texts", 1)])
+def test_texts_of_a_batch_are_not_all_held(step, columns):
+    """A batch of 20 MB of texts takes a worker few more."""
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{i:05}" * 1000 for i in range(4000)]), pa.array([0] * 4000, pa.int32())][:columns], ["text", "toxic"][:columns])
+    tracemalloc.start()
+    for _ in getattr(toxicity, step)(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5_000_000
+
+
 def test_noisy_or_fit():
     """One feature that makes toxic, one that does not: the bags' labels tell which."""
     rng = np.random.default_rng(0)
