@@ -10,7 +10,8 @@ A report adds how often each pair of ids is linked over all documents. The pairs
 FREQUENT, are sent to all tasks; links of the others are joined by pair. None of these is hot, as their counts are the low ones.
 
 Texts are cut before single blanks between words, where neither tokenizer joins what stands on both sides (no piece of B has a blank
-after something else), and each distinct unit is encoded once for a Python worker, whose table is bounded.
+after something else). New units are joined to longer texts, which are encoded at once and divided where units end; their ids are kept in a
+Python worker's table. When it is full, the units that came most often stay.
 
 Defined results: null and empty texts, and those whose tokens' bytes are not those of blank+text, have no tokens. Rows that repeat, also
 with equal ids, are documents of their own. Other columns take no part, whatever their names. An empty table gives no rows.
@@ -22,10 +23,11 @@ import math
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ FREQUENT = 1 << 17
 #: Characters of text that are aligned at once, and units and tokens in a worker's table.
 BLOCK = 1_000_000
 TABLE_UNITS, TABLE_TOKENS = 150_000, 2_000_000
-#: Units that are encoded at once.
-_BATCH = 1 << 13
+#: Units that are encoded at once, and those of them that are joined to one text.
+_BATCH, _JOINED = 1 << 13, 1 << 7
 
 _IRREGULAR = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r"(?<! ) (?=\S)")
@@ -59,6 +61,11 @@ def units(text: str) -> list[str]:
     return [first[1:], *rest] if first else rest
 
 
+def _alone(unit: str) -> bool:
+    """Whether a unit can't stand between others: units(" ".join(found)) == found if none of them does."""
+    return unit[0].isspace() or unit[-1] == " " or "▁" in unit
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -77,10 +84,21 @@ class _Side:
     def clear(self) -> None:
         self.ids, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def add(self, found: list[list[int]]) -> None:
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(counts)])
+    def add(self, ids: list[list[int]], counts: list[list[int]]) -> None:
+        """Ids of units one after the other, and how many each has, in lists that each hold some of the units."""
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))])
+        n = np.fromiter(chain.from_iterable(counts), np.int64, sum(map(len, counts)))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(n)])
+
+    def keep(self, at: np.ndarray) -> None:
+        self.ids, n = self.gather(at)
+        self.start = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+
+    def counts(self, ids: list[int], ends: np.ndarray) -> list[int] | None:
+        """How many tokens lie before each of these ends, since the one before it; None if there is one where no token ends."""
+        token_ends = np.cumsum(self.token_length[ids])
+        before = np.searchsorted(token_ends, ends, "right")
+        return np.diff(before, prepend=0).tolist() if before[0] and (token_ends[before - 1] == ends).all() else None
 
     def joined(self, ids) -> bytes:
         return b"".join([self.token_bytes[i] for i in ids])
@@ -91,6 +109,14 @@ class _Side:
         return self.ids[np.arange(int(n.sum())) + np.repeat(self.start[at] - (np.cumsum(n) - n), n)], n
 
 
+class _Places(dict):
+    """Unit -> its place; a new unit gets the next one."""
+
+    def __missing__(self, unit: str) -> int:
+        place = self[unit] = len(self)
+        return place
+
+
 class _Table:
     """Unit -> its place; both tokenizers' tokens of it."""
 
@@ -109,27 +135,57 @@ class _Table:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.true = np.zeros(0, bool)
+        self.place = _Places()
+        self.true, self.uses = np.zeros(0, bool), np.zeros(0, np.int64)
         self.a.clear()
         self.b.clear()
 
+    def forget(self) -> None:
+        """Keeps the units that came most often, at most half a table of those that came again."""
+        most = np.argsort(-self.uses, kind="stable")[: TABLE_UNITS // 2]
+        tokens = np.cumsum(np.diff(self.a.start)[most] + np.diff(self.b.start)[most])
+        kept = np.zeros(len(self.uses), bool)
+        kept[most[(self.uses[most] > 1) & (tokens <= TABLE_TOKENS // 2)]] = True
+        self.place = _Places(zip(compress(self.place, kept), range(int(kept.sum()))))
+        self.true, self.uses = self.true[kept], self.uses[kept] // 2
+        self.a.keep(np.flatnonzero(kept))
+        self.b.keep(np.flatnonzero(kept))
+
+    def encoded(self, groups: list[list[str]]) -> Iterator[tuple[list[int], list[int], list[int], list[int], list[bool]]]:
+        """Some units at a time: ids of A, how many each unit has, the same of B, and whether their bytes are those of blank+unit."""
+        texts = [" ".join(group) for group in groups]
+        a = [e.ids for e in self.a_model.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
+        b = self.b_model.encode(texts, num_threads=1)
+        for group, text, x, y in zip(groups, texts, a, b):
+            true = self.a.joined(x) == self.b.joined(y) == (" " + text).encode()
+            if len(group) == 1:
+                yield x, [len(x)], y, [len(y)], [true]
+                continue
+            ends = np.cumsum([len(unit.encode()) + 1 for unit in group])
+            n_x, n_y = (self.a.counts(x, ends), self.b.counts(y, ends)) if true else (None, None)
+            if n_x and n_y:
+                yield x, n_x, y, n_y, [True] * len(group)
+            else:
+                yield from self.encoded([[unit] for unit in group])
+
     def add(self, wanted: list[str]) -> None:
-        a = [e.ids for e in self.a_model.encode_batch_fast([" " + unit for unit in wanted], add_special_tokens=False)]
-        b = self.b_model.encode(wanted, num_threads=1)
-        true = [self.a.joined(x) == self.b.joined(y) == (" " + unit).encode() for unit, x, y in zip(wanted, a, b)]
-        self.place.update(zip(wanted, range(len(self.place), len(self.place) + len(wanted))))
-        self.true = np.concatenate([self.true, np.array(true, bool)])
-        self.a.add(a)
-        self.b.add(b)
+        alone = [at for at, unit in enumerate(wanted) if _alone(unit)]
+        cuts = sorted({*range(0, len(wanted), _JOINED), *alone, *(at + 1 for at in alone), len(wanted)})
+        a, a_n, b, b_n, true = zip(*self.encoded([wanted[low:high] for low, high in pairwise(cuts)]))
+        self.true = np.concatenate([self.true, np.fromiter(chain.from_iterable(true), bool, len(wanted))])
+        self.a.add(a, a_n)
+        self.b.add(b, b_n)
 
     def places(self, found: list[str]) -> np.ndarray:
         if len(self.place) > TABLE_UNITS or len(self.a.ids) + len(self.b.ids) > TABLE_TOKENS:
-            self.clear()
-        if wanted := [unit for unit in dict.fromkeys(found) if unit not in self.place]:
-            for at in range(0, len(wanted), _BATCH):
-                self.add(wanted[at : at + _BATCH])
-        return np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
+            self.forget()
+        known = len(self.place)
+        places = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
+        wanted = list(islice(self.place, known, None))
+        for at in range(0, len(wanted), _BATCH):
+            self.add(wanted[at : at + _BATCH])
+        self.uses = np.concatenate([self.uses, np.zeros(len(wanted), np.int64)]) + np.bincount(places, minlength=len(self.place))
+        return places
 
 
 _tables: dict[tuple[str, str], _Table] = {}
@@ -257,11 +313,12 @@ def alignments(docs: DataFrame, paths: tuple[str, str] | None = None, doc_id: st
         table = _table(paths)
         digits = _digits(max(len(table.a.token_bytes), len(table.b.token_bytes)))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            parts = np.cumsum([0, *map(len, texts)])[:-1] // BLOCK
-            cuts = [*np.flatnonzero(np.diff(parts, prepend=-1)).tolist(), len(texts)] if texts else []
+            sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            parts = (np.cumsum(sizes) - sizes) // BLOCK
+            cuts = [*np.flatnonzero(np.diff(parts, prepend=-1)).tolist(), len(parts)] if len(parts) else []
             for low, high in zip(cuts, cuts[1:]):
-                yield block(table, batch.column(0).slice(low, high - low), texts[low:high], digits)
+                part = batch.slice(low, high - low)
+                yield block(table, part.column(0), [t or "" for t in part.column(1).to_pylist()], digits)
 
     return narrow.mapInArrow(run, f"doc_id {kind}, {_COLUMNS}")
 

@@ -125,6 +125,50 @@ def test_small_tables_and_blocks(spark, monkeypatch):
     same(token_alignment.alignment_report(documents(spark, rows)), rows)
 
 
+class Counting:
+    """The first tokenizer; keeps the texts that it is given."""
+
+    def __init__(self, model):
+        self.model, self.texts = model, []
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += texts
+        return self.model.encode_batch_fast(texts, **kw)
+
+
+def test_few_encodings(monkeypatch):
+    """New units are encoded together; those that come again are not encoded again when the table is full."""
+    monkeypatch.setattr(token_alignment, "TABLE_UNITS", 60)
+    table = token_alignment._Table(*token_alignment.default_paths())
+    table.a_model = Counting(table.a_model)
+    hot = [f"hot{i}" for i in range(20)]
+    for turn in range(10):
+        found = [*hot, *(f"unit{turn}x{i}" for i in range(30)), *hot]
+        places = table.places(found)
+        ids, counts = table.a.gather(places)
+        cuts = np.cumsum(counts)[:-1]
+        assert [table.a.joined(x) for x in np.split(ids, cuts)] == [(" " + unit).encode() for unit in found]
+    assert len(table.place) <= 110
+    assert len(table.a_model.texts) <= 10
+    assert sum(text.split(" ").count("hot7") for text in table.a_model.texts) == 1
+
+
+def test_joined_units():
+    """Units that are encoded together have the ids that they have alone, also beside units that can't be joined or aren't true."""
+    rng = random.Random(10)
+    texts = [*STRANGE, *("".join(rng.choice("ab é▁  \n\t.,'1A漢\x00ﬁ") for _ in range(rng.randint(1, 40))) for _ in range(300))]
+    found = list(dict.fromkeys(unit for text in texts for unit in token_alignment.units(text)))
+    between = [unit for unit in found if not token_alignment._alone(unit)]
+    assert token_alignment.units(" ".join(between)) == between
+    table = token_alignment._Table(*token_alignment.default_paths())
+    places = table.places(found)
+    for at, unit in zip(places, found):
+        a = table.a_model.encode(" " + unit, add_special_tokens=False).ids
+        b = table.b_model.encode(unit)
+        assert table.a.gather(np.array([at]))[0].tolist() == a and table.b.gather(np.array([at]))[0].tolist() == b
+        assert table.true[at] == (table.a.joined(a) == table.b.joined(b) == (" " + unit).encode())
+
+
 def test_odd_rows_and_empty(spark):
     same(token_alignment.alignment_report(with_clashing(odd_documents(spark))), odd_rows())
     assert token_alignment.alignment_report(empty_documents(spark)).count() == 0
